@@ -53,14 +53,14 @@ def number_part(value: ColumnLike) -> Column:
     return F.coalesce(col(value).cast("string"), F.lit("null"))
 
 
-def positional_hash(*parts: Column) -> Column:
+def positional_hash(*parts: ColumnLike) -> Column:
     """md5 of the positional JSON list: nulls keep their place, delimiters are escaped."""
-    return F.md5(F.to_json(F.array(*[p.cast("string") for p in parts])))
+    return F.md5(F.to_json(F.array(*[col(p).cast("string") for p in parts])))
 
 
-def joined_hash(*parts: Column) -> Column:
+def joined_hash(*parts: ColumnLike) -> Column:
     """md5 of the ``|``-joined parts; null parts are skipped."""
-    return F.md5(F.concat_ws("|", *parts))
+    return F.md5(F.concat_ws("|", *[col(p) for p in parts]))
 
 
 def candidate_id(name: ColumnLike) -> Column:

@@ -118,25 +118,27 @@ def occurrences(haystack: Column, needle: Column) -> Column:
     return F.when(F.size(pieces) > 1, ends).otherwise(F.array().cast("array<int>"))
 
 
-def find_spans(value: ColumnLike, terms: ColumnLike) -> Column:
-    """Spans of the terms in a text, longest first, overlaps with a longer span dropped.
-
-    ``terms`` is array<struct<identity, needle, cjk, ...>> where ``needle`` is folded. The result
-    is array<struct<identity, start, end>> in original text offsets (end exclusive). Identical
-    spans of several identities are all kept.
-    """
-    text = col(value)
-    folded = fold(text)
-    lowered = F.lower(text)
-    sharp = F.when(lowered.contains("ß"), occurrences(lowered, F.lit("ß"))).otherwise(
+def sharp_positions(value: ColumnLike) -> Column:
+    """0-based positions of ß in the lower-cased text (each one folds to two characters)."""
+    lowered = F.lower(col(value))
+    return F.when(lowered.contains("ß"), occurrences(lowered, F.lit("ß"))).otherwise(
         F.array().cast("array<int>")
     )
 
+
+def find_spans(folded: Column, sharp: Column, terms: Column) -> Column:
+    """Spans of the terms in a folded text, longest first, overlaps with a kept span dropped.
+
+    ``terms`` is array<struct<identity, needle, cjk, ...>> with folded needles. The result is
+    array<struct<identity, start, end>> in original text offsets (end exclusive); identical spans
+    of several identities are all kept. Pass materialised columns: lambdas do not share work.
+    """
+
     def original(position: Column) -> Column:
         # Every ß before the position made the folded text one character longer.
         return position - F.size(F.filter(sharp, lambda q, i: q + i + 1 <= position))
 
-    def boundary(at: Column) -> Column:
+    def free(at: Column) -> Column:
         return ~F.substring(folded, at, F.lit(1)).rlike(WORD_CHAR)
 
     def of_term(term: Column) -> Column:
@@ -145,45 +147,37 @@ def find_spans(value: ColumnLike, terms: ColumnLike) -> Column:
             occurrences(folded, term["needle"]),
             lambda p: term["cjk"]
             | (
-                ((p == 0) | boundary(p))
-                & ((p + width >= F.length(folded)) | boundary(p + width + 1))
+                ((p == 0) | free(p))
+                & ((p + width >= F.length(folded)) | free(p + width + 1))
             ),
         )
         return F.transform(
             starts,
             lambda p: F.struct(
-                (original(p) - original(p + width - 1) - 1).alias("order_width"),
+                (original(p) - original(p + width - 1) - 1).alias("negative_width"),
                 original(p).alias("start"),
                 term["identity"].alias("identity"),
                 (original(p + width - 1) + 1).alias("end"),
             ),
         )
 
-    hits = F.filter(col(terms), lambda t: (F.length(t["needle"]) > 0) & folded.contains(t["needle"]))
-    # Sorting the structs orders by width (longest first), then start, then identity.
+    hits = F.filter(terms, lambda t: (F.length(t["needle"]) > 0) & folded.contains(t["needle"]))
+    # Struct order: longest first, then leftmost, then identity.
     candidates = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, of_term))))
-    span_type = "array<struct<identity:string,start:int,end:int>>"
+
+    def clashes(kept: Column, c: Column) -> Column:
+        return F.exists(
+            kept,
+            lambda k: (c["start"] < k["end"])
+            & (k["start"] < c["end"])
+            & ~((c["start"] == k["start"]) & (c["end"] == k["end"])),
+        )
+
+    def one(c: Column) -> Column:
+        return F.array(F.struct(*[c[n].alias(n) for n in ("identity", "start", "end")]))
+
     return F.aggregate(
         candidates,
-        F.array().cast(span_type),
-        lambda kept, c: F.when(
-            F.exists(
-                kept,
-                lambda k: (c["start"] < k["end"])
-                & (k["start"] < c["end"])
-                & ~((c["start"] == k["start"]) & (c["end"] == k["end"])),
-            ),
-            kept,
-        ).otherwise(
-            F.concat(
-                kept,
-                F.array(
-                    F.struct(
-                        c["identity"].alias("identity"),
-                        c["start"].alias("start"),
-                        c["end"].alias("end"),
-                    )
-                ),
-            )
-        ),
+        F.array().cast("array<struct<identity:string,start:int,end:int>>"),
+        lambda kept, c: F.when(clashes(kept, c), kept).otherwise(F.concat(kept, one(c))),
     )
