@@ -152,18 +152,6 @@ def _expected_feature() -> Column:
     ])
 
 
-def with_parent_kind(nodes: DataFrame) -> DataFrame:
-    """Adds the parent's kind where it matters: below unsupported non-object nodes."""
-    parents = nodes.filter(F.col("item_kind").isin("product_module", "answer_module", "paid")).select(
-        F.col("item_id").alias("parent_item_id"), F.col("item_kind").alias("parent_kind")
-    )
-    stray = (F.col("item_kind") == "unsupported") & F.col("parent_item_id").isNotNull()
-    fixed = nodes.filter(stray).join(parents, "parent_item_id", "left")
-    return fixed.unionByName(
-        nodes.filter(~F.coalesce(stray, F.lit(False))).withColumn("parent_kind", F.lit(None).cast("string"))
-    )
-
-
 def fallback_nodes(results: DataFrame, nodes: DataFrame) -> DataFrame:
     """Answer node from the result's markdown, for answer results where no item had text."""
     seen = nodes.filter(
@@ -173,14 +161,12 @@ def fallback_nodes(results: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = results.filter((F.col("source_category") == "llm") & markdown.isNotNull()).join(
         seen, "result_id", "left_anti"
     )
-    node = F.struct(
-        F.concat(F.col("json_path"), F.lit(".markdown")).alias("path"),
-        F.lit(None).cast("string").alias("parent_path"), F.lit("answer_text").alias("kind"),
-        F.lit(False).alias("top"), F.lit(0).alias("depth"),
+    start = tree.node(
+        F.concat(F.col("json_path"), F.lit(".markdown")), "answer_text",
         F.parse_json(F.to_json(F.struct(
-            F.lit("result_markdown").alias("type"), markdown.alias("markdown")))).alias("value"),
+            F.lit("result_markdown").alias("type"), markdown.alias("markdown")))),
     )
-    return tree.expand(rows, F.array(node), tree.FEATURE_GRAMMAR, max_depth=1)
+    return tree.expand(rows, F.array(start), tree.FEATURE_GRAMMAR, max_depth=1)
 
 
 def result_issues(results: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -225,7 +211,7 @@ def result_issues(results: DataFrame, nodes: DataFrame) -> DataFrame:
 def collect_nodes(results: DataFrame, max_depth: int = tree.MAX_DEPTH) -> DataFrame:
     """Walked nodes of the feature grammar including the markdown fallback."""
     nodes = tree.walk(results, tree.FEATURE_GRAMMAR, max_depth)
-    return with_parent_kind(nodes.unionByName(fallback_nodes(results, nodes)))
+    return nodes.unionByName(fallback_nodes(results, nodes))
 
 
 # ---------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,21 +11,22 @@ from sightline.functions.cols import ColumnLike, case, col
 from sightline.functions.dates import valid_on
 from sightline.functions.text import is_placeholder, normalize_language, nullif_trim
 
-Rule = str | Column
+Rule = str | Callable[[], Column]
 
 
 def stage(df: DataFrame, spec: Mapping[str, Rule]) -> DataFrame:
     """Project ``df`` by output name -> rule.
 
     Rules: ``trim`` (blank to null), ``language`` (normalized code), ``raw:<column>`` (text copy of
-    a source column), ``null:<type>``, ``<type>`` or ``<type>:<column>`` (cast), or a Column.
+    a source column), ``null:<type>``, ``<type>`` or ``<type>:<column>`` (cast), or a function that
+    returns a Column.
     """
     return df.select(*[_apply(name, rule).alias(name) for name, rule in spec.items()])
 
 
 def _apply(name: str, rule: Rule) -> Column:
-    if isinstance(rule, Column):
-        return rule
+    if callable(rule):
+        return rule()
     kind, _, source = rule.partition(":")
     source = source or name
     if kind == "trim":
@@ -53,20 +54,20 @@ def response_outcome(valid: ColumnLike) -> Column:
 
 
 RUNS = {
-    "run_id": "string", "run_status": "string:status", "is_success": success_flag("status"),
+    "run_id": "string", "run_status": "string:status", "is_success": lambda: success_flag("status"),
     "started_at_utc": "timestamp:started_at", "completed_at_utc": "timestamp:completed_at",
 }
 REQUESTS = {
     "request_id": "string", "run_id": "string", "source_category": "trim", "provider": "trim",
     "platform": "trim", "search_engine": "trim", "model_name": "trim",
-    "request_status": "trim", "is_success": success_flag("request_status"),
+    "request_status": "trim", "is_success": lambda: success_flag("request_status"),
     "estimated_cost_usd": "double:estimated_cost", "query_id": "string",
     "search_target_id": "string", "collection_window_id": "trim:collection_window",
     "request_hash": "trim", "deduplication_key": "trim",
 }
 RESPONSES = {
     "response_id": "string", "request_id": "string", "provider_request_id": "trim",
-    "response_valid": "boolean", "response_outcome": response_outcome("response_valid"),
+    "response_valid": "boolean", "response_outcome": lambda: response_outcome("response_valid"),
     "actual_cost_usd": "double:actual_cost", "task_id": "trim",
 }
 ATTEMPTS = {

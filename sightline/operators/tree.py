@@ -20,7 +20,10 @@ from sightline.functions.text import inline_links, label_text, visible_text
 from sightline.functions.url import canonical_url, hostname
 from sightline.schemas import FEATURE_EVIDENCE_VERSION, RESPONSE_EVIDENCE_VERSION
 
-NODE = "struct<path:string,parent_path:string,kind:string,top:boolean,depth:int,value:variant>"
+NODE = (
+    "struct<path:string,parent_path:string,parent_kind:string,kind:string,top:boolean,depth:int,"
+    "value:variant>"
+)
 MAX_DEPTH = 8
 
 # Nested content that is provider metadata, not evidence.
@@ -110,11 +113,17 @@ def nested_content(kind: Column, key: Column, value: Column) -> Column:
     return filled & ~key.isin(*IGNORED_KEYS) & ~F.coalesce(ad_metadata, F.lit(False))
 
 
-def _node(path: Column, parent: Column, kind: Column | str, top: Column, depth: int, value: Column) -> Column:
-    kind_column = F.lit(kind) if isinstance(kind, str) else kind
+def node(
+    path: Column, kind: Column | str, value: Column, *, top: bool = False, depth: int = 0,
+    parent: Column | None = None, parent_kind: Column | None = None,
+) -> Column:
+    """A tree node as a struct; root nodes have no parent."""
+    none = F.lit(None).cast("string")
     return F.struct(
-        path.alias("path"), parent.cast("string").alias("parent_path"), kind_column.alias("kind"),
-        top.alias("top"), F.lit(depth).alias("depth"), value.alias("value"),
+        path.alias("path"), (none if parent is None else parent).alias("parent_path"),
+        (none if parent_kind is None else parent_kind).alias("parent_kind"),
+        (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+        F.lit(top).alias("top"), F.lit(depth).alias("depth"), value.alias("value"),
     )
 
 
@@ -143,8 +152,8 @@ def answer_raw_text(value: Column, with_table: bool = True) -> Column:
 
 def _children(grammar: Grammar, depth: int) -> Column:
     """Child nodes of the current row's ``node``."""
-    node = F.col("node")
-    kind, value, path = node["kind"], node["value"], node["path"]
+    own = F.col("node")
+    kind, value, path = own["kind"], own["value"], own["path"]
     raw_type = jsonx.text(value, "$.type")
     empty = F.array().cast(f"array<{NODE}>")
 
@@ -154,16 +163,17 @@ def _children(grammar: Grammar, depth: int) -> Column:
         as_kind = child_kind(grammar, kind, raw_type, key)
         rows = F.transform(
             jsonx.as_list(inner),
-            lambda child, i: _node(
-                F.concat(at, F.lit("["), i.cast("string"), F.lit("]")), path,
-                _settled(grammar, as_kind, child), F.lit(False), depth + 1, child,
+            lambda child, i: node(
+                F.concat(at, F.lit("["), i.cast("string"), F.lit("]")),
+                _settled(grammar, as_kind, child), child, depth=depth + 1, parent=path,
+                parent_kind=kind,
             ),
         )
         found = F.when(as_kind.isNotNull(), F.coalesce(rows, empty))
         if grammar.retain_nested:
             found = found.when(
                 nested_content(kind, key, inner),
-                F.array(_node(at, path, "retained_nested", F.lit(False), depth + 1, inner)),
+                F.array(node(at, "retained_nested", inner, depth=depth + 1, parent=path, parent_kind=kind)),
             )
         return found.otherwise(empty)
 
@@ -174,13 +184,14 @@ def _children(grammar: Grammar, depth: int) -> Column:
     text = answer_raw_text(value, with_table=grammar.retain_nested)
     links = F.transform(
         inline_links(text),
-        lambda link: _node(
+        lambda link: node(
             F.concat(
                 path, F.lit("."), F.coalesce(source, F.lit("table")), F.lit(".inline_links["),
                 link["index"].cast("string"), F.lit("]"),
             ),
-            path, "citation", F.lit(False), depth + 1,
+            "citation",
             F.parse_json(F.to_json(F.struct(link["url"].alias("url"), F.lit("inline_link").alias("type")))),
+            depth=depth + 1, parent=path, parent_kind=kind,
         ),
     )
     inline = F.when((kind == grammar.answer_kind) & text.contains("]("), F.coalesce(links, empty)).otherwise(empty)
@@ -192,17 +203,17 @@ def roots(grammar: Grammar) -> Column:
     base = F.col("json_path")
     items = F.transform(
         jsonx.as_list("result", "$.items"),
-        lambda raw, i: _node(
-            F.concat(base, F.lit(".items["), i.cast("string"), F.lit("]")), F.lit(None),
+        lambda raw, i: node(
+            F.concat(base, F.lit(".items["), i.cast("string"), F.lit("]")),
             _settled(grammar, top_kind(grammar, F.col("source_category"), jsonx.text(raw, "$.type")), raw),
-            F.lit(True), 0, raw,
+            raw, top=True,
         ),
     )
     sources = F.transform(
         jsonx.as_list("result", "$.sources"),
-        lambda raw, i: _node(
-            F.concat(base, F.lit(".sources["), i.cast("string"), F.lit("]")), F.lit(None),
-            _settled(grammar, F.lit("citation"), raw), F.lit(False), 0, raw,
+        lambda raw, i: node(
+            F.concat(base, F.lit(".sources["), i.cast("string"), F.lit("]")),
+            _settled(grammar, F.lit("citation"), raw), raw,
         ),
     )
     empty = F.array().cast(f"array<{NODE}>")
@@ -238,7 +249,7 @@ def expand(results: DataFrame, start: Column, grammar: Grammar, max_depth: int)
         *keys,
         item_id("path", grammar.version).alias("item_id"),
         F.when(F.col("parent_path").isNotNull(), item_id("parent_path", grammar.version)).alias("parent_item_id"),
-        F.col("path").alias("json_path"), F.col("kind").alias("item_kind"),
+        F.col("path").alias("json_path"), F.col("kind").alias("item_kind"), "parent_kind",
         F.col("top").alias("is_top_level"), "depth", "value", "unexpanded",
     )
 
