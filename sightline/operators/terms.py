@@ -47,9 +47,15 @@ def term_table(
     )
 
 
-def within(df: DataFrame, limit: int) -> bool:
-    """True when the frame has at most ``limit`` rows (reads no more than that many)."""
-    return df.limit(limit + 1).count() <= limit
+def small_array(df: DataFrame, kind: str, limit: int) -> Column | None:
+    """The frame as one array literal when it has at most ``limit`` rows, else None.
+
+    Never reads more than ``limit + 1`` rows.
+    """
+    rows = df.limit(limit + 1).toJSON().collect() if limit else [""]
+    if len(rows) > limit:
+        return None
+    return F.from_json(F.lit("[" + ",".join(rows) + "]"), kind)
 
 
 def attach_terms(
@@ -58,9 +64,9 @@ def attach_terms(
     """Adds ``_terms``: the terms whose anchor word occurs in the folded text (may be null)."""
     # The empty anchor stands for terms without any word, which every text has to try.
     own = F.concat(words(folded), F.array(F.lit("")))
-    if within(terms, limit):
-        every = terms.agg(F.collect_list(F.struct(*TERM))).scalar()
-        anchors = terms.agg(F.collect_set("anchor")).scalar()
+    every = small_array(terms, TERM_TYPE, limit)
+    if every is not None:
+        anchors = F.array_distinct(F.transform(every, lambda t: t["anchor"]))
         return rows.withColumn("_hit", F.array_intersect(own, anchors)).withColumn(
             "_terms",
             F.when(
@@ -132,7 +138,8 @@ def attach_substrings(
     """Adds array ``out``: identity of every term row contained in at least one of the texts.
 
     Plain containment without word boundaries; ``terms`` has identity and needle columns, both
-    sides already lower case. An identity appears once per containing term row.
+    sides already lower case and needles not blank. An identity appears once per containing term
+    row.
     """
     def contained(needle: Column) -> Column:
         hit = F.lit(False)
@@ -140,8 +147,8 @@ def attach_substrings(
             hit = hit | F.coalesce(F.col(t).contains(needle), F.lit(False))
         return hit
 
-    if within(terms, limit):
-        every = terms.agg(F.collect_list(F.struct("identity", "needle"))).scalar()
+    every = small_array(terms, "array<struct<identity:string,needle:string>>", limit)
+    if every is not None:
         return rows.withColumn(
             out,
             F.transform(
@@ -151,25 +158,14 @@ def attach_substrings(
     # Any text containing a term contains the term's first GRAM characters.
     numbered = terms.withColumn("gram", F.substring("needle", 1, GRAM))
     joined_text = F.concat_ws("\n", *[F.col(t) for t in texts])
-    blank = numbered.filter("gram = ''").agg(F.collect_list("identity")).scalar()
     narrow = rows.select(key, F.explode(_grams(joined_text)).alias("gram"))
-    pairs = narrow.join(numbered.filter("gram <> ''"), "gram").groupBy(key).agg(
+    pairs = narrow.join(numbered, "gram").groupBy(key).agg(
         F.collect_list(F.struct("identity", "needle")).alias("_terms")
     )
+    none = F.array().cast("array<struct<identity:string,needle:string>>")
+    hits = F.filter(F.coalesce("_terms", none), lambda t: contained(t["needle"]))
     return (
         rows.join(pairs, key, "left")
-        .withColumn(
-            out,
-            F.concat(
-                F.transform(
-                    F.filter(
-                        F.coalesce("_terms", F.array().cast("array<struct<identity:string,needle:string>>")),
-                        lambda t: contained(t["needle"]),
-                    ),
-                    lambda t: t["identity"],
-                ),
-                F.coalesce(blank, F.array().cast("array<string>")),
-            ),
-        )
+        .withColumn(out, F.transform(hits, lambda t: t["identity"]))
         .drop("_terms")
     )

@@ -105,7 +105,7 @@ def strip_item_keys(items_json: Column) -> Column:
     rows = F.try_variant_get(F.try_parse_json(items_json), "$", "array<map<string,variant>>")
     kept = F.transform(
         rows,
-        lambda m: F.map_filter(m, lambda k, v: ~k.isin(*LEGACY_IGNORED_KEYS) & ~F.is_variant_null(v)),
+        lambda m: F.map_filter(m, lambda k, v: ~k.isin(*LEGACY_IGNORED_KEYS)),
     )
     return F.to_json(kept)
 
