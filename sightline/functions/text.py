@@ -126,17 +126,18 @@ def sharp_positions(value: ColumnLike) -> Column:
     )
 
 
-def find_spans(folded: Column, sharp: Column, terms: Column) -> Column:
-    """Spans of the terms in a folded text, longest first, overlaps with a kept span dropped.
+def term_spans(folded: Column, sharp: Column, terms: Column) -> Column:
+    """All boundary-respecting occurrences of the terms in a folded text.
 
     ``terms`` is array<struct<identity, needle, cjk, ...>> with folded needles. The result is
-    array<struct<identity, start, end>> in original text offsets (end exclusive); identical spans
-    of several identities are all kept. Pass materialised columns: lambdas do not share work.
+    array<struct<identity, start, end>> in original text offsets (end exclusive); occurrences of
+    one term do not overlap. Pass materialised columns: lambdas do not share work.
     """
 
     def original(position: Column) -> Column:
         # Every ß before the position made the folded text one character longer.
-        return position - F.size(F.filter(sharp, lambda q, i: q + i + 1 <= position))
+        shifted = position - F.size(F.filter(sharp, lambda q, i: q + i + 1 <= position))
+        return F.when(F.size(sharp) == 0, position).otherwise(shifted)
 
     def free(at: Column) -> Column:
         return ~F.substring(folded, at, F.lit(1)).rlike(WORD_CHAR)
@@ -154,16 +155,27 @@ def find_spans(folded: Column, sharp: Column, terms: Column) -> Column:
         return F.transform(
             starts,
             lambda p: F.struct(
-                (original(p) - original(p + width - 1) - 1).alias("negative_width"),
-                original(p).alias("start"),
-                term["identity"].alias("identity"),
+                term["identity"].alias("identity"), original(p).alias("start"),
                 (original(p + width - 1) + 1).alias("end"),
             ),
         )
 
-    hits = F.filter(terms, lambda t: (F.length(t["needle"]) > 0) & folded.contains(t["needle"]))
-    # Struct order: longest first, then leftmost, then identity.
-    candidates = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, of_term))))
+    hits = F.filter(terms, lambda t: folded.contains(t["needle"]))
+    return F.array_distinct(F.flatten(F.transform(hits, of_term)))
+
+
+def longest_spans(candidates: Column) -> Column:
+    """Greedy choice inside one group of overlapping spans: longest first, then leftmost.
+
+    A span goes when it overlaps a kept one; identical spans of several identities all stay.
+    """
+    ordered = F.array_sort(F.transform(
+        candidates,
+        lambda c: F.struct(
+            (c["start"] - c["end"]).alias("negative_width"),
+            *[c[n].alias(n) for n in ("start", "identity", "end", "matched_text")],
+        ),
+    ))
 
     def clashes(kept: Column, c: Column) -> Column:
         return F.exists(
@@ -174,10 +186,10 @@ def find_spans(folded: Column, sharp: Column, terms: Column) -> Column:
         )
 
     def one(c: Column) -> Column:
-        return F.array(F.struct(*[c[n].alias(n) for n in ("identity", "start", "end")]))
+        return F.array(F.struct(*[c[n].alias(n) for n in ("identity", "start", "end", "matched_text")]))
 
     return F.aggregate(
-        candidates,
-        F.array().cast("array<struct<identity:string,start:int,end:int>>"),
+        ordered,
+        F.array().cast("array<struct<identity:string,start:int,end:int,matched_text:string>>"),
         lambda kept, c: F.when(clashes(kept, c), kept).otherwise(F.concat(kept, one(c))),
     )

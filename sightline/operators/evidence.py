@@ -11,13 +11,13 @@ from sightline.functions import jsonx
 from sightline.functions.cols import case
 from sightline.functions.dates import valid_on
 from sightline.functions.ids import evidence_id, number_part, text_part
-from sightline.functions.text import find_spans, fold, normalize_language, sharp_positions
+from sightline.functions.text import normalize_language
 from sightline.functions.url import canonical_url, host_suffixes, hostname
 from sightline.operators import tree
-from sightline.operators.payloads import EVIDENCE_ENVELOPES, explicit_brands, single_task, unwrap
-from sightline.operators.shape import dense_grain, union_all
+from sightline.operators.payloads import EVIDENCE_ENVELOPES, explicit_brands, unwrap, with_task
+from sightline.operators.shape import computed, dense_grain, union_all
 from sightline.operators.staging import eligible_brands, usable_aliases, usable_domains
-from sightline.operators.terms import attach_terms, match_spans, term_table
+from sightline.operators.terms import match_spans, term_table
 from sightline.schemas import (
     ERROR_CODE_FLOOR, FEATURE_EVIDENCE_VERSION, FEATURES, PENDING_CODES, RESPONSE_EVIDENCE_VERSION,
 )
@@ -36,8 +36,7 @@ def result_rows(payloads: DataFrame, version: str = FEATURE_EVIDENCE_VERSION) ->
     """
     df = unwrap(payloads, "payload", EVIDENCE_ENVELOPES)
     prefix = F.when(F.col("family").isin(*EVIDENCE_ENVELOPES), F.concat(F.lit("$."), "family")).otherwise("$")
-    df = df.withColumn("_prefix", prefix).withColumn("task", single_task("block"))
-    df = df.withColumn("data", F.when(jsonx.is_object("task", "$.data"), jsonx.get("task", "$.data")))
+    df = with_task(computed(df, _prefix=prefix))
     given = F.coalesce("collection_status", F.lit("available"))
     usable = given.isin("available", "no_results")
     codes = [jsonx.integer("task", "$.status_code"), jsonx.integer("block", "$.status_code")]
@@ -52,24 +51,20 @@ def result_rows(payloads: DataFrame, version: str = FEATURE_EVIDENCE_VERSION) ->
         (F.col("payload").isNull() | F.is_variant_null("payload"), "missing"),
         (F.col("task").isNull() | contract, "unsupported"),
     ], given)
-    df = df.withColumn("collection_status", status)
+    df = computed(df, collection_status=status)
     real = F.when(
         F.col("collection_status").isin("available", "no_results") & (F.size(results) > 0), results
     ).otherwise(F.array(F.lit(None).cast("variant")))
-    df = df.select("*", F.posexplode(real).alias("_index", "_raw"))
+    df = df.drop("payload", "block").select("*", F.posexplode(real).alias("_index", "_raw"))
     is_result = jsonx.is_object("_raw")
-    df = df.withColumn("result", F.when(is_result, F.col("_raw")))
-    df = df.withColumn("result_index", F.when(is_result, F.col("_index")))
-    df = df.withColumn(
-        "json_path",
-        F.when(
-            is_result,
-            F.concat(F.col("_prefix"), F.lit(".tasks[0].result["), F.col("_index").cast("string"), F.lit("]")),
-        ).otherwise(F.col("_prefix")),
+    at_result = F.concat(F.col("_prefix"), F.lit(".tasks[0].result["), F.col("_index").cast("string"), F.lit("]"))
+    df = computed(
+        df, result=F.when(is_result, F.col("_raw")), result_index=F.when(is_result, F.col("_index")),
+        json_path=F.when(is_result, at_result).otherwise(F.col("_prefix")),
     )
-    return df.withColumn(
-        "result_id", evidence_id(text_part("observation_id"), text_part("json_path"), version)
-    ).drop("_prefix", "_index", "_raw", "block", "family")
+    return computed(
+        df, result_id=evidence_id(text_part("observation_id"), text_part("json_path"), version)
+    ).drop("_prefix", "_index", "_raw", "family")
 
 
 # ---------------------------------------------------------------------------
@@ -440,7 +435,7 @@ def category_matches(texts: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("item_kind").alias("rule_kind"), F.col("review_status").alias("review_status"),
     )
     # Rules do not suppress each other: every term is matched on its own.
-    hits = single_term_hits(texts, terms)
+    hits = match_spans(texts, ["item_id", "matched_field"], "field_text", terms, suppress=False)
     joined = hits.join(rule_rows, F.col("identity") == F.col("rule_id")).filter(_rule_applies())
     first = joined.groupBy(
         "observation_id", "result_id", "item_id", "item_kind", "evidence_type", "matched_field",
@@ -468,26 +463,6 @@ def _rule_applies() -> Column:
     )
 
 
-def single_term_hits(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """Spans of each term on its own: overlaps between different terms are all kept."""
-    keys = ["item_id", "matched_field"]
-    base = texts.withColumn("_folded", fold("field_text")).withColumn("_sharp", sharp_positions("field_text"))
-    found = attach_terms(base, keys, "_folded", terms).filter(F.size("_terms") > 0)
-    one = found.withColumn("_term", F.explode("_terms")).withColumn(
-        "_spans", find_spans(F.col("_folded"), F.col("_sharp"), F.array("_term"))
-    )
-    return (
-        one.withColumn("_s", F.explode("_spans"))
-        .select(
-            "*", F.col("_s.identity").alias("identity"), F.col("_s.start").alias("span_start"),
-            F.col("_s.end").alias("span_end"),
-        )
-        .withColumn("matched_text", F.substring(
-            F.col("field_text"), F.col("span_start") + 1, F.col("span_end") - F.col("span_start")))
-        .drop("_folded", "_sharp", "_terms", "_term", "_spans", "_s")
-    )
-
-
 def proposal_matches(items: DataFrame) -> DataFrame:
     """Explicit product brands as candidate matches."""
     return explicit_brands(items).select(
@@ -594,10 +569,15 @@ def response_summary(
     identity_id and evidence_type; category_evidence has observation_id and identity_id.
     """
     usable = F.col("collection_status").isin("available", "no_results")
-    broken = F.col("result").isNotNull() & ~jsonx.is_list("result", "$.items")
+    listed = F.coalesce(jsonx.is_list("result", "$.items"), F.lit(False))
+    sources = jsonx.get("result", "$.sources")
+    bad_sources = F.coalesce(
+        ~F.is_variant_null(sources) & ~jsonx.is_list("result", "$.sources"), F.lit(False)
+    )
     per_response = results.groupBy("observation_id", "source_category").agg(
         F.first("collection_status").alias("_status"),
-        F.bool_or(usable & broken).alias("_broken"),
+        F.bool_or(usable & F.col("result").isNotNull() & ~listed).alias("_broken"),
+        F.bool_or(usable & F.col("result").isNotNull() & bad_sources).alias("_bad_sources"),
         F.sum(F.size(jsonx.as_list("result", "$.items"))).alias("_top"),
     )
     kinds = nodes.groupBy("observation_id").agg(
@@ -620,7 +600,7 @@ def response_summary(
     none = F.array().cast("array<string>")
     coverage = case([
         (~F.col("_status").isin("available", "no_results"), F.col("_status")),
-        (F.col("_broken") | (F.col("_issues") > 0), "partial"),
+        (F.col("_broken") | F.col("_bad_sources") | F.coalesce(F.col("_issues") > 0, F.lit(False)), "partial"),
     ], "complete")
     rows = rows.withColumn("evidence_coverage_status", coverage)
     complete = F.col("evidence_coverage_status") == "complete"

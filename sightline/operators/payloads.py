@@ -12,7 +12,7 @@ from sightline.functions.cols import any_of, case
 from sightline.functions.ids import candidate_id, uuid5
 from sightline.functions.text import redact_parameters
 from sightline.functions.url import legacy_canonical_url, normalized_domain
-from sightline.operators.shape import union_all
+from sightline.operators.shape import computed, union_all
 from sightline.schemas import ERROR_CODE_FLOOR, KNOWN_SERP_ITEM_TYPES, PARSED_ENGINES, PENDING_CODES
 
 # The two envelope orders and the request defaults.
@@ -35,8 +35,9 @@ def unwrap(df: DataFrame, payload: str, families: Sequence[str] = EVIDENCE_ENVEL
     ]
     direct = (jsonx.present(body, "$.tasks"), "direct")
     family = case([*branches, direct])
+    named = computed(df, family=family)
     blocks = case([(F.col("family") == n, jsonx.get(body, f"$.{n}")) for n in families], body)
-    return df.withColumn("family", family).withColumn("block", blocks)
+    return computed(named, block=blocks)
 
 
 def single_task(block: str) -> Column:
@@ -47,6 +48,12 @@ def single_task(block: str) -> Column:
     )
 
 
+def with_task(df: DataFrame) -> DataFrame:
+    """Adds ``task`` and its request ``data`` to unwrapped payloads."""
+    df = computed(df, task=single_task("block"))
+    return computed(df, data=F.when(jsonx.is_object("task", "$.data"), jsonx.get("task", "$.data")))
+
+
 def _failed(block: str, task: str) -> Column:
     codes = [jsonx.integer(block, "$.status_code"), jsonx.integer(task, "$.status_code")]
     return any_of(*[F.coalesce(c >= ERROR_CODE_FLOOR, F.lit(False)) for c in codes])
@@ -58,8 +65,7 @@ def _waiting(task: str) -> Column:
 
 def with_status(df: DataFrame) -> DataFrame:
     """Adds ``task``, ``data``, ``provider_status`` and ``status_problem`` to unwrapped payloads."""
-    df = df.withColumn("task", single_task("block"))
-    df = df.withColumn("data", F.when(jsonx.is_object("task", "$.data"), jsonx.get("task", "$.data")))
+    df = with_task(df)
     results = jsonx.as_list("task", "$.result")
     bad_rows = F.exists(results, lambda r: ~jsonx.is_object(r))
     absent = ~jsonx.present("task", "$.result") | F.is_variant_null(jsonx.get("task", "$.result"))
@@ -76,14 +82,15 @@ def with_status(df: DataFrame) -> DataFrame:
         (_waiting("task"), "pending"),
         (F.size(results) > 0, "available"),
     ], "no_results")
-    return df.withColumn("status_problem", problem).withColumn("provider_status", status)
+    return computed(computed(df, status_problem=problem), provider_status=status)
 
 
 def request_context(df: DataFrame, data: str = "data") -> DataFrame:
     """Adds the request dimensions of a payload with their defaults."""
-    for name, (key, default) in CONTEXT_DEFAULTS.items():
-        df = df.withColumn(name, F.coalesce(jsonx.scalar_text(data, f"$.{key}"), F.lit(default)))
-    return df
+    return computed(df, **{
+        name: F.coalesce(jsonx.scalar_text(data, f"$.{key}"), F.lit(default))
+        for name, (key, default) in CONTEXT_DEFAULTS.items()
+    })
 
 
 def payload_problem(block: str) -> Column:
@@ -107,16 +114,22 @@ def payload_problem(block: str) -> Column:
     ])
 
 
+PAYLOAD_COLUMNS = ("payload", "block", "task", "data")
+
+
 def raw_items(df: DataFrame) -> DataFrame:
     """One row per raw item of all results, in payload order (``item_index`` from 0)."""
     lists = F.transform(
         jsonx.as_list("block", "$.tasks[0].result"),
         lambda r: F.coalesce(jsonx.as_list(r, "$.items"), F.array().cast("array<variant>")),
     )
-    return (
-        df.filter(F.col("payload_problem").isNull())
-        .select("*", F.posexplode(F.flatten(lists)).alias("item_index", "item"))
-        .withColumn("raw_item_json", F.coalesce(jsonx.canonical("item"), F.lit("null")))
+    rows = df.filter(F.col("payload_problem").isNull()).select(
+        *[c for c in df.columns if c not in PAYLOAD_COLUMNS],
+        F.posexplode(F.flatten(lists)).alias("item_index", "item"),
+    )
+    return computed(
+        rows, raw_item_json=F.coalesce(jsonx.canonical("item"), F.lit("null")),
+        item_type=F.when(jsonx.is_object("item"), jsonx.text("item", "$.type")),
     )
 
 
@@ -138,16 +151,14 @@ def search_observations(payloads: DataFrame, *, rekeyed: bool = True) -> DataFra
     Input: block plus query_id, provider, search_engine, search_type, location_code,
     language_code, device, collection_window, response_id, raw_file_hash (and provider_status).
     """
-    df = payloads.withColumn("payload_problem", payload_problem("block")).withColumn(
-        "observation_id", observation_id(rekeyed=rekeyed)
+    df = computed(
+        payloads, payload_problem=payload_problem("block"), observation_id=observation_id(rekeyed=rekeyed)
     )
     has_items = F.exists(
         jsonx.as_list("block", "$.tasks[0].result"),
         lambda r: F.size(F.coalesce(jsonx.as_list(r, "$.items"), F.array().cast("array<variant>"))) > 0,
     )
-    df = df.withColumn(
-        "has_results", F.col("payload_problem").isNull() & F.coalesce(has_items, F.lit(False))
-    )
+    df = computed(df, has_results=F.col("payload_problem").isNull() & F.coalesce(has_items, F.lit(False)))
     parsed = F.when(F.col("has_results"), "available").otherwise("no_results")
     if rekeyed:
         parsed = case([
@@ -157,10 +168,6 @@ def search_observations(payloads: DataFrame, *, rekeyed: bool = True) -> DataFra
     return df.withColumn("outcome_status", parsed)
 
 
-def _usable_item() -> Column:
-    return jsonx.is_object("item") & jsonx.text("item", "$.type").isNotNull()
-
-
 def _bad_rank(path: str) -> Column:
     """A rank is given but is not a positive integer."""
     given = jsonx.present("item", path) & ~F.is_variant_null(jsonx.get("item", path))
@@ -169,8 +176,8 @@ def _bad_rank(path: str) -> Column:
 
 def item_reasons(*, single: bool = False) -> Column:
     """Quarantine reasons of one raw item; ``single`` keeps only the last check that fired."""
-    malformed = ~F.coalesce(_usable_item(), F.lit(False))
-    unknown = ~jsonx.text("item", "$.type").isin(*KNOWN_SERP_ITEM_TYPES)
+    malformed = F.col("item_type").isNull()
+    unknown = ~F.col("item_type").isin(*KNOWN_SERP_ITEM_TYPES)
     ranks = F.coalesce(_bad_rank("$.rank_group") | _bad_rank("$.rank_absolute"), F.lit(False))
     if single:
         reason = case([(malformed, "malformed_item"), (ranks, "invalid_rank"), (unknown, "unknown_item_type")])
@@ -184,11 +191,11 @@ def item_reasons(*, single: bool = False) -> Column:
 
 def serp_items(items: DataFrame, *, keep_page: bool = False) -> DataFrame:
     """Normalized items; malformed ones are left to the quarantine."""
-    kept = items.withColumn("_reasons", item_reasons(single=keep_page)).filter(
-        F.coalesce(_usable_item(), F.lit(False))
+    kept = computed(
+        items.filter(F.col("item_type").isNotNull()), _reasons=item_reasons(single=keep_page),
+        _url=jsonx.nonempty("item", "$.url"), _domain=jsonx.nonempty("item", "$.domain"),
     )
-    kind = jsonx.text("item", "$.type")
-    url, domain = jsonx.nonempty("item", "$.url"), jsonx.nonempty("item", "$.domain")
+    kind, url, domain = F.col("item_type"), F.col("_url"), F.col("_domain")
     rank = jsonx.positive("item", "$.rank_group").cast("int")
     page = jsonx.integer("item", "$.page").cast("int") if keep_page else F.lit(None).cast("int")
     return kept.select(
@@ -299,9 +306,10 @@ def flatten_answers(payloads: DataFrame, payload: str = "payload") -> DataFrame:
 
     A payload with any structural problem keeps its row with ``answer_problem`` set.
     """
-    df = payloads.withColumn("answer_problem", answer_problem(payload))
-    df = df.withColumn("_task", jsonx.get(payload, "$.retrieval.tasks[0]"))
-    df = df.withColumn("_result", F.when(F.col("answer_problem").isNull(), jsonx.get("_task", "$.result[0]")))
+    df = computed(
+        payloads, answer_problem=answer_problem(payload), _task=jsonx.get(payload, "$.retrieval.tasks[0]")
+    )
+    df = computed(df, _result=F.when(F.col("answer_problem").isNull(), jsonx.get("_task", "$.result[0]")))
     listed = F.coalesce(jsonx.as_list("_result", "$.items"), F.array().cast("array<variant>"))
     numbered = F.transform(listed, lambda x, i: F.struct(i.alias("index"), x.alias("raw")))
     items = F.transform(
@@ -320,7 +328,7 @@ def flatten_answers(payloads: DataFrame, payload: str = "payload") -> DataFrame:
             n["raw"].alias("raw_item"),
         ),
     )
-    df = df.withColumn("items", items)
+    df = computed(df, items=items)
     joined = F.nullif(
         F.array_join(
             F.filter(F.transform("items", lambda i: i["text"]), lambda t: t != ""), "\n\n"

@@ -11,6 +11,16 @@ from pyspark.sql import functions as F
 SPREAD = 32
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds (or replaces) columns that are evaluated once per row.
+
+    A one-element ``inline`` keeps the optimizer from copying the expressions into every later
+    filter and projection that mentions them; payload expressions would multiply otherwise.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+
+
 def dense_grain(
     rows: DataFrame, registry: DataFrame, key: str | Sequence[str], spread: int = SPREAD
 ) -> DataFrame:

@@ -12,11 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.functions.dates import valid_on
-from sightline.functions.text import anchor, find_spans, fold, is_cjk, sharp_positions, words
+from sightline.functions.text import (
+    anchor, fold, is_cjk, longest_spans, sharp_positions, term_spans, words,
+)
+from sightline.operators.shape import computed
 
 INLINE_LIMIT = 2000
 TERM = ("identity", "needle", "cjk", "anchor", "start_date", "end_date")
@@ -67,7 +70,7 @@ def attach_terms(
     every = small_array(terms, TERM_TYPE, limit)
     if every is not None:
         anchors = F.array_distinct(F.transform(every, lambda t: t["anchor"]))
-        return rows.withColumn("_hit", F.array_intersect(own, anchors)).withColumn(
+        return computed(rows, _hit=F.array_intersect(own, anchors)).withColumn(
             "_terms",
             F.when(
                 F.size("_hit") > 0,
@@ -88,13 +91,16 @@ def match_spans(
     terms: DataFrame,
     as_of: str | None = None,
     limit: int = INLINE_LIMIT,
+    suppress: bool = True,
 ) -> DataFrame:
-    """One row per kept span: the input columns plus identity, span_start, span_end, matched_text.
+    """One row per kept span: the input columns (without the text) plus identity, span_start,
+    span_end and matched_text.
 
     Only terms valid on the row's ``as_of`` date take part, also when overlaps are decided.
+    ``suppress=False`` keeps overlapping spans of different terms.
     """
-    folded = rows.withColumn("_folded", fold(text)).withColumn("_sharp", sharp_positions(text))
-    candidates = attach_terms(folded, keys, "_folded", terms, limit)
+    folded = computed(rows, _folded=fold(text), _sharp=sharp_positions(text))
+    candidates = attach_terms(folded, keys, "_folded", terms, limit).filter(F.size("_terms") > 0)
     usable: Column = F.col("_terms")
     if as_of is not None:
         usable = F.filter(
@@ -102,19 +108,37 @@ def match_spans(
             lambda t: valid_on(t["start_date"], t["end_date"], F.col(as_of))
             | (t["start_date"].isNull() & t["end_date"].isNull()),
         )
-    spans = candidates.filter(F.size("_terms") > 0).withColumn(
-        "_spans", find_spans(F.col("_folded"), F.col("_sharp"), usable)
+    kept = [c for c in rows.columns if c != text]
+    found = candidates.select(
+        *kept, F.col(text).alias("_text"), F.inline(term_spans(F.col("_folded"), F.col("_sharp"), usable))
     )
-    return (
-        spans.withColumn("_span", F.explode("_spans"))
-        .withColumn("identity", F.col("_span.identity"))
-        .withColumn("span_start", F.col("_span.start"))
-        .withColumn("span_end", F.col("_span.end"))
-        .withColumn(
-            "matched_text",
-            F.substring(F.col(text), F.col("span_start") + 1, F.col("span_end") - F.col("span_start")),
-        )
-        .drop("_folded", "_sharp", "_terms", "_spans", "_span")
+    spans = found.select(
+        *kept, "identity", F.col("start").alias("span_start"), F.col("end").alias("span_end"),
+        F.substring("_text", F.col("start") + 1, F.col("end") - F.col("start")).alias("matched_text"),
+    )
+    return _longest(spans, keys, kept) if suppress else spans
+
+
+def _longest(spans: DataFrame, keys: Sequence[str], kept: Sequence[str]) -> DataFrame:
+    """Drops spans that overlap a longer one.
+
+    Runs of overlapping spans are cut apart by a running maximum of the span ends; the greedy
+    choice then only looks at the few spans of one run, and a lone span needs no choice at all.
+    """
+    order = Window.partitionBy(*keys).orderBy("span_start", "span_end", "identity")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = spans.withColumn(
+        "_new", F.coalesce(F.col("span_start") >= F.max("span_end").over(before), F.lit(True)).cast("int")
+    ).withColumn("_run", F.sum("_new").over(upto))
+    others = [c for c in kept if c not in keys]
+    span = F.struct("identity", F.col("span_start").alias("start"), F.col("span_end").alias("end"), "matched_text")
+    grouped = runs.groupBy(*keys, "_run").agg(
+        *[F.first(c).alias(c) for c in others], F.collect_list(span).alias("_spans")
+    )
+    chosen = F.when(F.size("_spans") == 1, F.col("_spans")).otherwise(longest_spans(F.col("_spans")))
+    return grouped.select(*kept, F.inline(chosen)).select(
+        *kept, "identity", F.col("start").alias("span_start"), F.col("end").alias("span_end"), "matched_text"
     )
 
 

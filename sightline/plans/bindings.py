@@ -249,12 +249,13 @@ BINDINGS: dict[str, str] = {
               case when o_custkey % 3 = 1 then '[{"title":"L","url":"https://brand2.shop/l"},3]' else '"bad"' end || '}' end as paid,
           '{"type":"' || case when o_orderkey % 2 = 0 then 'shopping' else 'gemini_products' end || '"' ||
             case o_custkey % 4 when 0 then '' when 1 then ',"items":null'
-              else ',"items":[{"title":"Brand' || cast(o_custkey % 25 as string) || ' shoe","brand":" Acme' || cast(o_custkey % 9 as string) || ' ","price":{"v":1}},{"title":"y","spec":{"deep":{"z":[1]}}}]' end || '}' as product,
+              else ',"items":[{"title":"Brand' || cast(o_custkey % 25 as string) || ' shoe","brand":" Acme' || cast(o_custkey % 9 as string) || ' ","price":{"v":1}},{"title":"y"' || case when o_custkey % 8 = 3 then ',"spec":{"deep":{"z":[1]}}' else '' end || '}]' end || '}' as product,
           '{"type":"chat_gpt_text","markdown":"See [Brand' || cast(o_custkey % 25 as string) || '](https://brand' || cast(o_custkey % 30 as string) ||
             '.shop/q?a=1#z) and [again](https://brand' || cast(o_custkey % 30 as string) || '.shop/q?a=1) or https://x.net/y now"' ||
-            case when o_custkey % 2 = 0 then ',"sources":[{"url":"HTTPS://Brand1.Shop:443"},{"url":"mailto:x"}]' else ',"sources":null' end || '}' as answer,
+            case o_custkey % 8 when 0 then ',"sources":[{"url":"https://Brand1.Shop:443"},{"url":"mailto:x"}]' when 1 then ',"sources":null' else ',"sources":[{"url":"https://Brand1.Shop:443"}]' end || '}' as answer,
           case when o_custkey % 5 = 0 then '{"type":"gemini_table","table":[["a",1],["b",null]],"references":[]}'
-            when o_custkey % 5 = 1 then '{"type":"gemini_text","text":""}' else '{"type":"widget"}' end as extra
+            when o_custkey % 5 = 1 then '{"type":"gemini_text","text":""}' when o_custkey % 5 = 2 then '{"type":"widget"}'
+            else '{"type":"gemini_text","text":"plain words","sources":[]}' end as extra
         from orders""",
     "src_tree_payloads": """
         select k, c, collected_at, collection_status, source_category,
@@ -262,8 +263,8 @@ BINDINGS: dict[str, str] = {
           md5(cast(k as string)) as raw_file_hash, 'northwind' as provider, 'google' as engine_or_platform, 'q' || cast(c % 20 as string) as query_id,
           'asked' as query_text, 'en' as language_code, '2840' as location_code, cast(null as string) as model_name,
           '{"retrieval":{"tasks":[{"id":"t","data":{"depth":10,"keyword":"kw","language_code":"zh_CN"},"status_code":20000,"result":[{' ||
-            case when c % 7 = 0 then '"items":"none"' when source_category = 'serp' then '"items":[' || organic || ',' || paid || ',' || product || ',{"type":"ai_overview","items":[' || answer || ',5],"references":[{"url":"https://brand3.shop/r"}]}]'
-              else '"items":[' || answer || ',' || product || ',' || extra || ',9]' end ||
+            case when c % 7 = 0 then '"items":"none"' when source_category = 'serp' then '"items":[' || organic || ',' || paid || ',' || product || ',{"type":"ai_overview","items":[' || answer || case when c % 9 = 0 then ',5' else '' end || '],"references":[{"url":"https://brand3.shop/r"}]}]'
+              else '"items":[' || answer || ',' || product || ',' || extra || case when c % 11 = 5 then ',9' else '' end || ']' end ||
             case when c % 4 = 0 then ',"sources":[{"url":"https://brand4.shop/s"},{"url":"https://brand4.shop/s#t"}]' when c % 4 = 1 then ',"sources":{"a":1}' else '' end ||
             case when c % 14 = 0 then ',"markdown":"fallback Brand' || cast(c % 25 as string) || '"' else '' end ||
             ',"items_count":4,"language_code":' || case when c % 3 = 0 then 'null' else '"en_GB"' end || ',"location_code":2276}]}]}}' as payload_text

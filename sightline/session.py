@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,6 +34,23 @@ def get_spark(app: str = "sightline", master: str | None = None, **extra: str) -
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """Folder every executor can reach, named by the cluster (None when unset)."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach: the one the cluster names, or a new one in local mode."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written once as Parquet to the shared folder and read back.
+
+    For results several branches of one plan use: the files cut the lineage, survive lost
+    executors, and each branch reads only the columns it needs.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/sightline/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
