@@ -24,7 +24,7 @@ NODE = (
     "struct<path:string,parent_path:string,parent_kind:string,kind:string,top:boolean,depth:int,"
     "value:variant>"
 )
-MAX_DEPTH = 8
+MAX_DEPTH = 6
 
 # Nested content that is provider metadata, not evidence.
 IGNORED_KEYS = (
@@ -114,7 +114,7 @@ def nested_content(kind: Column, key: Column, value: Column) -> Column:
 
 
 def node(
-    path: Column, kind: Column | str, value: Column, *, top: bool = False, depth: int = 0,
+    path: Column, kind: Column | str, value: Column, *, top: bool = False, depth: Column | int = 0,
     parent: Column | None = None, parent_kind: Column | None = None,
 ) -> Column:
     """A tree node as a struct; root nodes have no parent."""
@@ -123,7 +123,8 @@ def node(
         path.alias("path"), (none if parent is None else parent).alias("parent_path"),
         (none if parent_kind is None else parent_kind).alias("parent_kind"),
         (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
-        F.lit(top).alias("top"), F.lit(depth).alias("depth"), value.alias("value"),
+        F.lit(top).alias("top"), (depth if isinstance(depth, Column) else F.lit(depth)).alias("depth"),
+        value.alias("value"),
     )
 
 
@@ -150,10 +151,10 @@ def answer_raw_text(value: Column, with_table: bool = True) -> Column:
     return F.coalesce(*texts)
 
 
-def _children(grammar: Grammar, depth: int) -> Column:
+def _children(grammar: Grammar) -> Column:
     """Child nodes of the current row's ``node``."""
     own = F.col("node")
-    kind, value, path = own["kind"], own["value"], own["path"]
+    kind, value, path, below = own["kind"], own["value"], own["path"], own["depth"] + 1
     raw_type = jsonx.text(value, "$.type")
     empty = F.array().cast(f"array<{NODE}>")
 
@@ -165,7 +166,7 @@ def _children(grammar: Grammar, depth: int) -> Column:
             jsonx.as_list(inner),
             lambda child, i: node(
                 F.concat(at, F.lit("["), i.cast("string"), F.lit("]")),
-                _settled(grammar, as_kind, child), child, depth=depth + 1, parent=path,
+                _settled(grammar, as_kind, child), child, depth=below, parent=path,
                 parent_kind=kind,
             ),
         )
@@ -173,7 +174,7 @@ def _children(grammar: Grammar, depth: int) -> Column:
         if grammar.retain_nested:
             found = found.when(
                 nested_content(kind, key, inner),
-                F.array(node(at, "retained_nested", inner, depth=depth + 1, parent=path, parent_kind=kind)),
+                F.array(node(at, "retained_nested", inner, depth=below, parent=path, parent_kind=kind)),
             )
         return found.otherwise(empty)
 
@@ -191,7 +192,7 @@ def _children(grammar: Grammar, depth: int) -> Column:
             ),
             "citation",
             F.parse_json(F.to_json(F.struct(link["url"].alias("url"), F.lit("inline_link").alias("type")))),
-            depth=depth + 1, parent=path, parent_kind=kind,
+            depth=below, parent=path, parent_kind=kind,
         ),
     )
     inline = F.when((kind == grammar.answer_kind) & text.contains("]("), F.coalesce(links, empty)).otherwise(empty)
@@ -235,15 +236,13 @@ def expand(results: DataFrame, start: Column, grammar: Grammar, max_depth: int)
     """The walk from given start nodes (an array column expression over ``results``)."""
     keys = ["observation_id", "result_id", "source_category"]
     rows = results.select(*keys, F.explode(start).alias("node"))
-    self_only = F.array(F.col("node"))
+    self_only, children = F.array(F.col("node")), _children(grammar)
     for depth in range(max_depth):
-        grown = F.when(
-            F.col("node.depth") == depth, F.concat(self_only, _children(grammar, depth))
-        ).otherwise(self_only)
+        grown = F.when(F.col("node.depth") == depth, F.concat(self_only, children)).otherwise(self_only)
         rows = rows.select(*keys, F.explode(grown).alias("node"))
     rows = rows.withColumn(
         "unexpanded",
-        F.when(F.col("node.depth") == max_depth, F.size(_children(grammar, max_depth)) > 0).otherwise(False),
+        F.when(F.col("node.depth") == max_depth, F.size(children) > 0).otherwise(False),
     )
     return rows.select(*keys, "node.*", "unexpanded").select(
         *keys,

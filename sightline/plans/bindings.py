@@ -8,11 +8,14 @@ size grows with the tables. ``resolve`` finds the bindings a text refers to, in
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sightline.session import stored
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -329,6 +332,13 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
+        self._once: dict[str, DataFrame] = {}
+
+    def once(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A frame several branches of one query use, written to the shared folder once."""
+        if label not in self._once:
+            self._once[label] = stored(build(), label)
+        return self._once[label]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -55,7 +55,7 @@ def _(i):
     )
 
 
-PAGE_VARIANT = "case page_id % 5 when 0 then 'HTTPS://' || upper(substr(url, strpos(url, '://') + 3, 3)) || substr(url, strpos(url, '://') + 6) when 1 then replace(url, '.example.', '.example.:8443x') when 2 then replace(url, '/en/', ':443/en/') when 3 then replace(url, '://', '://user:pw@') else url end"
+PAGE_VARIANT = "case page_id % 5 when 0 then 'HTTPS://' || upper(substr(url, instr(url, '://') + 3, 3)) || substr(url, instr(url, '://') + 6) when 1 then replace(url, '.example.', '.example.:8443x') when 2 then replace(url, '/en/', ':443/en/') when 3 then replace(url, '://', '://user:pw@') else url end"
 HOST_SQL = "nullif(rtrim(lower(regexp_extract({0}, '^(?i:https?)://([^/?#:@\\s]+)(:[0-9]*)?([/?#]|$)', 1)), '.'), '')"
 
 
@@ -344,7 +344,7 @@ ANSWER_TEXT = "trim(replace(text, chr(92), ''))"
       case when doc_id % 10 > 3 then 'chat_gpt' else 'unknown' end as platform, 'unknown' as model_name, case when doc_id % 10 > 3 then 'kw' || doc_id end as query_text, case when doc_id % 10 > 3 then 't' || doc_id end as task_id,
       case when doc_id % 10 > 3 then 20000 end as status_code, case when doc_id % 10 > 3 then 0.25::double end as cost, case when doc_id % 10 > 3 then lang end as language_code, case when doc_id % 10 > 3 then '2840' end as location_code,
       case when doc_id % 10 > 3 then 2 else 0 end as items_count, case when doc_id % 10 = 4 then 'whole' when doc_id % 10 > 4 then {ANSWER_TEXT} || chr(10) || chr(10) || 'second part' end as response_text
-    from src_answer_payloads a join documents using (doc_id)""")
+    from (select request_id, doc_id from src_answer_payloads) a join documents using (doc_id)""")
 def _(i):
     return flat_answers(i).select(
         "request_id", "answer_problem", "platform", "model_name", "query_text", "task_id", "status_code", "cost",
@@ -378,11 +378,11 @@ def tree_payloads(i: Inputs) -> DataFrame:
 
 
 def results(i: Inputs) -> DataFrame:
-    return evidence.result_rows(tree_payloads(i))
+    return i.once("results", lambda: evidence.result_rows(tree_payloads(i)))
 
 
 def nodes(i: Inputs) -> DataFrame:
-    return evidence.collect_nodes(results(i))
+    return i.once("nodes", lambda: evidence.collect_nodes(results(i)))
 
 
 def dated(df: DataFrame, i: Inputs) -> DataFrame:
@@ -391,7 +391,7 @@ def dated(df: DataFrame, i: Inputs) -> DataFrame:
 
 
 def tree_items(i: Inputs) -> DataFrame:
-    return tree.feature_items(nodes(i))
+    return i.once("items", lambda: tree.feature_items(nodes(i)))
 
 
 def issues(i: Inputs) -> DataFrame:
@@ -400,7 +400,7 @@ def issues(i: Inputs) -> DataFrame:
 
 
 def coverage(i: Inputs) -> DataFrame:
-    return evidence.feature_coverage(results(i), tree_items(i), issues(i))
+    return i.once("coverage", lambda: evidence.feature_coverage(results(i), tree_items(i), issues(i)))
 
 
 R = "'$.retrieval.tasks[0].result[0]'"
@@ -544,7 +544,9 @@ def host_matches(i: Inputs) -> DataFrame:
 
 
 def matches(i: Inputs) -> DataFrame:
-    return evidence.all_matches([text_matches(i), host_matches(i), evidence.proposal_matches(tree_items(i))])
+    return i.once("matches", lambda: evidence.all_matches(
+        [text_matches(i), host_matches(i), evidence.proposal_matches(tree_items(i))]
+    ))
 
 
 @query("brand_text_matches", "select 'obs' || k as observation_id, brand_id as identity_id, evidence_type, matched_field, span_start, span_start + length(brand_id) as span_end from o_text_hits")
@@ -686,7 +688,7 @@ def response_frames(i: Inputs) -> tuple[DataFrame, DataFrame]:
     from sightline.schemas import RESPONSE_EVIDENCE_VERSION
 
     rows = evidence.result_rows(tree_payloads(i), RESPONSE_EVIDENCE_VERSION)
-    return rows, tree.walk(rows, tree.RESPONSE_GRAMMAR)
+    return rows, i.once("response_nodes", lambda: tree.walk(rows, tree.RESPONSE_GRAMMAR))
 
 
 @query("response_tree_counts", """
