@@ -187,7 +187,7 @@ def span_terms(i: Inputs) -> DataFrame:
 
 
 def spans(i: Inputs, **options) -> DataFrame:
-    docs = i.table("documents").select("doc_id", F.replace(F.lower("text"), F.lit("ß"), F.lit("")).alias("text"))
+    docs = i.spread(i.table("documents")).select("doc_id", F.replace(F.lower("text"), F.lit("ß"), F.lit("")).alias("text"))
     found = match_spans(docs, ["doc_id"], "text", span_terms(i), **options)
     return found.select("doc_id", "identity", "span_start", "span_end")
 
@@ -208,7 +208,7 @@ def _(i):
 
 
 def pages(i: Inputs) -> DataFrame:
-    df = i.bind("src_page_payloads").withColumn("payload", jsonx.parse("payload_text"))
+    df = i.spread(i.bind("src_page_payloads")).withColumn("payload", jsonx.parse("payload_text"))
     return payloads.with_status(payloads.unwrap(df, "payload"))
 
 
@@ -219,13 +219,13 @@ step("o_pages", """
 
 @query("envelope_families", "select k, case when shape = 'none' then null else shape end as family from src_page_parts")
 def _(i):
-    df = i.bind("src_page_payloads").withColumn("payload", jsonx.parse("payload_text"))
+    df = i.spread(i.bind("src_page_payloads")).withColumn("payload", jsonx.parse("payload_text"))
     return payloads.unwrap(df, "payload").select("k", "family")
 
 
 @query("incremental_envelope_families", "select k, case shape when 'none' then null when 'live_advanced' then null else shape end as family from src_page_parts")
 def _(i):
-    df = i.bind("src_page_payloads").withColumn("payload", jsonx.parse("payload_text"))
+    df = i.spread(i.bind("src_page_payloads")).withColumn("payload", jsonx.parse("payload_text"))
     return payloads.unwrap(df, "payload", payloads.INCREMENTAL_ENVELOPES).select("k", "family")
 
 
@@ -319,7 +319,7 @@ def _(i):
 
 
 @query("feature_capabilities", """
-    select observation_id, c % 3 < 2 as feature_supported, c % 3 < 2 and exists (select 1 from o_page_items p where p.observation_id = o.observation_id and p.kind = 'organic' and p.ra is not null) as feature_observed from o_observed o""")
+    select observation_id, c % 3 < 2 as feature_supported, c % 3 < 2 and p.k is not null as feature_observed from o_observed o left join (select distinct k from o_page_items where kind = 'organic' and ra is not null) p using (k)""")
 def _(i):
     seen = observed_pages(i)
     rows = payloads.organic_results(payloads.serp_items(payloads.raw_items(seen)), seen)
@@ -374,7 +374,7 @@ def _(i):
 
 
 def tree_payloads(i: Inputs) -> DataFrame:
-    return i.bind("src_tree_payloads").withColumn("payload", jsonx.parse("payload_text")).drop("payload_text")
+    return i.spread(i.bind("src_tree_payloads")).withColumn("payload", jsonx.parse("payload_text")).drop("payload_text")
 
 
 def results(i: Inputs) -> DataFrame:
@@ -568,7 +568,7 @@ def _(i):
 
 
 def answer_texts(i: Inputs) -> DataFrame:
-    return i.table("documents").select(
+    return i.spread(i.table("documents")).select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item_id"), F.lit("o").alias("observation_id"), F.lit("r").alias("result_id"),
         F.lit("answer_text").alias("item_kind"), F.lit("answer_text").alias("evidence_type"), F.lit("text").alias("matched_field"),
         F.replace(F.lower("text"), F.lit("ß"), F.lit("")).alias("field_text"),
@@ -593,10 +593,10 @@ def _(i):
     return evidence.category_matches(answer_texts(i), category_rules(i)).select("item_id", "identity_id", "method", "span_start")
 
 
-@query("readable_items", f"""
+@query("readable_items", """
+    with nm as (select h.k, h.path, string_agg(distinct b.canonical_name, ',' order by b.canonical_name) as names from (select k, path, brand_id from o_text_hits union select k, path, brand_id from o_owned_hits) h join o_ok_brands b on b.brand_id = h.brand_id group by 1, 2)
     select 'obs' || n.k as observation_id, n.path as json_path, case when n.kind = 'product' and n.path like '%.items[0]' then 'Acme' || (n.c % 9) else '' end as candidate_brand_names, 'unknown' as reviewed_category_ids,
-      coalesce((select string_agg(distinct b.canonical_name, ',' order by b.canonical_name) from o_ok_brands b where b.brand_id in (select h.brand_id from o_text_hits h where h.k = n.k and h.path = n.path union select w.brand_id from o_owned_hits w where w.k = n.k and w.path = n.path)), '') as approved_brand_names
-    from o_nodes n where n.kind not in ('citation')""")
+      coalesce(nm.names, '') as approved_brand_names from o_nodes n left join nm on nm.k = n.k and nm.path = n.path where n.kind not in ('citation')""")
 def _(i):
     context = results(i).select("result_id", "query_id", "collection_status")
     rows = features.readable_items(tree_items(i), context, matches(i))
@@ -650,7 +650,7 @@ def research(i: Inputs) -> DataFrame:
 @query("research_metrics", """
     with own as (select k, feature, entity, count(distinct brand_id) as owners, min(brand_id) as brand_id from o_entities where feature <> 'answer_text' group by 1, 2, 3),
     ex as (select k, feature, brand_id, count(*) as n from own where owners = 1 group by 1, 2, 3),
-    r as (select f.*, case when f.feature = 'answer_text' then f.n_own else coalesce(ex.n, 0) end as cnt from o_feature_rows f left join ex on ex.k = f.k and ex.feature = f.feature and ex.brand_id = f.brand_id)
+    r as (select f.*, case when f.feature = 'answer_text' then f.n_own else coalesce(ex.n, 0) end as cnt from (select * from o_feature_rows where brand_id in (select brand_id from o_ok_brands where ownership_type in ('owned', 'competitor'))) f left join ex on ex.k = f.k and ex.feature = f.feature and ex.brand_id = f.brand_id)
     select brand_id, feature, coverage_status, count(*) as rows, sum(case when coverage_status in ('complete', 'partial') then cnt end)::bigint as observed,
       sum(case when coverage_status = 'complete' then (n_own > 0)::int end)::bigint as presence_numerator, sum(case when coverage_status = 'complete' then 1 end)::bigint as presence_denominator,
       sum(case when coverage_status = 'complete' and feature <> 'answer_text' then cnt end)::bigint as share_numerator, sum(case when feature <> 'answer_text' then exhaustive_count end)::bigint as share_denominator from r group by 1, 2, 3""")
@@ -671,8 +671,8 @@ def _(i):
 @query("result_contexts", """
     select observation_id, result_id, case when collection_status = 'pending' then case when true then 'zh-cn' end when c % 3 = 0 then 'zh-cn' else 'en-gb' end as language_code, case when collection_status = 'pending' then '2840' else '2276' end as location_code,
       'kw' as query_text, 10 as request_depth, collection_status, case when collection_status <> 'pending' and listed then case when serp then 4 else 3 + (c % 11 = 5)::int end end as top_level_item_count,
-      case when collection_status <> 'pending' then 4 end as provider_reported_item_count, case when collection_status <> 'pending' and listed then (select count(*) from o_nodes n where n.k = o_tree.k and n.top and n.kind <> 'unsupported' and not (n.kind = 'answer_text' and n.path like '%items[2]' and n.c % 5 = 1)) end as parsed_top_level_item_count
-    from o_tree""")
+      case when collection_status <> 'pending' then 4 end as provider_reported_item_count, case when collection_status <> 'pending' and listed then coalesce(g.n, 0) end as parsed_top_level_item_count
+    from o_tree left join (select k, count(*) as n from o_nodes n where n.top and n.kind <> 'unsupported' and not (n.kind = 'answer_text' and n.path like '%items[2]' and n.c % 5 = 1) group by 1) g using (k)""")
 def _(i):
     rows = evidence.result_context(results(i), tree_items(i), issues(i))
     return rows.select(
@@ -709,8 +709,8 @@ step("o_summary", """
 @query("response_summaries", """
     select observation_id, collection_status, cov as evidence_coverage_status, case when cov = 'complete' then 8 end as atomic_item_count, case when cov = 'complete' then 0 end as organic_count, case when cov = 'complete' then 2 end as product_card_count,
       case when cov = 'complete' then 2 end as answer_block_count, case when cov = 'complete' then 0 end as image_count, case when cov = 'complete' then 3 end as citation_count,
-      coalesce((select string_agg(distinct brand_id, ',' order by brand_id) from (select k, brand_id from o_text_hits union select k, brand_id from o_owned_hits) x where x.k = o_summary.k), '') as brand_ids, 'unknown' as business_categories
-    from o_summary""")
+      coalesce(x.ids, '') as brand_ids, 'unknown' as business_categories
+    from o_summary left join (select k, string_agg(distinct brand_id, ',' order by brand_id) as ids from (select k, brand_id from o_text_hits union select k, brand_id from o_owned_hits) group by 1) x using (k)""")
 def _(i):
     rows, walked = response_frames(i)
     approved = matches(i).filter("identity_type = 'brand'")
