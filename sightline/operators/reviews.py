@@ -88,10 +88,8 @@ def review_history(events: DataFrame, opportunity_id: str | None = None) -> Data
 
 def latest_reviews(events: DataFrame) -> DataFrame:
     """Current state of every opportunity (partial aggregation, no per-key sort)."""
-    return events.groupBy("opportunity_id").agg(
-        F.max("sequence").alias("sequence"), F.max_by("status", "sequence").alias("status"),
-        F.max_by("release_id", "sequence").alias("release_id"),
-    )
+    newest = F.max(F.struct("sequence", "status", "release_id")).alias("_e")
+    return events.groupBy("opportunity_id").agg(newest).select("opportunity_id", "_e.*")
 
 
 def attempt_problems(events: DataFrame) -> DataFrame:

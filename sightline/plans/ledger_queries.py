@@ -402,7 +402,7 @@ def _(i):
     return reviews.review_history(i.bind("src_reviews")).select("opportunity_id", "sequence", "status")
 
 
-@query("latest_reviews", "select opportunity_id, max(sequence) as sequence, max_by(status, sequence) as status, max_by(release_id, sequence) as release_id from src_reviews group by 1")
+@query("latest_reviews", "select opportunity_id, e.sequence, e.status, e.release_id from (select opportunity_id, max({'sequence': sequence, 'status': status, 'release_id': release_id}) as e from src_reviews group by 1)")
 def _(i):
     return reviews.latest_reviews(i.bind("src_reviews"))
 
