@@ -30,7 +30,8 @@ def read_raw(spark: SparkSession, root: str, day: str | None = None) -> DataFram
     if day is None:
         return reader.option("recursiveFileLookup", "true").load([f"{root}/{c}" for c in CATEGORIES])
     y, m, d = day.split("-")
-    return reader.load([f"{root}/{c}/*/*/{y}/{m}/{d}/*/*" for c in CATEGORIES])
+    categories = "{" + ",".join(CATEGORIES) + "}"
+    return reader.load(f"{root}/{categories}/*/*/{y}/{m}/{d}/*/*")
 
 
 def with_path_parts(files: DataFrame) -> DataFrame:

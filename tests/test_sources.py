@@ -1,6 +1,7 @@
 import hashlib
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,10 +117,9 @@ def test_running_sum_over_blocks(spark):
         assert got[n] == total
 
 
-def test_shared_dir_prefers_the_cluster_setting(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    assert shared_dir(spark) == str(tmp_path)
-    spark.conf.unset("spark.checkpoint.dir")
+def test_shared_dir_prefers_the_cluster_setting(tmp_path):
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: str(tmp_path)))
+    assert shared_dir(session) == str(tmp_path)
 
 
 def test_streaming_ingest(spark, tmp_path):
