@@ -572,7 +572,8 @@ def response_summary(
     listed = F.coalesce(jsonx.is_list("result", "$.items"), F.lit(False))
     sources = jsonx.get("result", "$.sources")
     bad_sources = F.coalesce(
-        ~F.is_variant_null(sources) & ~jsonx.is_list("result", "$.sources"), F.lit(False)
+        sources.isNotNull() & ~F.is_variant_null(sources) & ~jsonx.is_list("result", "$.sources"),
+        F.lit(False),
     )
     per_response = results.groupBy("observation_id", "source_category").agg(
         F.first("collection_status").alias("_status"),

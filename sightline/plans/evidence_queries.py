@@ -695,7 +695,7 @@ def response_frames(i: Inputs) -> tuple[DataFrame, DataFrame]:
     with n as (select o.*, t.serp from o_nodes o join o_tree t using (k))
     select item_kind, count(*) as nodes from (
       select case kind when 'product' then 'product_card' when 'answer_text' then 'answer_block' when 'paid' then 'unsupported' when 'answer_module' then 'unsupported' else kind end as item_kind from n
-      where kind not in ('retained_nested', 'ad_link') and path not like '%links[1]' and not (path like '%.markdown') and not (serp and path like '%.items[3].items%')
+      where kind not in ('retained_nested', 'ad_link') and path not like '%.links[1]' and not (path like '%.markdown') and not (serp and path like '%.items[3].items%')
     ) group by 1""")
 def _(i):
     _, walked = response_frames(i)
