@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sightline.functions.cols import case, flag, rate
 from sightline.functions.ids import joined_hash
 from sightline.functions.jsonx import array_length
-from sightline.operators.shape import dense_grain, union_all
+from sightline.operators.shape import computed, dense_grain, union_all
 from sightline.operators.terms import attach_substrings
 from sightline.schemas import ANSWER_METRIC, AVAILABLE, SERP_METRIC
 
@@ -135,10 +135,12 @@ def answer_visibility(
         F.col("collection_window_id").alias("collection_window"),
     )
     received = responses.select("response_id", F.col("received_at_utc").alias("collected_at"))
-    texts = (
-        observations.withColumn("_answer", F.lower(F.coalesce("response_text", F.lit(""))))
-        .withColumn("_items", F.lower(F.coalesce(strip_item_keys(F.col("items_json")), F.lit(""))))
-        .withColumn("_citations", F.lower(F.coalesce("citations_json", F.lit(""))))
+    # Lambdas do not share work, so the lower-cased texts must exist before terms are tried.
+    texts = computed(
+        observations,
+        _answer=F.lower(F.coalesce("response_text", F.lit(""))),
+        _items=F.lower(F.coalesce(strip_item_keys(F.col("items_json")), F.lit(""))),
+        _citations=F.lower(F.coalesce("citations_json", F.lit(""))),
     )
     mentions = attach_substrings(
         texts, "observation_id", ["_answer", "_items"], alias_terms(aliases, brands), "_mentions", **extra

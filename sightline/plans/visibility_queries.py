@@ -22,7 +22,7 @@ def searches(i: Inputs) -> DataFrame:
 
 
 def answers(i: Inputs) -> DataFrame:
-    return st.stage(i.bind("src_answers"), st.ANSWER_OBSERVATIONS)
+    return st.stage(i.spread(i.bind("src_answers")), st.ANSWER_OBSERVATIONS)
 
 
 def organic(i: Inputs) -> DataFrame:
