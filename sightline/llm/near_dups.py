@@ -239,7 +239,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
     wanted = texts.join(hubs.select("digest"), "digest", "left_semi").select("first_id", "digest")
     source = docs.select(F.col("doc_id").cast("long").alias("first_id"), _digest().alias("digest"), "text")
     wanted = stored(wanted.select(F.col("first_id").alias("w_id"), F.col("digest").alias("w_digest")), "near-wanted")
-    found = source.join(wanted, source["first_id"].eqNullSafe(wanted["w_id"]) & (source["digest"] == wanted["w_digest"]), "left_semi")
+    # Merged whatever its size: the wanted texts grow with the input, and so the plan is the same for every input.
+    found = source.hint("merge").join(wanted, source["first_id"].eqNullSafe(wanted["w_id"]) & (source["digest"] == wanted["w_digest"]), "left_semi")
     sets = shingle_sets(found, weighted).groupBy("digest").agg(F.first("elements").alias("elements"))
     sets = stored(sets, "near-sets")
     left = pairs.join(sets.withColumnRenamed("digest", "b").withColumnRenamed("elements", "b_set"), "b")
