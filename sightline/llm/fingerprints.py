@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.llm.kernels import runs, slices, span_hashes
+from sightline.llm.tables import bounded_batches
 
 MIN_BYTES, AVERAGE_BYTES, MAX_BYTES = 32, 64, 256
 GEAR = np.random.default_rng(64).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -97,7 +98,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             own = pa.array([written(x) for x in digests(batch.column("text"))], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, "fingerprint"])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("fingerprint", T.StringType())]))
+    return bounded_batches(kept).mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("fingerprint", T.StringType())]))
 
 
 def _ranges(docs: DataFrame, parts: int) -> tuple[list[int], list[int]]:
@@ -166,7 +167,7 @@ def _neighbour_rows(dealt: DataFrame) -> DataFrame:
             yield _measured(edited, pairs)
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return ordered.mapInArrow(run, schema)
+    return bounded_batches(ordered).mapInArrow(run, schema)
 
 
 def _measured(edited: list[str], pairs: list[tuple]) -> pa.RecordBatch:

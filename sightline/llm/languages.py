@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.llm.kernels import slices
+from sightline.llm.tables import bounded_batches
 
 UNIFORM = 8.0
 UNKNOWN = "und"
@@ -47,7 +48,7 @@ def _escaped(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.where(total == 0, shorter, np.where(counts > 0, seen, escape + shorter)).astype(np.float32)
 
 
-def grow(texts: dict[str, list[bytes]], least: int = 4) -> Trees:
+def grow(texts: dict[str, list[bytes]], least: int = 16) -> Trees:
     """Trees of labelled texts. Contexts of three bytes seen fewer than `least` times in every language are not kept."""
     languages = sorted(texts)
     present = np.zeros(256, bool)
@@ -69,22 +70,24 @@ def grow(texts: dict[str, list[bytes]], least: int = 4) -> Trees:
         context, at = np.unique(key // k, return_inverse=True)
         wanted.append(context[np.bincount(at, count, len(context)) >= least])
     third = np.unique(np.concatenate(wanted)) if wanted else np.zeros(0, np.int64)
-    # Rows: every context of two symbols (with the shorter ones folded in), then the kept ones of three.
-    context = np.tile(np.arange(k * k, dtype=np.int32), k)
-    context[third] = k * k + np.arange(len(third), dtype=np.int32)
-    cost = np.zeros((k * k + len(third), k, len(languages)), np.float32)
+    second = np.unique(np.concatenate([np.zeros(0, np.int64), *(key // k % (k * k) for key, _ in keys.values())]))
+    # Rows: the contexts of one symbol, the seen ones of two, the kept ones of three.
+    pair = np.tile(np.arange(k, dtype=np.int32), k)
+    pair[second] = k + np.arange(len(second), dtype=np.int32)
+    context = np.tile(pair, k)
+    context[third] = k + len(second) + np.arange(len(third), dtype=np.int32)
+    cost = np.zeros((k + len(second) + len(third), k, len(languages)), np.float32)
     for i, name in enumerate(languages):
         key, count = keys[name]
         order2 = np.bincount(key % k**3, count, k**3).reshape(k * k, k)
         order1 = order2.reshape(k, k, k).sum(0)
         bits0 = _escaped(order1.sum(0, keepdims=True), np.full((1, k), UNIFORM, np.float32))
         bits1 = _escaped(order1, bits0)
-        cost[: k * k, :, i] = bits2 = _escaped(order2, np.tile(bits1, (k, 1)))
-        row = np.searchsorted(third, key // k)
-        row = np.minimum(row, max(0, len(third) - 1))
+        bits2 = _escaped(order2, np.tile(bits1, (k, 1)))
+        row = np.minimum(np.searchsorted(third, key // k), max(0, len(third) - 1))
         own = third[row] == key // k if len(third) else np.zeros(len(key), bool)
         order3 = np.bincount(row[own] * k + key[own] % k, count[own], len(third) * k).reshape(len(third), k)
-        cost[k * k :, :, i] = _escaped(order3, bits2[third % (k * k)])
+        cost[:, :, i] = np.concatenate([bits1, bits2[second], _escaped(order3, bits2[third % (k * k)])])
     return Trees(languages, classes, k, context, cost.reshape(-1, len(languages)))
 
 
@@ -168,4 +171,4 @@ def identify(docs: DataFrame, trees: Trees) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "lang_pred", "lang_score", "lang_bits"])
 
     extra = [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType()), T.StructField("lang_bits", T.DoubleType())]
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *extra]))
+    return bounded_batches(kept).mapInArrow(run, T.StructType([*kept.schema.fields, *extra]))

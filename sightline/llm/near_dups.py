@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm.graph import components
 from sightline.llm.kernels import mixed, shingles, slices
-from sightline.llm.tables import stored
+from sightline.llm.tables import bounded_batches, stored
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -130,7 +130,7 @@ def band_keys(docs: DataFrame, weighted: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "digest", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), "text")
-    return rows.mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+    return bounded_batches(rows).mapInArrow(run, "doc_id long, digest binary, bands array<long>")
 
 
 def _digest():
@@ -155,7 +155,7 @@ def shingle_sets(texts: DataFrame, weighted: bool = False) -> DataFrame:
                     out[low + i] = np.sort(element[cut[i] : cut[i + 1]].view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, pa.list_(pa.int64()))], ["digest", "elements"])
 
-    return texts.select("digest", "text").mapInArrow(run, "digest binary, elements array<long>")
+    return bounded_batches(texts).select("digest", "text").mapInArrow(run, "digest binary, elements array<long>")
 
 
 def _close(left: str, right: str, least: float):

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm.kernels import runs
+from sightline.llm.tables import bounded_batches
 from sightline.llm.tokens import encoder, vocabulary_path
 
 WINDOW = 1024
@@ -117,4 +118,4 @@ def pack(docs: DataFrame, window: int = WINDOW, end: int = END, path: str | None
         yield table(packed())
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return bounded_batches(rows).mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -32,6 +32,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The frame, after its session was told to hand rows to Python in small batches, so that long texts fit in a worker's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return df
+
+
 def held_out(doc_id: str | Column, parts: int, part: int) -> Column:
     """True where crc32 of the id as text leaves the remainder `part`; rows without an id are never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part, F.lit(False))

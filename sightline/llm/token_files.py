@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.llm.tables import stored
+from sightline.llm.tables import bounded_batches, stored
 from sightline.llm.tokens import encoder, vocabulary_path
 
 MAGIC = b"SLTB"
@@ -264,7 +264,7 @@ def write_token_files(docs: DataFrame, folder: str, end: int = END, path: str |
         if held:
             yield block()
 
-    rows.mapInArrow(run, "shard int, block long, doc_ids array<long>, lengths array<long>, data binary").write.parquet(folder)
+    bounded_batches(rows).mapInArrow(run, "shard int, block long, doc_ids array<long>, lengths array<long>, data binary").write.parquet(folder)
 
 
 def read_token_files(spark, folder: str) -> DataFrame:

@@ -13,7 +13,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 # A single space between two other characters always starts a new piece in this vocabulary's own splitting rule.
 WORD_START = re.compile(r"(?<=\S) (?=\S)")
 

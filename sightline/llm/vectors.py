@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm.graph import components
-from sightline.llm.tables import stored
+from sightline.llm.tables import bounded_batches, stored
 
 COSINE = 0.9
 SAMPLE = 20_000
@@ -170,7 +170,7 @@ def _links_of_size(spark, texts: DataFrame, d: int, n: int, cosine: float, seed:
                 arrays = [part.column("key"), part.column("v"), pa.array(where, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed), pa.array([p.astype(np.int32) for p in near], pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["key", "v", "list", "codes", "missed", "probes"])
 
-    rows = stored(texts.select("key", "v").mapInArrow(coded, "key binary, v array<double>, list int, codes binary, missed double, probes array<int>"), "vec-coded")
+    rows = stored(bounded_batches(texts).select("key", "v").mapInArrow(coded, "key binary, v array<double>, list int, codes binary, missed double, probes array<int>"), "vec-coded")
     asked = rows.select("key", "v", F.explode("probes").alias("list"))
     sizes = rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     asks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ask_blocks"))
