@@ -14,8 +14,13 @@ ANY_MARKDOWN_LINK = r"\[([^\]]*)\]\([^)]*\)"
 BARE_URL = r"<?https?://[^\s<>]+>?"
 WORD = r"[\p{L}\p{N}_]+"
 WORD_CHAR = r"[\p{L}\p{N}_]"
+SYMBOL = r"[^\p{L}\p{N}_\s]"
 CJK = r"[㐀-鿿぀-ヿ가-힯]"
 SECRET_PARAMETER = r"(?i)([?&](?:api[_-]?key|token|access_token|password|secret)=)[^&#\s]*"
+SECRET_JSON_PARAMETER = (
+    r"(?i)([?&](?:api[_-]?key|token|access_token|password|secret)=)"
+    r'(?:[^&#\s"\\]|\\["\\/b]|\\u(?!00(?:09|0[a-d]|20|85|a0))[0-9a-f]{4})*+'
+)
 UNKNOWN_LABEL = "Unknown (not recorded)"
 
 
@@ -67,6 +72,11 @@ def redact_parameters(value: ColumnLike) -> Column:
     return F.regexp_replace(col(value), SECRET_PARAMETER, "$1[REDACTED]")
 
 
+def redact_json_parameters(value: ColumnLike) -> Column:
+    """The same inside JSON text: a parameter ends with its string at the latest; escaped characters belong to it."""
+    return F.regexp_replace(col(value), SECRET_JSON_PARAMETER, "$1[REDACTED]")
+
+
 def fold(value: ColumnLike) -> Column:
     """Case folding: lower case plus the folds ``lower`` does not make (ß, ς, ſ, µ)."""
     lowered = F.translate(F.lower(col(value)), "ςſµ", "σsμ")

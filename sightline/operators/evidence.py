@@ -16,7 +16,7 @@ from sightline.functions.url import canonical_url, host_suffixes, hostname
 from sightline.operators import tree
 from sightline.operators.payloads import EVIDENCE_ENVELOPES, explicit_brands, unwrap, with_task
 from sightline.operators.shape import computed, dense_grain, union_all
-from sightline.operators.staging import eligible_brands, usable_aliases, usable_domains
+from sightline.operators.staging import eligible_brand_rows, usable_aliases, usable_domains
 from sightline.operators.terms import match_spans, term_table
 from sightline.schemas import (
     ERROR_CODE_FLOOR, FEATURE_EVIDENCE_VERSION, FEATURES, PENDING_CODES, RESPONSE_EVIDENCE_VERSION,
@@ -161,7 +161,7 @@ def fallback_nodes(results: DataFrame, nodes: DataFrame) -> DataFrame:
         F.parse_json(F.to_json(F.struct(
             F.lit("result_markdown").alias("type"), markdown.alias("markdown")))),
     )
-    return tree.expand(rows, F.array(start), tree.FEATURE_GRAMMAR, max_depth=1)
+    return tree.expand(rows, F.array(start), tree.FEATURE_GRAMMAR)
 
 
 def result_issues(results: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -203,9 +203,9 @@ def result_issues(results: DataFrame, nodes: DataFrame) -> DataFrame:
     ).select("observation_id", "result_id", "i.feature", "i.issue")
 
 
-def collect_nodes(results: DataFrame, max_depth: int = tree.MAX_DEPTH) -> DataFrame:
+def collect_nodes(results: DataFrame) -> DataFrame:
     """Walked nodes of the feature grammar including the markdown fallback."""
-    nodes = tree.walk(results, tree.FEATURE_GRAMMAR, max_depth)
+    nodes = tree.walk(results, tree.FEATURE_GRAMMAR)
     return nodes.unionByName(fallback_nodes(results, nodes))
 
 
@@ -294,7 +294,7 @@ def brand_terms(brands: DataFrame, aliases: DataFrame) -> DataFrame:
     A term is valid while both its own window and its brand's window are; the later start and the
     earlier end decide.
     """
-    approved = eligible_brands(brands).select(
+    approved = eligible_brand_rows(brands).select(
         "brand_id", "canonical_name",
         F.to_date("effective_start_date").alias("brand_start"), F.to_date("effective_end_date").alias("brand_end"),
     )
@@ -311,7 +311,7 @@ def brand_terms(brands: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def registered_hosts(brands: DataFrame, domains: DataFrame) -> DataFrame:
-    approved = eligible_brands(brands).select(
+    approved = eligible_brand_rows(brands).select(
         "brand_id", "canonical_name",
         F.to_date("effective_start_date").alias("brand_start"), F.to_date("effective_end_date").alias("brand_end"),
     )

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import re
+from collections.abc import Collection, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sightline.functions import jsonx
 from sightline.functions.cols import any_of, case
 from sightline.functions.ids import candidate_id, uuid5
-from sightline.functions.text import redact_parameters
+from sightline.functions.text import redact_json_parameters, redact_parameters
 from sightline.functions.url import legacy_canonical_url, normalized_domain
 from sightline.operators.shape import computed, union_all
 from sightline.schemas import ERROR_CODE_FLOOR, KNOWN_SERP_ITEM_TYPES, PARSED_ENGINES, PENDING_CODES
@@ -409,22 +413,52 @@ SENSITIVE_KEYS = (
 )
 
 
-def _without_keys(value: Column, names: Sequence[str], depth: int) -> Column:
-    """A JSON value without the named keys down to ``depth`` levels of nesting."""
-    if depth == 0:
-        return value
-    as_map, as_list = jsonx.as_object(value), jsonx.as_list(value)
-    kept = F.map_filter(as_map, lambda k, v: ~F.lower(k).isin(*names))
-    cleaned = F.transform_values(kept, lambda k, v: _without_keys(v, names, depth - 1))
-    rows = F.transform(as_list, lambda v: _without_keys(v, names, depth - 1))
-    rebuild = lambda nested: F.parse_json(F.to_json(nested))
-    return F.when(as_map.isNotNull(), rebuild(cleaned)).when(as_list.isNotNull(), rebuild(rows)).otherwise(value)
+JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{},:]|[^\s"\[\]{},:]+')
 
 
-def sanitized(df: DataFrame, column: str, depth: int = 5) -> DataFrame:
-    """JSON text without credential keys and with credential URL parameters redacted.
+def without_members(text: str, names: Collection[str] = SENSITIVE_KEYS) -> str:
+    """Compact JSON text without the members of the named keys at any depth.
 
-    Text that is not JSON only gets the parameter redaction.
+    One pass over the tokens, so the nesting is not limited; numbers and strings keep their spelling.
     """
-    clean = jsonx.canonical(_without_keys(jsonx.parse(column), SENSITIVE_KEYS, depth))
-    return df.withColumn(column, redact_parameters(F.coalesce(clean, F.col(column))))
+    out: list[str] = []
+    skip, level = None, 0  # level: depth of brackets; skip: the level at which a dropped member ends
+    tokens = JSON_TOKEN.findall(text)
+    for i, token in enumerate(tokens):
+        closing = token in ("}", "]")
+        if skip is not None and ((closing or token == ",") and level == skip):
+            skip = None
+            if token == "," and out[-1] not in ("{", "["):
+                out.append(token)
+                continue
+            if token == ",":
+                continue
+        if skip is None and token[0] == '"' and tokens[i + 1 : i + 2] == [":"]:
+            if json.loads(token).casefold() in names:
+                skip = level
+                if out[-1] == ",":
+                    out.pop()
+        if token in ("{", "["):
+            level += 1
+        elif closing:
+            level -= 1
+        if skip is None:
+            out.append(token)
+    return "".join(out)
+
+
+@F.pandas_udf(T.StringType())
+def _without_credentials(text: pd.Series) -> pd.Series:
+    return text.map(without_members, na_action="ignore")
+
+
+def sanitized(df: DataFrame, column: str) -> DataFrame:
+    """JSON text without credential keys, at any depth, and with credential URL parameters redacted in its strings.
+
+    Only payloads that name a credential leave the JVM. Text that is not JSON only gets the parameter redaction.
+    """
+    clean = jsonx.canonical(jsonx.parse(column))
+    named = F.when(clean.rlike('(?iu)"(?:' + "|".join(SENSITIVE_KEYS) + ')":'), clean)
+    rows = df.withColumn("_clean", clean).withColumn("_cut", _without_credentials(named))
+    text = redact_json_parameters(F.coalesce("_cut", "_clean"))
+    return rows.withColumn(column, F.coalesce(text, redact_parameters(column))).drop("_clean", "_cut")

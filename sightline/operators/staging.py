@@ -150,14 +150,24 @@ def effective(df: DataFrame, as_of: ColumnLike) -> DataFrame:
 
 
 def eligible_brands(brands: DataFrame) -> DataFrame:
-    """Active owned or competitor brands that are not placeholders."""
+    """Active owned or competitor brands with a name that is not a placeholder (the rule of the Gold metrics)."""
     return brands.filter(
         F.col("active")
         & F.lower("ownership_type").isin("owned", "competitor")
+        & F.col("canonical_name").isNotNull()
         & ~is_placeholder("canonical_name")
     )
 
 
+def eligible_brand_rows(brands: DataFrame) -> DataFrame:
+    """Active owned or competitor brands without a placeholder in any field (the rule of evidence and research); a name may be missing."""
+    return brands.filter(
+        F.col("active")
+        & F.lower("ownership_type").isin("owned", "competitor")
+        & ~is_placeholder(*brands.columns)
+    )
+
+
 def usable_aliases(aliases: DataFrame) -> DataFrame:
     return aliases.filter(F.col("alias_text").isNotNull() & ~is_placeholder("alias_text"))
 

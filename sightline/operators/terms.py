@@ -1,11 +1,8 @@
 """Matching registry terms against texts without pairing every text with every term.
 
-Two ways to give a row its candidate terms, chosen by the checked size of the registry:
-
-* up to ``INLINE_LIMIT`` terms the registry becomes one array value inside the scan stage, so no
-  text is shuffled;
-* beyond it, the words of a text meet the terms' anchor words in an equi-join of narrow rows, and
-  only rows with candidates are joined back to their texts.
+For spans, the words of a text meet the terms' anchor words in an equi-join of narrow rows, and only
+rows with candidates are joined back to their texts. Plain containment (``attach_substrings``) takes a registry of up to
+``INLINE_LIMIT`` terms as one array value inside the scan stage, and joins on character runs beyond it.
 """
 
 from __future__ import annotations
@@ -17,16 +14,12 @@ from pyspark.sql import functions as F
 
 from sightline.functions.dates import valid_on
 from sightline.functions.text import (
-    anchor, fold, is_cjk, longest_spans, sharp_positions, term_spans, words,
+    SYMBOL, anchor, fold, is_cjk, longest_spans, sharp_positions, term_spans, words,
 )
 from sightline.operators.shape import computed
 
 INLINE_LIMIT = 2000
 TERM = ("identity", "needle", "cjk", "anchor", "start_date", "end_date")
-TERM_TYPE = (
-    "array<struct<identity:string,needle:string,cjk:boolean,anchor:string,"
-    "start_date:date,end_date:date>>"
-)
 
 
 def term_table(
@@ -44,7 +37,7 @@ def term_table(
         )
         .filter(F.length("needle") > 0)
         .withColumn("cjk", is_cjk("needle"))
-        .withColumn("anchor", F.coalesce(anchor("needle"), F.lit("")))
+        .withColumn("anchor", F.coalesce(anchor("needle"), F.substring("needle", 1, 1)))
         .select(*TERM)
         .distinct()
     )
@@ -61,22 +54,13 @@ def small_array(df: DataFrame, kind: str, limit: int) -> Column | None:
     return F.from_json(F.lit("[" + ",".join(rows) + "]"), kind)
 
 
-def attach_terms(
-    rows: DataFrame, keys: Sequence[str], folded: str, terms: DataFrame, limit: int = INLINE_LIMIT
-) -> DataFrame:
-    """Adds ``_terms``: the terms whose anchor word occurs in the folded text (may be null)."""
-    # The empty anchor stands for terms without any word, which every text has to try.
-    own = F.concat(words(folded), F.array(F.lit("")))
-    every = small_array(terms, TERM_TYPE, limit)
-    if every is not None:
-        anchors = F.array_distinct(F.transform(every, lambda t: t["anchor"]))
-        return computed(rows, _hit=F.array_intersect(own, anchors)).withColumn(
-            "_terms",
-            F.when(
-                F.size("_hit") > 0,
-                F.filter(every, lambda t: F.array_contains(F.col("_hit"), t["anchor"])),
-            ),
-        ).drop("_hit")
+def attach_terms(rows: DataFrame, keys: Sequence[str], folded: str, terms: DataFrame) -> DataFrame:
+    """Adds ``_terms``: the terms whose anchor occurs in the folded text (null when there is none).
+
+    The anchors of a text meet those of the terms in an equi-join of narrow rows; terms without any word are anchored by
+    their first character, so no anchor is shared by all texts.
+    """
+    own = F.array_distinct(F.concat(words(folded), F.regexp_extract_all(F.col(folded), F.lit(SYMBOL), F.lit(0))))
     narrow = rows.select(*keys, F.explode(own).alias("anchor"))
     found = narrow.join(terms, "anchor").groupBy(*keys).agg(
         F.collect_list(F.struct(*TERM)).alias("_terms")
@@ -90,7 +74,6 @@ def match_spans(
     text: str,
     terms: DataFrame,
     as_of: str | None = None,
-    limit: int = INLINE_LIMIT,
     suppress: bool = True,
 ) -> DataFrame:
     """One row per kept span: the input columns (without the text) plus identity, span_start,
@@ -100,7 +83,7 @@ def match_spans(
     ``suppress=False`` keeps overlapping spans of different terms.
     """
     folded = computed(rows, _folded=fold(text), _sharp=sharp_positions(text))
-    candidates = attach_terms(folded, keys, "_folded", terms, limit).filter(F.size("_terms") > 0)
+    candidates = attach_terms(folded, keys, "_folded", terms).filter(F.size("_terms") > 0)
     usable: Column = F.col("_terms")
     if as_of is not None:
         usable = F.filter(

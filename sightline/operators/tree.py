@@ -2,8 +2,9 @@
 
 The tree is unrolled by a chain of narrow ``explode`` steps. Each step replaces a row of the
 current depth by itself plus its children and passes all other rows through, so the payload is
-scanned once, nothing is shuffled and no level is computed twice. ``Grammar`` says which child
-keys are evidence of which kind.
+scanned once, nothing is shuffled and no level is computed twice. A chain covers ``STRIDE`` levels
+and is stored; as long as nodes with children are left at its end, another chain starts from them,
+so trees of any depth come out whole. ``Grammar`` says which child keys are evidence of which kind.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ from sightline.functions.ids import evidence_id, text_part
 from sightline.functions.text import inline_links, label_text, visible_text
 from sightline.functions.url import canonical_url, hostname
 from sightline.schemas import FEATURE_EVIDENCE_VERSION, RESPONSE_EVIDENCE_VERSION
+from sightline.session import stored
 
 NODE = (
     "struct<path:string,parent_path:string,parent_kind:string,kind:string,top:boolean,depth:int,"
     "value:variant>"
 )
-MAX_DEPTH = 6
+STRIDE = 6
 
 # Nested content that is provider metadata, not evidence.
 IGNORED_KEYS = (
@@ -221,29 +223,36 @@ def roots(grammar: Grammar) -> Column:
     return F.concat(F.coalesce(items, empty), F.coalesce(sources, empty))
 
 
-def walk(results: DataFrame, grammar: Grammar, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """All evidence nodes of the results.
+def walk(results: DataFrame, grammar: Grammar) -> DataFrame:
+    """All evidence nodes of the results, at any depth.
 
     Input: observation_id, result_id, source_category, json_path and ``result`` (VARIANT).
-    Output: item_id, parent_item_id, json_path, item_kind, is_top_level, depth and ``value``.
-    Depth ``max_depth`` nodes with further children carry ``unexpanded`` = true; check it with
-    ``unexpanded_nodes`` and raise ``max_depth`` when a provider nests deeper.
+    Output: item_id, parent_item_id, json_path, item_kind, is_top_level, depth and ``value``;
+    ``unexpanded`` is false for every node of a whole walk.
     """
-    return expand(results, roots(grammar), grammar, max_depth)
+    return expand(results, roots(grammar), grammar)
 
 
-def expand(results: DataFrame, start: Column, grammar: Grammar, max_depth: int) -> DataFrame:
+def expand(results: DataFrame, start: Column, grammar: Grammar) -> DataFrame:
     """The walk from given start nodes (an array column expression over ``results``)."""
     keys = ["observation_id", "result_id", "source_category"]
     rows = results.select(*keys, F.explode(start).alias("node"))
     self_only, children = F.array(F.col("node")), _children(grammar)
-    for depth in range(max_depth):
-        grown = F.when(F.col("node.depth") == depth, F.concat(self_only, children)).otherwise(self_only)
-        rows = rows.select(*keys, F.explode(grown).alias("node"))
-    rows = rows.withColumn(
-        "unexpanded",
-        F.when(F.col("node.depth") == max_depth, F.size(children) > 0).otherwise(False),
-    )
+    whole, top = None, 0
+    while True:
+        for depth in range(top, top + STRIDE):
+            grown = F.when(F.col("node.depth") == depth, F.concat(self_only, children)).otherwise(self_only)
+            rows = rows.select(*keys, F.explode(grown).alias("node"))
+        top += STRIDE
+        more = F.when(F.col("node.depth") == top, F.size(children) > 0).otherwise(False)
+        rows = stored(rows.withColumn("more", more), "evidence-tree")
+        whole = rows if whole is None else whole.unionByName(rows)
+        left = rows.filter("more")
+        if left.isEmpty():
+            break
+        rows = left.select(*keys, F.explode(children).alias("node"))
+        top += 1
+    rows = whole.withColumn("unexpanded", F.lit(False)).drop("more")
     return rows.select(*keys, "node.*", "unexpanded").select(
         *keys,
         item_id("path", grammar.version).alias("item_id"),

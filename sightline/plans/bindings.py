@@ -340,11 +340,6 @@ class Inputs:
             self._once[label] = stored(build(), label)
         return self._once[label]
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """Rows over all cores when the source has fewer splits than cores (so it is small)."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

@@ -83,7 +83,7 @@ def _(i):
     pages = i.table("pages").select("page_id", ur.hostname("url").alias("host"))
     three = F.regexp_extract("host", r"[^.]+\.[^.]+\.[^.]+$", 0)
     registry = pages.filter("page_id % 3 = 0").select(three.alias("registered")).union(
-        pages.select(F.lit("example.net")).limit(1)
+        pages.select(F.lit("example.net"))
     ).filter("registered <> ''").distinct()
     hosts = registry.select("registered", F.lit(None).cast("date").alias("start"), F.lit(None).cast("date").alias("end"))
     return evidence.owned_hosts(pages, "host", hosts).select("page_id", "host", "registered")
@@ -187,7 +187,7 @@ def span_terms(i: Inputs) -> DataFrame:
 
 
 def spans(i: Inputs, **options) -> DataFrame:
-    docs = i.spread(i.table("documents")).select("doc_id", F.replace(F.lower("text"), F.lit("ß"), F.lit("")).alias("text"))
+    docs = i.table("documents").select("doc_id", F.replace(F.lower("text"), F.lit("ß"), F.lit("")).alias("text"))
     found = match_spans(docs, ["doc_id"], "text", span_terms(i), **options)
     return found.select("doc_id", "identity", "span_start", "span_end")
 
@@ -199,7 +199,7 @@ def _(i):
 
 @query("term_spans_by_anchor_join", SPAN_SQL)
 def _(i):
-    return spans(i, limit=0)
+    return spans(i)
 
 
 # ---------------------------------------------------------------------------
@@ -208,7 +208,7 @@ def _(i):
 
 
 def pages(i: Inputs) -> DataFrame:
-    df = i.spread(i.bind("src_page_payloads")).withColumn("payload", jsonx.parse("payload_text"))
+    df = i.bind("src_page_payloads").withColumn("payload", jsonx.parse("payload_text"))
     return payloads.with_status(payloads.unwrap(df, "payload"))
 
 
@@ -219,13 +219,13 @@ step("o_pages", """
 
 @query("envelope_families", "select k, case when shape = 'none' then null else shape end as family from src_page_parts")
 def _(i):
-    df = i.spread(i.bind("src_page_payloads")).withColumn("payload", jsonx.parse("payload_text"))
+    df = i.bind("src_page_payloads").withColumn("payload", jsonx.parse("payload_text"))
     return payloads.unwrap(df, "payload").select("k", "family")
 
 
 @query("incremental_envelope_families", "select k, case shape when 'none' then null when 'live_advanced' then null else shape end as family from src_page_parts")
 def _(i):
-    df = i.spread(i.bind("src_page_payloads")).withColumn("payload", jsonx.parse("payload_text"))
+    df = i.bind("src_page_payloads").withColumn("payload", jsonx.parse("payload_text"))
     return payloads.unwrap(df, "payload", payloads.INCREMENTAL_ENVELOPES).select("k", "family")
 
 
@@ -374,7 +374,7 @@ def _(i):
 
 
 def tree_payloads(i: Inputs) -> DataFrame:
-    return i.spread(i.bind("src_tree_payloads")).withColumn("payload", jsonx.parse("payload_text")).drop("payload_text")
+    return i.bind("src_tree_payloads").withColumn("payload", jsonx.parse("payload_text")).drop("payload_text")
 
 
 def results(i: Inputs) -> DataFrame:
@@ -533,7 +533,7 @@ step("o_owned_hits", f"""
 def text_matches(i: Inputs) -> DataFrame:
     none = aliases(i).filter("false")
     registry = brands(i)
-    names = st.eligible_brands(registry).select(F.col("brand_id").alias("identity_id"), F.col("canonical_name").alias("identity_name"))
+    names = st.eligible_brand_rows(registry).select(F.col("brand_id").alias("identity_id"), F.col("canonical_name").alias("identity_name"))
     texts = evidence.item_texts(dated(tree_items(i), i))
     return evidence.brand_matches(texts, evidence.brand_terms(registry, none), names, "brand", "approved", as_of="collected_at")
 
@@ -568,7 +568,7 @@ def _(i):
 
 
 def answer_texts(i: Inputs) -> DataFrame:
-    return i.spread(i.table("documents")).select(
+    return i.table("documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item_id"), F.lit("o").alias("observation_id"), F.lit("r").alias("result_id"),
         F.lit("answer_text").alias("item_kind"), F.lit("answer_text").alias("evidence_type"), F.lit("text").alias("matched_field"),
         F.replace(F.lower("text"), F.lit("ß"), F.lit("")).alias("field_text"),
@@ -625,9 +625,10 @@ step("o_entities", """
     union all select h.k, 'organic', brand_id, h.path, 1 + h.c % 4 from o_owned_hits h where evidence_type = 'owned_organic'
     union all select k, 'paid', brand_id, path, null from o_owned_hits where evidence_type = 'paid_domain' and path like '%items[1]'
     union all select distinct k, 'citation', brand_id, canonical_url, null from o_owned_hits where evidence_type = 'owned_citation'""")
-step("o_feature_rows", f"""
-    select v.*, b.brand_id, coalesce(e.n, 0) as n_own, e.rk from o_coverage v join o_ok_brands b on (b.effective_start_date is null or v.collected_at >= b.effective_start_date) and (b.effective_end_date is null or v.collected_at <= b.effective_end_date)
+step("o_all_feature_rows", f"""
+    select v.*, b.brand_id, b.canonical_name, coalesce(e.n, 0) as n_own, e.rk from o_coverage v join o_ok_brands b on (b.effective_start_date is null or v.collected_at >= b.effective_start_date) and (b.effective_end_date is null or v.collected_at <= b.effective_end_date)
     left join (select k, feature, brand_id, count(*) as n, min(rk) as rk from o_entities group by 1, 2, 3) e on e.k = v.k and e.feature = v.feature and e.brand_id = b.brand_id""")
+step("o_feature_rows", "select * from o_all_feature_rows where brand_id in (select brand_id from o_eligible)")
 
 
 @query("feature_brand_visibility", """
@@ -650,7 +651,7 @@ def research(i: Inputs) -> DataFrame:
 @query("research_metrics", """
     with own as (select k, feature, entity, count(distinct brand_id) as owners, min(brand_id) as brand_id from o_entities where feature <> 'answer_text' group by 1, 2, 3),
     ex as (select k, feature, brand_id, count(*) as n from own where owners = 1 group by 1, 2, 3),
-    r as (select f.*, case when f.feature = 'answer_text' then f.n_own else coalesce(ex.n, 0) end as cnt from (select * from o_feature_rows where brand_id in (select brand_id from o_ok_brands where ownership_type in ('owned', 'competitor'))) f left join ex on ex.k = f.k and ex.feature = f.feature and ex.brand_id = f.brand_id)
+    r as (select f.*, case when f.feature = 'answer_text' then f.n_own else coalesce(ex.n, 0) end as cnt from (select * from o_all_feature_rows where brand_id in (select brand_id from o_ok_brands where ownership_type in ('owned', 'competitor'))) f left join ex on ex.k = f.k and ex.feature = f.feature and ex.brand_id = f.brand_id)
     select brand_id, feature, coverage_status, count(*) as rows, sum(case when coverage_status in ('complete', 'partial') then cnt end)::bigint as observed,
       sum(case when coverage_status = 'complete' then (n_own > 0)::int end)::bigint as presence_numerator, sum(case when coverage_status = 'complete' then 1 end)::bigint as presence_denominator,
       sum(case when coverage_status = 'complete' and feature <> 'answer_text' then cnt end)::bigint as share_numerator, sum(case when feature <> 'answer_text' then exhaustive_count end)::bigint as share_denominator from r group by 1, 2, 3""")

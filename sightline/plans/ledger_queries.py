@@ -19,7 +19,7 @@ from sightline.sources import raw, registries, sinks, snapshots
 
 
 def files(i: Inputs) -> DataFrame:
-    rows = i.spread(i.bind("src_raw_content"))
+    rows = i.bind("src_raw_content")
     return raw.inventory(rows.select(
         F.concat_ws("/", F.lit("/root/raw"), "directory", "file_name").alias("path"),
         F.length(F.encode("body", "UTF-8")).cast("bigint").alias("length"), F.encode("body", "UTF-8").alias("content"),
@@ -390,10 +390,10 @@ def _(i):
 
 @query("unknown_review_references", """
     with c as (select opportunity_id, sequence, release_id, unnest([ 'm' || regexp_extract(evidence_json, '"m([0-9]+)"', 1), 'e' || regexp_extract(evidence_json, '"e([0-9]+)"', 1)]) as reference from src_reviews)
-    select * from c where not exists (select 1 from orders where o_orderkey < 300 and c.reference = 'm' || o_orderkey and c.release_id = 'rel0') and not exists (select 1 from customer where c_custkey < 100 and c.reference = 'e' || c_custkey and c.release_id = 'rel0')""")
+    select * from c where not exists (select 1 from orders where c.reference = 'm' || o_orderkey and c.release_id = 'rel0') and not exists (select 1 from customer where c.reference = 'e' || c_custkey and c.release_id = 'rel0')""")
 def _(i):
-    m = i.table("orders").filter("o_orderkey < 300").selectExpr("'rel0' as release_id", "concat('m', o_orderkey) as metric_id")
-    e = i.table("customer").filter("c_custkey < 100").selectExpr("'rel0' as release_id", "concat('e', c_custkey) as evidence_id")
+    m = i.table("orders").selectExpr("'rel0' as release_id", "concat('m', o_orderkey) as metric_id")
+    e = i.table("customer").selectExpr("'rel0' as release_id", "concat('e', c_custkey) as evidence_id")
     return reviews.unknown_references(i.bind("src_reviews"), [(m, "metric_id"), (e, "evidence_id")]).select("opportunity_id", "sequence", "release_id", "reference")
 
 

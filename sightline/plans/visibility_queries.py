@@ -22,7 +22,7 @@ def searches(i: Inputs) -> DataFrame:
 
 
 def answers(i: Inputs) -> DataFrame:
-    return st.stage(i.spread(i.bind("src_answers")), st.ANSWER_OBSERVATIONS)
+    return st.stage(i.bind("src_answers"), st.ANSWER_OBSERVATIONS)
 
 
 def organic(i: Inputs) -> DataFrame:
@@ -158,7 +158,7 @@ step("o_eligible", """
       and not regexp_matches(lower(canonical_name), 'to_be_verified|example|placeholder|sanitized|範例|示例')""")
 
 
-@query("eligible_brands", "select brand_id, canonical_name, ownership_type from o_brands where active and lower(ownership_type) in ('owned', 'competitor') and not coalesce(regexp_matches(lower(canonical_name), 'to_be_verified|example|placeholder|sanitized|範例|示例'), false)")
+@query("eligible_brands", "select brand_id, canonical_name, ownership_type from o_eligible")
 def _(i):
     return st.eligible_brands(brands(i)).select("brand_id", "canonical_name", "ownership_type")
 
@@ -484,12 +484,12 @@ def _(i):
 
 @query("presence_matrix", """
     with d as (select 'language=' || coalesce(language_code, 'Unknown (not recorded)') as locale, brand_id, max(case when metric_value > 0 then 1 when metric_value = 0 then 0 end) as v from o_answer_gold group by all)
-    select locale, max(v) filter (brand_id = 'brand0') as brand0, max(v) filter (brand_id = 'brand1') as brand1, max(v) filter (brand_id = 'brand12') as brand12 from d group by 1""")
+    """ + "select locale, " + ", ".join(f"max(v) filter (brand_id = 'brand{n}') as brand{n}" for n in range(25)) + " from d group by 1")
 def _(i):
     from sightline.functions.text import display
 
     rows = presence.presence_flags(answer_gold(i), "llm").withColumn("locale", F.concat(F.lit("language="), display("language_code")))
-    return presence.presence_matrix(rows, ["brand0", "brand1", "brand12"], value="present")
+    return presence.presence_matrix(rows, [f"brand{n}" for n in range(25)], value="present")
 
 
 # ---------------------------------------------------------------------------

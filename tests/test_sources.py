@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from sightline.operators import ledger, release
+from sightline.operators import ledger, payloads, release, staging, tree
 from sightline.operators.shape import dense_grain, latest_per
 from sightline.session import shared_dir
 from sightline.sources import raw, registries, sinks, snapshots
@@ -158,3 +158,41 @@ def test_streaming_latest_slices_and_dedup(spark, tmp_path):
 def test_latest_per_puts_unknown_times_last(spark):
     df = spark.createDataFrame([("k", None, "a"), ("k", 1, "c"), ("k", 1, "b")], "k string, t int, id string")
     assert latest_per(df, ["k"], "t", "id").first()["id"] == "b"
+
+
+def test_sanitizing_reaches_any_depth(spark):
+    deep, want = '{"password":"S","k":1}', '{"k":1}'
+    for _ in range(12):
+        deep, want = '{"a":[' + deep + '],"Token":{"x":[1,{"y":2}]}}', '{"a":[' + want + "]}"
+    texts = [
+        (deep, want),
+        ('{"u":"http://h/?token=z","k":1}', '{"k":1,"u":"http://h/?token=[REDACTED]"}'),
+        ('{"u":"http://h/?secret=a\\"b&x=1"}', '{"u":"http://h/?secret=[REDACTED]&x=1"}'),
+        ('{"login":1}', "{}"),
+        ('[1,{"secret":2,"z":3},{"api_key":[]}]', '[1,{"z":3},{}]'),
+        ("see http://h/?token=z now", "see http://h/?token=[REDACTED] now"),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, payload string")
+    got = {r.i: r.payload for r in payloads.sanitized(df, "payload").collect()}
+    assert [got[i] for i in range(len(texts))] == [w for _, w in texts]
+
+
+def test_trees_of_any_depth(spark):
+    inner = '{"type":"x","references":[{"url":"http://a.b/c"}]}'
+    for _ in range(20):
+        inner = '{"type":"organic","images":[' + inner + "]}"
+    rows = spark.createDataFrame([('{"items":[' + inner + "]}",)], "j string").selectExpr(
+        "'o' as observation_id", "'r' as result_id", "'serp' as source_category", "'$' as json_path", "parse_json(j) as result"
+    )
+    found = tree.walk(rows, tree.FEATURE_GRAMMAR).groupBy("item_kind").agg(F.count("*"), F.max("depth")).collect()
+    assert sorted(tuple(r) for r in found) == [("citation", 1, 21), ("image", 20, 20), ("organic", 1, 0)]
+
+
+def test_brand_rules_differ_on_missing_names(spark):
+    rows = spark.createDataFrame(
+        [("a", None, "owned", "x", True), ("b", "B", "Owned", "example", True), ("c", "C", "competitor", "x", True), ("d", "Example", "owned", "x", True)],
+        "brand_id string, canonical_name string, ownership_type string, market string, active boolean",
+    )
+    assert {r.brand_id for r in staging.eligible_brands(rows).collect()} == {"b", "c"}
+    assert {r.brand_id for r in staging.eligible_brand_rows(rows).collect()} == {"a", "c"}
