@@ -18,7 +18,7 @@ from sightline.llm.tables import stored
 
 WEIGHTS = (1.0, 2.0, 3.0)
 REPEATS = 3
-SHARD_WORDS = 1 << 22
+SHARD_WORDS, MOST_LEVELS = 1 << 20, 14
 
 
 def words(text: str = "text") -> Column:
@@ -26,6 +26,12 @@ def words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def enough_levels(sizes: DataFrame) -> int:
+    """Depth of a splitting tree whose shards have about SHARD_WORDS words of the given sizes."""
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    return min(MOST_LEVELS, max(2, (int(total) // SHARD_WORDS).bit_length()))
+
+
 def _chance(*parts: Column) -> Column:
     """A repeatable value in [0, 1)."""
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)).cast("double") / float(1 << 52)
@@ -95,13 +101,12 @@ def _split_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
 def draw_plan(docs: DataFrame, levels: int | None = None, seed: int = 7, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """(doc_id, source, size, digest, source_size, target, places) of every row; places: array of struct(copy, shard), one per time it is taken.
 
-    2**levels output shards, by default enough for about SHARD_WORDS words each. Texts of null size 0 belong to their source and cost nothing. Null ids are one id; repeated
+    2**levels output shards, by default enough for about SHARD_WORDS words each, 2**MOST_LEVELS at most. Texts of null size 0 belong to their source and cost nothing. Null ids are one id; repeated
     rows and ties are dealt alike and each counts. An empty table gives no row.
     """
     sizes = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words().alias("size"), F.xxhash64("text").alias("digest"), F.monotonically_increasing_id().alias("row")), "mix-sizes")
     if levels is None:
-        total = sizes.agg(F.sum("size")).first()[0] or 0
-        levels = max(2, (int(total) // SHARD_WORDS).bit_length())
+        levels = enough_levels(sizes)
     targets = source_targets(sizes, weights, repeats)
     # Null and the empty string stay apart in one key that is never null.
     targets = targets.withColumn("source_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
@@ -159,6 +164,8 @@ def mix(docs: DataFrame, levels: int | None = None, seed: int = 7, weights: tupl
 
     Of rows that agree in id, source and text, one stands for all, as often as they are taken together.
     """
+    if levels is None:
+        levels = enough_levels(docs.select(words().alias("size")))
     plan = draw_plan(docs, levels, seed, weights, repeats)
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
     plan = plan.groupBy(F.col("doc_id").alias("mix_id"), key.alias("mix_key"), F.col("digest").alias("mix_digest")).agg(
@@ -173,6 +180,5 @@ def mix(docs: DataFrame, levels: int | None = None, seed: int = 7, weights: tupl
     rows = own.join(plan.filter("mix_rows = 1"), same).unionByName(own.join(plan.filter("mix_rows > 1"), same).dropDuplicates(names))
     rows = rows.withColumn("mix_place", F.explode("mix_places"))
     rows = rows.withColumn("mix_turn", F.xxhash64("doc_id", "mix_place", F.lit(seed + 4)))
-    shards = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(shards, F.col("mix_place.shard")).sortWithinPartitions("mix_place.shard", "mix_turn", "doc_id")
+    rows = rows.repartitionById(1 << levels, F.col("mix_place.shard")).sortWithinPartitions("mix_turn", "doc_id")
     return rows.select(*docs.columns)
