@@ -88,7 +88,7 @@ def grow(texts: dict[str, list[bytes]], least: int = 16) -> Trees:
         own = third[row] == key // k if len(third) else np.zeros(len(key), bool)
         order3 = np.bincount(row[own] * k + key[own] % k, count[own], len(third) * k).reshape(len(third), k)
         cost[:, :, i] = np.concatenate([bits1, bits2[second], _escaped(order3, bits2[third % (k * k)])])
-    return Trees(languages, classes, k, context, cost.reshape(-1, len(languages)))
+    return Trees(languages, classes, k, context, cost.reshape(len(cost) * k, len(languages)))
 
 
 def code_lengths(trees: Trees, column: pa.Array) -> np.ndarray:

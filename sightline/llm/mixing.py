@@ -72,7 +72,7 @@ def _left_blocks(seed: int, level: int) -> Column:
             return F.struct((s["places"] - one).alias("places"), (s["blocks"] - 1).alias("blocks"), (s["left"] + one).alias("left"))
 
         start = F.struct(state["places"].alias("places"), state["blocks"].alias("blocks"), F.lit(0).cast("long").alias("left"))
-        done = F.aggregate(F.slice(F.sequence(F.lit(0).cast("long"), item["quota"]), 2, 2**31 - 1), start, block)
+        done = F.aggregate(F.slice(F.sequence(F.lit(0).cast("long"), item["quota"]), F.lit(2), item["quota"].cast("int") + 1), start, block)
         return F.struct(done["places"].alias("places"), done["blocks"].alias("blocks"), F.concat(state["left"], F.array(done["left"])).alias("left"))
 
     total = F.aggregate("own", F.lit(0).cast("long"), lambda x, item: x + item["quota"])
