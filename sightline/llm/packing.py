@@ -3,7 +3,7 @@
 Documents are tokenized and cut into full windows plus a rest; full windows are sequences of their own. The
 rests of a run of documents are placed from the longest to the shortest, each into the open window with the least
 room that still holds it. A segment tree over remaining room finds that window in logarithmic time. A task packs
-its rows in runs of RUN_TOKENS ids, so its memory is bounded and no document leaves its task.
+its rows in runs of RUN_TOKENS ids or RUN_RESTS rests, so its memory is bounded and no document leaves its task.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from sightline.llm.tokens import encoder, vocabulary_path
 
 WINDOW = 1024
 END = 0
-RUN_TOKENS = 1 << 23
+RUN_TOKENS, RUN_RESTS = 1 << 23, 1 << 18
 
 
 class OpenWindows:
@@ -111,7 +111,7 @@ def pack(docs: DataFrame, window: int = WINDOW, end: int = END, path: str | None
                 if n % window:
                     rest.append((doc_id, n - n % window, ids[4 * (n - n % window) :], n))
                     held += n % window
-                if held >= RUN_TOKENS:
+                if held >= RUN_TOKENS or len(rest) >= RUN_RESTS:
                     out += packed()
                     held = 0
             yield table(out)

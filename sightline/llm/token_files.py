@@ -29,6 +29,8 @@ MAGIC = b"SLTB"
 VERSION = 1
 END = 2
 BLOCK_TOKENS = 1 << 20
+BLOCK_DOCUMENTS = 1 << 16  # so that blocks of very short documents stay small too
+MOST_DISTINCT = 1 << 21  # the code range of a step holds a unit for each
 LANES = 4096
 SLOTS = 1 << 20
 SCALE = 16  # bits of a step's probability
@@ -52,9 +54,9 @@ class Model:
         self._refresh()
 
     def _refresh(self) -> None:
-        # Every id keeps a share of the range of order 0; the 16 bits must hold the whole alphabet.
+        # Every id keeps a share of the range of order 0; its bits leave at least half of them to the counts.
         total = self.counts.sum()
-        room = (1 << SCALE) - self.alphabet
+        room = (1 << max(SCALE, self.alphabet.bit_length() + 1)) - self.alphabet
         share = 1 + (self.counts * room // max(1, total) if total else np.full(self.alphabet, room // self.alphabet))
         self.until = np.zeros(self.alphabet + 1, np.int64)
         np.cumsum(share, out=self.until[1:])
@@ -192,8 +194,8 @@ def write_block(documents: list[np.ndarray]) -> bytes:
     ids = np.concatenate([*documents, np.zeros(0, np.int64)]).astype(np.int64)
     # Ids are coded as their rank among the block's distinct ids, so that any 32-bit id fits and rare alphabets cost little.
     known, ranks = np.unique(ids, return_inverse=True)
-    if len(known) >= 1 << (SCALE - 1):
-        raise ValueError("a block may hold at most 32,767 distinct ids")
+    if len(known) > MOST_DISTINCT:
+        raise ValueError(f"a block may hold at most {MOST_DISTINCT} distinct ids")
     lanes, code = encode_ids(ranks, max(1, len(known))) if len(ids) else (0, [])
     head = np.array([VERSION, len(documents), len(ids), lanes, len(known)], "<u4")
     lengths = np.array([len(d) for d in documents], "<u4")
@@ -225,9 +227,9 @@ def read_block(block: bytes) -> list[np.ndarray]:
 def write_token_files(docs: DataFrame, folder: str, end: int = END, path: str | None = None) -> None:
     """Encode every text and write blocks in ascending doc_id order.
 
-    The files are Parquet rows (shard, block, first and last doc_id, doc_ids, n_tokens, data): shards are ranges of
-    doc_id, blocks follow each other in a shard, and `data` is a block as described above. Null text counts as empty; a document
-    longer than BLOCK_TOKENS has a block of its own. Null ids come first; repeated rows are documents of their own.
+    The files are Parquet rows (shard, block, doc_ids, ends, data): shards are ranges of doc_id, blocks follow each other in
+    a shard, `ends` counts the block's ids up to the end of each document, and `data` is a block as described
+    above. Null text counts as empty; a document longer than BLOCK_TOKENS has a block of its own. Null ids come first; repeated rows are documents of their own.
     """
     path = path or vocabulary_path()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -244,8 +246,8 @@ def write_token_files(docs: DataFrame, folder: str, end: int = END, path: str |
         def block() -> pa.RecordBatch:
             nonlocal number
             out = pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([number], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([[len(x) for x in held]], pa.list_(pa.int64())), pa.array([write_block(held)], pa.binary())],
-                ["shard", "block", "doc_ids", "lengths", "data"],
+                [pa.array([shard], pa.int32()), pa.array([number], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([np.cumsum([len(x) for x in held])], pa.list_(pa.int64())), pa.array([write_block(held)], pa.binary())],
+                ["shard", "block", "doc_ids", "ends", "data"],
             )
             number += 1
             names.clear()
@@ -255,7 +257,7 @@ def write_token_files(docs: DataFrame, folder: str, end: int = END, path: str |
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 ids = np.frombuffer(codes.encode(text.as_py()), "<u4")
-                if held and tokens + len(ids) + 1 > BLOCK_TOKENS:
+                if held and (tokens + len(ids) + 1 > BLOCK_TOKENS or len(held) >= BLOCK_DOCUMENTS):
                     yield block()
                     tokens = 0
                 names.append(doc_id)
@@ -264,7 +266,7 @@ def write_token_files(docs: DataFrame, folder: str, end: int = END, path: str |
         if held:
             yield block()
 
-    bounded_batches(rows).mapInArrow(run, "shard int, block long, doc_ids array<long>, lengths array<long>, data binary").write.parquet(folder)
+    bounded_batches(rows).mapInArrow(run, "shard int, block long, doc_ids array<long>, ends array<long>, data binary").write.parquet(folder)
 
 
 def read_token_files(spark, folder: str) -> DataFrame:
@@ -284,16 +286,15 @@ def read_token_files(spark, folder: str) -> DataFrame:
 
 
 def token_offsets(spark, folder: str) -> DataFrame:
-    """(shard, block, nth, start) of every document: ids of all documents before it, from the lengths beside the blocks.
+    """(shard, block, nth, start) of every document: ids of all documents before it, from the ends beside the blocks.
 
     Running sums are taken in three narrow steps (documents of a block, blocks of a shard, shards), so no task sees all documents.
     """
-    rows = spark.read.parquet(folder).select("shard", "block", "lengths", F.aggregate("lengths", F.lit(0).cast("long"), lambda x, n: x + n).alias("n"))
+    rows = spark.read.parquet(folder).select("shard", "block", "ends", F.element_at("ends", -1).alias("n"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = rows.withColumn("in_shard", F.coalesce(F.sum("n").over(before), F.lit(0)))
     shards = rows.groupBy("shard").agg(F.sum("n").alias("n"))
     shards = stored(shards.select("shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("at_shard")), "token-shards")
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.expr("cast(array() as array<bigint>)").alias("starts"))
-    starts = F.aggregate("lengths", start, lambda s, n: F.struct((s["sum"] + n).alias("sum"), F.concat(s["starts"], F.array(s["sum"])).alias("starts")))["starts"]
+    starts = F.concat(F.array(F.lit(0).cast("long")), F.slice("ends", F.lit(1), F.size("ends") - 1))
     blocks = blocks.join(shards, "shard").select("shard", "block", F.posexplode(starts).alias("nth", "own"), "in_shard", "at_shard")
     return blocks.select("shard", "block", F.col("nth").cast("long").alias("nth"), (F.col("own") + F.col("in_shard") + F.col("at_shard")).alias("start"))

@@ -142,6 +142,13 @@ def test_token_blocks_round_trip():
     assert len(token_files.write_block([text])) < 2 * len(text)
 
 
+def test_blocks_hold_any_number_of_distinct_ids():
+    rng = np.random.default_rng(5)
+    for documents in ([rng.integers(0, 50_257, n) for n in (0, 1, 90_000, 5)], [np.arange(70_000) * 7, np.full(1000, 3)]):
+        back = token_files.read_block(token_files.write_block(documents))
+        assert [x.tolist() for x in back] == [x.tolist() for x in documents]
+
+
 def test_token_files_and_packing(spark, odd, empty, tmp_path):
     plain = tokens.Encoder(tokens.vocabulary_path()).tokenizer
     ids = lambda t: plain.encode(t or "", add_special_tokens=False).ids
