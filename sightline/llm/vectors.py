@@ -2,11 +2,14 @@
 
 Equal vectors are collapsed first. A coarse quantiser (k-means of a bounded sample of directions) puts each distinct vector into
 the list of its nearest centroid; its residual is coded by product quantisation (a codebook per subspace), and the length of
-what the code misses is kept beside it. A query probes every list that can hold a partner: one no farther, by the
-half-plane between the list's centroid and the query's own, than the distance that belongs to the wanted cosine.
+what the code misses is kept beside it. A query probes every list that may hold a partner: one no farther, by the half-plane
+between the list's centroid and the query's own, than a partner at the wanted cosine reaches toward it. Of the
+distance that belongs to that cosine a direction in d dimensions gets about one part in sqrt(d), so SPREAD / sqrt(d) of it
+is probed (all of it in few dimensions). A pair counts if either of the two probes the other's list, and one of them only reports it.
 In a list, table-lookup distances (query against code) discard a vector only if they exceed that distance by more than what
-its code misses. So neither step loses a pair; what passes is ranked again by the exact cosine in double precision.
-Lists are cut into blocks of bounded size, and every block meets the blocks of queries that probe it in a task of its own.
+its code misses; what passes is ranked again by the exact cosine in double precision. Lists are cut into blocks of bounded
+size, and every block meets the blocks of queries that probe it in a task of its own, which reports how
+many links each vector has and as many links as join what belongs together, not all pairs.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ from sightline.llm.tables import bounded_batches, stored
 
 COSINE = 0.9
 SAMPLE = 20_000
-LIST_SIZE = 512
+LIST_SIZE = 256
+SPREAD = 2.5
 MOST_LISTS = 1 << 14
 CODES = 64
 BLOCK = 2048
@@ -39,29 +43,37 @@ class Index:
     cuts: list[int]  # first dimension of each subspace, and the end
 
 
+def nearest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(center, squared distance less the point's own square) of the center nearest to each point, in bounded memory."""
+    square, step = (centers**2).sum(1), max(1, (1 << 22) // len(centers))
+    near, gap = np.zeros(len(points), np.int64), np.zeros(len(points))
+    for low in range(0, len(points), step):
+        part = square - 2 * points[low : low + step] @ centers.T
+        near[low : low + step], gap[low : low + step] = part.argmin(1), part.min(1)
+    return near, gap
+
+
 def k_means(points: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     """Centroids of points; an empty cluster takes the point farthest from its own."""
     rng = np.random.default_rng(seed)
     centers = points[rng.choice(len(points), min(k, len(points)), replace=False)].copy()
     for _ in range(rounds):
-        distance = (centers**2).sum(1) - 2 * points @ centers.T
-        near = distance.argmin(1)
+        near, gap = nearest(points, centers)
+        gap += (points**2).sum(1)
         count = np.bincount(near, minlength=len(centers))
         total = np.zeros_like(centers)
         np.add.at(total, near, points)
         centers[count > 0] = total[count > 0] / count[count > 0, None]
         for c in np.flatnonzero(count == 0):
-            far = (distance[np.arange(len(points)), near] + (points**2).sum(1)).argmax()
-            centers[c] = points[far]
-            distance[far, near[far]] = -np.inf
+            far = gap.argmax()
+            centers[c], gap[far] = points[far], -np.inf
     return centers
 
 
 def build_index(sample: np.ndarray, lists: int, seed: int = 0) -> Index:
     """Index of unit vectors (rows of sample)."""
     centroids = k_means(sample, lists, 8, seed)
-    own = (centroids**2).sum(1) - 2 * sample @ centroids.T
-    rest = sample - centroids[own.argmin(1)]
+    rest = sample - centroids[nearest(sample, centroids)[0]]
     d = sample.shape[1]
     parts = max(1, min(d, d // 8))
     cuts = [round(i * d / parts) for i in range(parts + 1)]
@@ -70,7 +82,7 @@ def build_index(sample: np.ndarray, lists: int, seed: int = 0) -> Index:
 
 def encode(index: Index, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(list, codes, missed length) of unit vectors."""
-    where = ((index.centroids**2).sum(1) - 2 * units @ index.centroids.T).argmin(1)
+    where = nearest(units, index.centroids)[0]
     rest = units - index.centroids[where]
     codes = np.zeros((len(units), len(index.books)), np.uint8)
     missed = np.zeros(len(units))
@@ -82,10 +94,11 @@ def encode(index: Index, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def probes(index: Index, units: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, list) of all lists that can hold a vector within `reach` of the query."""
-    gap = ((units[:, None, :] - index.centroids[None, :, :]) ** 2).sum(2) if len(units) * index.centroids.size < 1 << 22 else (units**2).sum(1)[:, None] + (index.centroids**2).sum(1) - 2 * units @ index.centroids.T
+    """(query, list) of all lists that can hold a vector that lies within `reach` of the query toward the list's centroid."""
+    square = (index.centroids**2).sum(1)
+    gap = square - 2 * units @ index.centroids.T
     own = gap.argmin(1)
-    between = np.sqrt(np.maximum(0, (index.centroids**2).sum(1)[:, None] + (index.centroids**2).sum(1) - 2 * index.centroids @ index.centroids.T))[own]
+    between = np.sqrt(np.maximum(0, square[own][:, None] + square - 2 * index.centroids[own] @ index.centroids.T))
     near = (gap - gap[np.arange(len(units)), own][:, None]) <= 2 * (reach + SLACK) * between + SLACK
     near[np.arange(len(units)), own] = True
     return np.nonzero(near)
@@ -102,17 +115,35 @@ def close_pairs(index: Index, where: int, q: np.ndarray, x: np.ndarray, codes: n
         lookup = (part**2).sum(1)[:, None] + (book**2).sum(1) - 2 * part @ book.T
         distance += lookup[:, codes[:, i]]
     a, b = np.nonzero(np.sqrt(np.maximum(0, distance)) <= reach + missed[None, :] + SLACK)
-    exact = (q[a] * x[b]).sum(1) / (np.linalg.norm(q[a], axis=1) * np.linalg.norm(x[b], axis=1))
+    exact = np.zeros(len(a))
+    for low in range(0, len(a), 1 << 16):
+        part = slice(low, low + (1 << 16))
+        exact[part] = (q[a[part]] * x[b[part]]).sum(1)
+    exact /= np.linalg.norm(q, axis=1)[a] * np.linalg.norm(x, axis=1)[b]
     return a[exact >= cosine], b[exact >= cosine]
 
 
+def joining(asked: np.ndarray, held: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links (asked, held), in order of asked, those that join parts not yet joined; `label` of every node is kept up to date."""
+    out = []
+    bounds = np.flatnonzero(np.diff(asked, prepend=-1, append=-1))
+    for low, high in zip(bounds, bounds[1:]):
+        i, near = asked[low], held[low:high]
+        labels, first = np.unique(label[near], return_index=True)
+        new = labels != label[i]
+        if new.any():
+            out += [(i, j) for j in near[first[new]]]
+            label[np.isin(label, labels[new])] = label[i]
+    return out
+
+
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
     values = column.flatten() if len(column) else pa.array([], pa.float64())
     return values.to_numpy(zero_copy_only=False).astype(float).reshape(-1, d)
 
 
-def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding).
+def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0, spread: float = SPREAD) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding), from the links found.
 
     n_links counts the other rows with a cosine of at least `cosine`; component_id is the smallest vec_id reachable by links and
     kept tells whether it is the row's own. Null and zero vectors, and those with a null or non-finite component, link
@@ -120,24 +151,24 @@ def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0) -> Data
     a component only if nothing else does. An empty table gives no row.
     """
     spark = rows.sparkSession
-    values = F.col("embedding").cast("array<double>")
+    # Single-precision components are kept as such up to the tasks, which compute in double precision.
+    single = rows.schema["embedding"].dataType.simpleString() == "array<float>"
+    values = F.col("embedding").cast("array<float>" if single else "array<double>")
     good = F.col("embedding").isNotNull() & ~F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(values, lambda x: x != 0)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(good, values).alias("v"))
-    rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))  # -0.0 becomes 0.0
+    rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0).cast("float" if single else "double")))  # -0.0 becomes 0.0
     rows = stored(rows.withColumn("key", F.when(F.col("v").isNotNull(), F.unhex(F.md5(F.array_join(F.transform("v", lambda x: x.cast("string")), ",").cast("binary"))))), "vec-rows")
     texts = stored(rows.filter("v is not null").groupBy("key").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")), "vec-distinct")
     links = None
     for d, n in sorted((r[0], r[1]) for r in texts.groupBy(F.size("v")).count().collect()):
-        found = _links_of_size(spark, texts.filter(F.size("v") == d), d, n, cosine, seed)
+        found = _links_of_size(spark, texts.filter(F.size("v") == d), d, n, cosine, seed, spread)
         links = found if links is None else links.union(found)
     alone = rows.filter("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if links is None:
         return alone.withColumn("kept", F.col("vec_id") == F.col("component_id"))
-    links = stored(links, "vec-links")
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = texts.select(F.col("key").alias("b"), "copies")
-    counted = both.join(copies, "b").groupBy(F.col("a").alias("key")).agg(F.sum("copies").alias("linked"))
-    roots = components(links, "vec-roots").withColumnRenamed("node", "key")
+    found = stored(links, "vec-links")
+    counted = found.filter("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("linked").alias("linked"))
+    roots = components(found.filter("b is not null").select("a", "b"), "vec-roots").withColumnRenamed("node", "key")
     named = texts.select("key", "least_id", "copies").join(counted, "key", "left").join(roots, "key", "left")
     named = stored(named.select("key", "least_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "key").alias("root")), "vec-named")
     least = stored(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "vec-least")
@@ -146,51 +177,76 @@ def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0) -> Data
     return out.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _links_of_size(spark, texts: DataFrame, d: int, n: int, cosine: float, seed: int) -> DataFrame:
-    """Links (a, b) between distinct vectors of one dimension, a before b."""
+def _links_of_size(spark, texts: DataFrame, d: int, n: int, cosine: float, seed: int, spread: float) -> DataFrame:
+    """Rows about distinct vectors of one dimension: (a, null, rows linked with a in one task), and (a, b, 0) for links that join all parts."""
     share = min(1.0, 1.2 * SAMPLE / n)
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
     picked = texts.filter(place <= int(share * (1 << 30))).select(place.alias("place"), "v").collect()
     picked = sorted(picked, key=lambda r: (r["place"], r["v"]))[:SAMPLE]
-    sample = np.array([r["v"] for r in picked]).reshape(-1, d)
+    sample = np.array([r["v"] for r in picked], float).reshape(-1, d)
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
     index = build_index(sample, max(1, min(MOST_LISTS, len(sample), -(-n // LIST_SIZE))), seed)
     shared = spark.sparkContext.broadcast(index)
-    reach = float(np.sqrt(2 - 2 * cosine))
+    reach = float(np.sqrt(2 - 2 * cosine)) * min(1.0, spread / np.sqrt(d))
+    rows_at_once = max(16, min(1024, (1 << 22) // len(index.centroids)))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                part = batch.slice(low, 1024)
+            for low in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(low, rows_at_once)
                 x = _matrix(part.column("v"), d)
                 units = x / np.linalg.norm(x, axis=1, keepdims=True)
                 where, codes, missed = encode(shared.value, units)
                 who, lists = probes(shared.value, units, reach)
                 near = np.split(lists, np.searchsorted(who, np.arange(1, len(x))))
-                arrays = [part.column("key"), part.column("v"), pa.array(where, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed), pa.array([p.astype(np.int32) for p in near], pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["key", "v", "list", "codes", "missed", "probes"])
-
-    rows = stored(bounded_batches(texts).select("key", "v").mapInArrow(coded, "key binary, v array<double>, list int, codes binary, missed double, probes array<int>"), "vec-coded")
-    asked = rows.select("key", "v", F.explode("probes").alias("list"))
+                arrays = [
+                    part.column("key"), part.column("copies"), part.column("v"), pa.array(where, pa.int32()),
+                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed), pa.array([p.astype(np.int32) for p in near], pa.list_(pa.int32())),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "copies", "v", "list", "codes", "missed", "probes"])
+
+    kind = texts.schema["v"].dataType.simpleString()
+    schema = f"key binary, copies long, v {kind}, list int, codes binary, missed double, probes array<int>"
+    rows = stored(bounded_batches(texts).select("key", "copies", "v").mapInArrow(coded, schema), "vec-coded")
+    asked = rows.select("key", "copies", "v", F.col("list").alias("home"), F.explode("probes").alias("list"))
     sizes = rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    asks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ask_blocks"))
+    asks = rows.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ask_blocks"))
     sizes = stored(sizes.join(asks, "list"), "vec-sizes")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    held = rows.join(sizes, "list").select("list", own.alias("x"), F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("y"), F.lit(True).alias("held"), "key", "v", "codes", "missed")
+    held = rows.join(sizes, "list").select(
+        "list", own.alias("x"), F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("y"), "key", "copies", "v", "codes", "missed", "probes", F.lit(None).cast("int").alias("home")
+    )
     ask = F.pmod(F.xxhash64("key"), F.col("ask_blocks")).cast("int")
-    asked = asked.join(sizes, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), ask.alias("y"), F.lit(False).alias("held"), "key", "v", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("missed"))
+    asked = asked.join(sizes, "list").select(
+        "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), ask.alias("y"), "key", "copies", "v",
+        F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("missed"), F.lit(None).cast("array<int>").alias("probes"), "home",
+    )
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        held, asked = group[group["held"]], group[~group["held"]]
+        held, asked = group[group["home"].isna()], group[group["home"].notna()]
         if not len(held) or not len(asked):
-            return pd.DataFrame({"a": [], "b": []})
-        x, q = np.stack(held["v"].to_list()), np.stack(asked["v"].to_list())
+            return pd.DataFrame({"a": [], "b": [], "linked": []})
+        x, q = (np.stack(side["v"].to_list()).astype(float) for side in (held, asked))
         codes = np.frombuffer(b"".join(held["codes"]), np.uint8).reshape(len(x), -1)
-        left, right = held["key"].to_numpy(), asked["key"].to_numpy()
-        found = []
+        homes, home = np.unique(asked["home"].to_numpy(int), return_inverse=True)
+        asks_back = np.stack([np.isin(homes, p) for p in held["probes"]])
+        names = np.concatenate([held["key"].to_numpy(), asked["key"].to_numpy()])
+        copies, k = np.concatenate([held["copies"].to_numpy(), asked["copies"].to_numpy()]), len(held)
+        # A vector that is held and asks is one node.
+        node = pd.factorize(pd.Series(names))[0]
+        label, linked, links = np.arange(len(names)), np.zeros(len(names)), []
         for low in range(0, len(q), 256):
             i, j = close_pairs(shared.value, int(group["list"].iloc[0]), q[low : low + 256], x, codes, held["missed"].to_numpy(), cosine)
-            found += [(left[b], right[low + a]) for a, b in zip(i, j) if left[b] < right[low + a]]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return held.union(asked).groupBy("list", "x", "y").applyInPandas(run, "a binary, b binary")
+            i = i + low
+            # Where both probe each other's list, the task of the lesser key's list reports the pair.
+            own = (node[j] != node[k + i]) & (~asks_back[j, home[i]] | (names[j] < names[k + i]))
+            i, j = i[own], j[own]
+            linked += np.bincount(node[k + i], copies[j], len(names)) + np.bincount(node[j], copies[k + i], len(names))
+            links += joining(node[k + i], node[j], label)
+        name = pd.Series(names).unique()
+        some = np.flatnonzero(linked)
+        counts = pd.DataFrame({"a": name[some], "b": None, "linked": linked[some].astype(np.int64)})
+        joins = pd.DataFrame({"a": [name[a] for a, _ in links], "b": [name[b] for _, b in links], "linked": 0})
+        return pd.concat([counts, joins]) if len(joins) else counts
+
+    return held.union(asked).groupBy("list", "x", "y").applyInPandas(run, "a binary, b binary, linked long")
