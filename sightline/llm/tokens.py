@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core already
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
-KEPT_WORDS = 200_000
+KEPT_WORDS, KEPT_LENGTH = 200_000, 64
 # A single space between two other characters always starts a new piece in this vocabulary's own splitting rule.
 WORD_START = re.compile(r"(?<=\S) (?=\S)")
 
@@ -26,23 +26,30 @@ class _Uneven(Exception):
     """A word with white space at its ends: its text has runs of white space."""
 
 
-class _Words(dict):
-    """Ids of words as bytes, encoded when first asked for. Words of the last KEPT_WORDS to 2 KEPT_WORDS misses are kept."""
+class _Words:
+    """Ids of words as bytes. The unknown words of a text are encoded in one call; those of the last KEPT_WORDS to 2 KEPT_WORDS misses are kept."""
 
     def __init__(self, tokenizer: Tokenizer, before: str):
-        self.tokenizer, self.before, self.old = tokenizer, before, {}
-
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise _Uneven
-        if len(self) >= KEPT_WORDS:
-            self.old = dict(self)
-            self.clear()
-        ids = self.old.get(word)
-        if ids is None:
-            ids = np.array(self.tokenizer.encode(self.before + word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
-        return ids
+        self.tokenizer, self.before, self.kept, self.old = tokenizer, before, {}, {}
+
+    def ids(self, words: list[str], even: bool) -> bytes:
+        """Ids of the words in a row; with `even`, an unknown word with white space at its ends raises _Uneven."""
+        missing, passing = set(words).difference(self.kept), []
+        if missing:
+            uneven = {w for w in missing if not w or w[0].isspace() or w[-1].isspace()}
+            if uneven and even:
+                raise _Uneven
+            if len(self.kept) >= KEPT_WORDS:
+                self.old, self.kept, missing = self.kept, {}, set(words)
+            unknown = [w for w in missing if w not in self.old]
+            codes = self.tokenizer.encode_batch_fast([self.before + w for w in unknown], add_special_tokens=False)
+            self.kept.update((w, self.old[w]) for w in missing if w in self.old)
+            self.kept.update((w, struct.pack(f"<{len(code.ids)}I", *code.ids)) for w, code in zip(unknown, codes))
+            passing = [w for w in unknown if len(w) > KEPT_LENGTH or w in uneven]
+        out = b"".join(map(self.kept.__getitem__, words))
+        for w in passing:
+            del self.kept[w]
+        return out
 
 
 class Encoder:
@@ -61,15 +68,12 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers; null counts as empty."""
         if not text:
             return b""
-        pieces = text.split(" ")
+        first, *later = text.split(" ")
         try:
-            return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
+            return self.first.ids([first], True) + self.later.ids(later, True)
         except _Uneven:
-            pass
-        pieces = WORD_START.split(text)
-        pieces[1:] = [" " + piece for piece in pieces[1:]]
-        codes = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return b"".join(np.array(code.ids, "<u4").tobytes() for code in codes)
+            first, *later = WORD_START.split(text)
+            return self.first.ids([first], False) + self.later.ids(later, False)
 
 
 @lru_cache(maxsize=1)
