@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core already
 
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -31,6 +31,21 @@ class _Words:
 
     def __init__(self, tokenizer: Tokenizer, before: str):
         self.tokenizer, self.before, self.kept, self.old = tokenizer, before, {}, {}
+        # Ids whose token begins with a space, which the byte-level alphabet writes as this letter.
+        size = 1 + max(tokenizer.get_vocab().values())
+        self.opens = np.array([(tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+
+    def _encoded(self, words: list[str], single: bool) -> list[bytes]:
+        """Ids of each word. Words that hold no space are encoded as one text and told apart by the tokens that begin with one."""
+        if single and self.before and words:
+            code = self.tokenizer.encode_batch_fast([self.before + self.before.join(words)], add_special_tokens=False)[0]
+            ids = np.array(code.ids, "<u4")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) == len(words):
+                data, at = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+                return [data[a:b] for a, b in zip(at, at[1:])]
+        codes = self.tokenizer.encode_batch_fast([self.before + w for w in words], add_special_tokens=False)
+        return [np.array(code.ids, "<u4").tobytes() for code in codes]
 
     def ids(self, words: list[str], even: bool) -> bytes:
         """Ids of the words in a row; with `even`, an unknown word with white space at its ends raises _Uneven."""
@@ -42,9 +57,8 @@ class _Words:
             if len(self.kept) >= KEPT_WORDS:
                 self.old, self.kept, missing = self.kept, {}, set(words)
             unknown = [w for w in missing if w not in self.old]
-            codes = self.tokenizer.encode_batch_fast([self.before + w for w in unknown], add_special_tokens=False)
             self.kept.update((w, self.old[w]) for w in missing if w in self.old)
-            self.kept.update((w, struct.pack(f"<{len(code.ids)}I", *code.ids)) for w, code in zip(unknown, codes))
+            self.kept.update(zip(unknown, self._encoded(unknown, even)))
             passing = [w for w in unknown if len(w) > KEPT_LENGTH or w in uneven]
         out = b"".join(map(self.kept.__getitem__, words))
         for w in passing:
