@@ -26,11 +26,13 @@ def allowed_step(
 def with_previous(events: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Adds ``previous_<column>`` of the event with the sequence number before.
 
-    An equi-join on (key, sequence) instead of a window: the events of a hot key stay spread.
+    An equi-join on (key, sequence) instead of a window: the events of a hot key stay spread. Of
+    events that repeat a sequence number the least values count, so no event is multiplied.
     """
-    before = events.select(
-        key, (F.col("sequence") + 1).alias("sequence"), F.lit(True).alias("_has_previous"),
-        *[F.col(c).alias(f"previous_{c}") for c in columns],
+    least = F.min(F.struct(*[F.col(c).alias(f"previous_{c}") for c in columns])).alias("_before")
+    before = (
+        events.groupBy(key, (F.col("sequence") + 1).alias("sequence")).agg(least)
+        .select(key, "sequence", F.lit(True).alias("_has_previous"), "_before.*")
     )
     return events.join(before, [key, "sequence"], "left").withColumn(
         "_has_previous", F.coalesce("_has_previous", F.lit(False))
@@ -38,11 +40,13 @@ def with_previous(events: DataFrame, key: str, columns: Sequence[str]) -> DataFr
 
 
 def repeated_sequences(events: DataFrame, key: str) -> DataFrame:
-    return events.groupBy(key, "sequence").agg(F.count("*").alias("events")).filter("events > 1")
+    """(key, sequence, problem) of every sequence number that more than one event has."""
+    counted = events.groupBy(key, "sequence").agg(F.count("*").alias("_events")).filter("_events > 1")
+    return counted.select(key, "sequence", F.lit("repeated sequence").alias("problem"))
 
 
 def review_problems(events: DataFrame) -> DataFrame:
-    """(opportunity_id, sequence, problem) of every event that breaks the workflow."""
+    """(opportunity_id, sequence, problem) of every event that breaks the workflow, and of every repeated number."""
     rows = with_previous(events.drop("previous_status"), "opportunity_id", ["status", "release_id"])
     first = F.col("sequence") == 1
     before, after = F.col("previous_status"), F.col("status")
@@ -63,9 +67,10 @@ def review_problems(events: DataFrame) -> DataFrame:
             (linked & ~allowed_step(before, after, REVIEW_TRANSITIONS, stay=True), "invalid transition"),
         ]),
     ]
-    return rows.select(
+    found = rows.select(
         "opportunity_id", "sequence", F.explode(F.array_compact(F.array(*checks))).alias("problem")
     )
+    return found.unionByName(repeated_sequences(events, "opportunity_id"))
 
 
 def unknown_references(events: DataFrame, evidence: Sequence[tuple[DataFrame, str]]) -> DataFrame:
@@ -104,4 +109,5 @@ def attempt_problems(events: DataFrame) -> DataFrame:
             F.lit("illegal transition"),
         ),
     ]
-    return rows.select("attempt_id", "sequence", F.explode(F.array_compact(F.array(*checks))).alias("problem"))
+    found = rows.select("attempt_id", "sequence", F.explode(F.array_compact(F.array(*checks))).alias("problem"))
+    return found.unionByName(repeated_sequences(events, "attempt_id"))

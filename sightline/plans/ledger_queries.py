@@ -70,7 +70,9 @@ def _(i):
 
 @query("manifest_verification", """
     select directory, 'request.json' as file_name, case when c % 9 = 0 then 'missing_file' else 'verified' end as result from o_problems
-    union all select directory, 'response.json', case when c % 31 = 0 then 'size_mismatch' when c % 29 = 0 then 'checksum_mismatch' else 'verified' end from o_problems""")
+    union all select directory, 'response.json', 'size_mismatch' from o_problems where c % 31 = 0
+    union all select directory, 'response.json', 'checksum_mismatch' from o_problems where c % 29 = 0
+    union all select directory, 'response.json', 'verified' from o_problems where c % 31 <> 0 and c % 29 <> 0""")
 def _(i):
     return raw.verify_manifest(files(i))
 
@@ -375,7 +377,8 @@ def _(i):
 # ---------------------------------------------------------------------------
 
 step("o_reviews", """
-    select r.*, p.status as ps, p.release_id as pr, p.opportunity_id is not null as linked from src_reviews r left join src_reviews p on p.opportunity_id = r.opportunity_id and p.sequence + 1 = r.sequence""")
+    with one as (select opportunity_id, sequence, min({'status': status, 'release_id': release_id}) as e from src_reviews group by 1, 2)
+    select r.*, p.e.status as ps, p.e.release_id as pr, p.opportunity_id is not null as linked from src_reviews r left join one p on p.opportunity_id = r.opportunity_id and p.sequence + 1 = r.sequence""")
 OK_STEP = "((ps, status) in (('new','in_review'),('new','archived'),('in_review','needs_evidence'),('in_review','action_planned'),('in_review','closed'),('in_review','archived'),('needs_evidence','in_review'),('needs_evidence','action_planned'),('needs_evidence','archived'),('action_planned','in_review'),('action_planned','experiment_running'),('action_planned','closed'),('action_planned','archived'),('experiment_running','needs_evidence'),('experiment_running','closed'),('experiment_running','archived'),('closed','in_review'),('closed','archived')) or (ps = status and ps in ('new','in_review','needs_evidence','action_planned','experiment_running','closed')))"
 
 
@@ -383,7 +386,8 @@ OK_STEP = "((ps, status) in (('new','in_review'),('new','archived'),('in_review'
     select opportunity_id, sequence, 'missing required field' as problem from o_reviews where trim(reviewer) = '' union all select opportunity_id, sequence, 'unsupported status' from o_reviews where status = 'lost'
     union all select opportunity_id, sequence, 'unsupported classification' from o_reviews where classification = 'guess' union all select opportunity_id, sequence, 'next step required' from o_reviews where status in ('action_planned', 'experiment_running') and next_action = ''
     union all select opportunity_id, sequence, 'stale sequence' from o_reviews where sequence <> 1 and not linked union all select opportunity_id, sequence, 'first event must be new' from o_reviews where sequence = 1 and status <> 'new'
-    union all select opportunity_id, sequence, 'release changed' from o_reviews where linked and pr <> release_id union all select opportunity_id, sequence, case when ps = 'archived' then 'archived is final' else 'invalid transition' end from o_reviews where linked and (ps = 'archived' or not {OK_STEP})""")
+    union all select opportunity_id, sequence, 'release changed' from o_reviews where linked and pr <> release_id union all select opportunity_id, sequence, case when ps = 'archived' then 'archived is final' else 'invalid transition' end from o_reviews where linked and (ps = 'archived' or not {OK_STEP})
+    union all select opportunity_id, sequence, 'repeated sequence' from src_reviews group by 1, 2 having count(*) > 1""")
 def _(i):
     return reviews.review_problems(i.bind("src_reviews"))
 
@@ -409,7 +413,8 @@ def _(i):
 
 @query("attempt_state_problems", """
     with a as (select r.*, p.status as ps from src_attempts r left join src_attempts p on p.attempt_id = r.attempt_id and p.sequence + 1 = r.sequence)
-    select attempt_id, sequence, 'illegal transition' as problem from a where ps is not null and not ((ps, status) in (('planned','sending'),('sending','sent'),('sending','failed'),('sending','outcome_unknown'),('sent','success'),('sent','failed'),('sent','outcome_unknown')))""")
+    select attempt_id, sequence, 'illegal transition' as problem from a where ps is not null and not ((ps, status) in (('planned','sending'),('sending','sent'),('sending','failed'),('sending','outcome_unknown'),('sent','success'),('sent','failed'),('sent','outcome_unknown')))
+    union all select attempt_id, sequence, 'repeated sequence' from src_attempts group by 1, 2 having count(*) > 1""")
 def _(i):
     return reviews.attempt_problems(i.bind("src_attempts"))
 

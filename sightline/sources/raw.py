@@ -171,24 +171,36 @@ def dispositions(files: DataFrame) -> DataFrame:
 
 
 def verify_manifest(files: DataFrame) -> DataFrame:
-    """Manifest entries against the files of their directory: presence, size, checksum."""
-    entries = files.filter("role = 'metadata' and json_type = 'object'").select(
-        "directory", F.explode(F.map_entries(jsonx.as_object("document", "$.files"))).alias("e")
-    ).select(
-        "directory", F.col("e.key").alias("file_name"),
-        F.try_variant_get("e.value", "$.sha256", "string").alias("expected_sha256"),
-        F.try_variant_get("e.value", "$.byte_size", "bigint").alias("expected_size"),
+    """Manifests against the files of their directory: one row per file and problem, or `verified`.
+
+    The request and the response are expected even if the manifest does not name them. Metadata without a
+    manifest give one row `missing_manifest` without a file name.
+    """
+    listed = files.filter("role = 'metadata' and json_type = 'object'").select(
+        "directory", jsonx.as_object("document", "$.files").alias("listed")
+    )
+    names = F.array_union(F.map_keys("listed"), F.array(F.lit("request.json"), F.lit("response.json")))
+    entries = listed.select("directory", "listed", F.explode_outer(names).alias("file_name")).select(
+        "directory", "file_name",
+        F.try_variant_get(F.try_element_at("listed", F.col("file_name")), "$.sha256", "string").alias("expected_sha256"),
+        F.try_variant_get(F.try_element_at("listed", F.col("file_name")), "$.byte_size", "bigint").alias("expected_size"),
+        F.try_variant_get(F.try_element_at("listed", F.col("file_name")), "$", "map<string,variant>").isNotNull().alias("described"),
     )
     actual = files.select(
         "directory", F.element_at(F.split("path", "/"), -1).alias("file_name"), "sha256", "byte_size"
     )
     rows = entries.join(actual, ["directory", "file_name"], "left")
-    problem = case([
-        (F.col("sha256").isNull(), "missing_file"),
-        (~F.col("byte_size").eqNullSafe(F.col("expected_size")), "size_mismatch"),
-        (~F.col("sha256").eqNullSafe(F.col("expected_sha256")), "checksum_mismatch"),
-    ], "verified")
-    return rows.select("directory", "file_name", problem.alias("result"))
+    found = F.array_compact(F.array(
+        F.when(~F.col("byte_size").eqNullSafe(F.col("expected_size")), F.lit("size_mismatch")),
+        F.when(~F.col("sha256").eqNullSafe(F.col("expected_sha256")), F.lit("checksum_mismatch")),
+    ))
+    result = (
+        F.when(F.col("file_name").isNull(), F.array(F.lit("missing_manifest")))
+        .when(F.col("sha256").isNull() | ~F.col("described"), F.array(F.lit("missing_file")))
+        .when(F.size(found) == 0, F.array(F.lit("verified")))
+        .otherwise(found)
+    )
+    return rows.select("directory", "file_name", F.explode(result).alias("result"))
 
 
 def incomplete_directories(files: DataFrame) -> DataFrame:

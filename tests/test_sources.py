@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from sightline.operators import ledger, payloads, release, staging, tree
+from sightline.operators import ledger, payloads, release, reviews, staging, tree
 from sightline.operators.shape import dense_grain, latest_per
 from sightline.session import shared_dir
 from sightline.sources import raw, registries, sinks, snapshots
@@ -196,3 +196,22 @@ def test_brand_rules_differ_on_missing_names(spark):
     )
     assert {r.brand_id for r in staging.eligible_brands(rows).collect()} == {"b", "c"}
     assert {r.brand_id for r in staging.eligible_brand_rows(rows).collect()} == {"a", "c"}
+
+
+def test_manifest_problems(spark):
+    manifest = '{"files": {"response.json": {"sha256": "x", "byte_size": 9}}}'
+    rows = [("d", "metadata.json", manifest), ("d", "response.json", "{}"), ("d", "request.json", "{}"), ("n", "metadata.json", '{"run_id": 1}')]
+    content = spark.createDataFrame([(f"/root/raw/serp/northwind/google/2026/09/28/run1/{d}/{n}", len(b), b.encode()) for d, n, b in rows], "path string, length long, content binary")
+    found = {(r.directory[-1], r.file_name, r.result) for r in raw.verify_manifest(raw.inventory(content)).collect()}
+    assert found == {
+        ("d", "response.json", "size_mismatch"), ("d", "response.json", "checksum_mismatch"),
+        ("d", "request.json", "missing_file"), ("n", None, "missing_manifest"),
+    }
+
+
+def test_repeated_sequence_numbers(spark):
+    events = spark.createDataFrame(
+        [("a", 1, "new"), ("a", 2, "in_review"), ("a", 2, "closed"), ("a", 3, "lost")], "opportunity_id string, sequence int, status string",
+    ).selectExpr("*", "'r' as release_id", "'observation' as classification", "'u' as reviewer", "'x' as reason", "'y' as next_action")
+    found = sorted((r.sequence, r.problem) for r in reviews.review_problems(events).collect())
+    assert found == [(2, "invalid transition"), (2, "repeated sequence"), (3, "invalid transition"), (3, "unsupported status")]
