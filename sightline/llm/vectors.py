@@ -2,14 +2,14 @@
 
 Equal vectors are collapsed first. A coarse quantiser (k-means of a bounded sample of directions) puts each distinct vector into
 the list of its nearest centroid; its residual is coded by product quantisation (a codebook per subspace), and the length of
-what the code misses is kept beside it. A query probes every list that may hold a partner: one no farther, by the half-plane
-between the list's centroid and the query's own, than a partner at the wanted cosine reaches toward it. Of the
-distance that belongs to that cosine a direction in d dimensions gets about one part in sqrt(d), so SPREAD / sqrt(d) of it
-is probed (all of it in few dimensions). A pair counts if either of the two probes the other's list, and one of them only reports it.
-In a list, table-lookup distances (query against code) discard a vector only if they exceed that distance by more than what
-its code misses; what passes is ranked again by the exact cosine in double precision. Lists are cut into blocks of bounded
-size, and every block meets the blocks of queries that probe it in a task of its own, which reports how
-many links each vector has and as many links as join what belongs together, not all pairs.
+what the code misses is kept beside it. A query probes every list that can hold a partner: one no farther, by the half-plane
+between the list's centroid and the query's own, than a partner at the wanted cosine can be. Both of a pair are within that
+bound of the other's list, so no pair is lost and one side asks for both. Neighbouring lists form cells; a vector is sent to
+a cell once, however many of its lists it probes, and is held against the probed lists only, and in them only if the triangle
+inequality over the centroid leaves a partner possible. In a list, table-lookup distances (query against code) discard a vector only
+if they exceed that distance by more than what its code misses; what passes is ranked again by the exact cosine in double precision.
+Cells are cut into blocks of bounded size, and every block meets the blocks of queries that ask it in a task of its own, which reports
+how many links each vector has and as many links as join what belongs together, not all pairs.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from sightline.llm.tables import bounded_batches, stored
 COSINE = 0.9
 SAMPLE = 20_000
 LIST_SIZE = 256
-SPREAD = 2.5
 MOST_LISTS = 1 << 14
 CODES = 64
 BLOCK = 2048
@@ -93,15 +92,31 @@ def encode(index: Index, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return where, codes, np.sqrt(missed)
 
 
-def probes(index: Index, units: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, list) of all lists that can hold a vector that lies within `reach` of the query toward the list's centroid."""
-    square = (index.centroids**2).sum(1)
-    gap = square - 2 * units @ index.centroids.T
-    own = gap.argmin(1)
-    between = np.sqrt(np.maximum(0, square[own][:, None] + square - 2 * index.centroids[own] @ index.centroids.T))
-    near = (gap - gap[np.arange(len(units)), own][:, None]) <= 2 * (reach + SLACK) * between + SLACK
-    near[np.arange(len(units)), own] = True
-    return np.nonzero(near)
+def cells_of(centroids: np.ndarray, most: int) -> np.ndarray:
+    """The cell of each list: halves of halves along the widest axis, of at most `most` lists."""
+    cells, parts, n = np.zeros(len(centroids), np.int64), [np.arange(len(centroids))], 0
+    while parts:
+        part = parts.pop()
+        if len(part) <= most:
+            cells[part], n = n, n + 1
+            continue
+        rest = centroids[part] - centroids[part].mean(0)
+        axis = np.linalg.eigh(rest.T @ rest)[1][:, -1]
+        parts += np.array_split(part[np.argsort(rest @ axis, kind="stable")], 2)
+    return cells
+
+
+def probes(index: Index, units: np.ndarray, own: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
+    """query x list: whether the list can hold a vector within `reach` of the query, whose own list is `own`."""
+    square, at, to = (index.centroids**2).sum(1), index.centroids[own], index.centroids[lists]
+    gap = square[lists] - 2 * units @ to.T - (square[own] - 2 * (units * at).sum(1))[:, None]
+    between = np.sqrt(np.maximum(0, square[own][:, None] + square[lists] - 2 * at @ to.T))
+    return (gap <= 2 * (reach + SLACK) * between + SLACK) | (own[:, None] == lists)
+
+
+def asking(own: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Whether a vector of cell `own` asks `cell`: of two cells one asks the other, and each about as many as ask it."""
+    return (own == cell) | ((own > cell) ^ ((own + cell) % 2 == 1))
 
 
 def close_pairs(index: Index, where: int, q: np.ndarray, x: np.ndarray, codes: np.ndarray, missed: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +124,10 @@ def close_pairs(index: Index, where: int, q: np.ndarray, x: np.ndarray, codes: n
     reach = np.sqrt(2 - 2 * cosine)
     units = q / np.linalg.norm(q, axis=1, keepdims=True)
     rest = units - index.centroids[where]
+    # Partners are about as far from the centroid as the query is.
+    far, radii = np.sqrt((rest**2).sum(1)), np.sqrt(((x / np.linalg.norm(x, axis=1, keepdims=True) - index.centroids[where]) ** 2).sum(1))
+    some = np.flatnonzero((far <= radii.max() + reach + SLACK) & (far >= radii.min() - reach - SLACK))
+    q, rest = q[some], rest[some]
     distance = np.zeros((len(q), len(x)))
     for i, book in enumerate(index.books):
         part = rest[:, index.cuts[i] : index.cuts[i + 1]]
@@ -120,7 +139,7 @@ def close_pairs(index: Index, where: int, q: np.ndarray, x: np.ndarray, codes: n
         part = slice(low, low + (1 << 16))
         exact[part] = (q[a[part]] * x[b[part]]).sum(1)
     exact /= np.linalg.norm(q, axis=1)[a] * np.linalg.norm(x, axis=1)[b]
-    return a[exact >= cosine], b[exact >= cosine]
+    return some[a[exact >= cosine]], b[exact >= cosine]
 
 
 def joining(asked: np.ndarray, held: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
@@ -142,8 +161,8 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).astype(float).reshape(-1, d)
 
 
-def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0, spread: float = SPREAD) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding), from the links found.
+def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding).
 
     n_links counts the other rows with a cosine of at least `cosine`; component_id is the smallest vec_id reachable by links and
     kept tells whether it is the row's own. Null and zero vectors, and those with a null or non-finite component, link
@@ -161,7 +180,7 @@ def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0, spread:
     texts = stored(rows.filter("v is not null").groupBy("key").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")), "vec-distinct")
     links = None
     for d, n in sorted((r[0], r[1]) for r in texts.groupBy(F.size("v")).count().collect()):
-        found = _links_of_size(spark, texts.filter(F.size("v") == d), d, n, cosine, seed, spread)
+        found = _links_of_size(spark, texts.filter(F.size("v") == d), d, n, cosine, seed)
         links = found if links is None else links.union(found)
     alone = rows.filter("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if links is None:
@@ -177,7 +196,7 @@ def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0, spread:
     return out.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _links_of_size(spark, texts: DataFrame, d: int, n: int, cosine: float, seed: int, spread: float) -> DataFrame:
+def _links_of_size(spark, texts: DataFrame, d: int, n: int, cosine: float, seed: int) -> DataFrame:
     """Rows about distinct vectors of one dimension: (a, null, rows linked with a in one task), and (a, b, 0) for links that join all parts."""
     share = min(1.0, 1.2 * SAMPLE / n)
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
@@ -186,67 +205,76 @@ def _links_of_size(spark, texts: DataFrame, d: int, n: int, cosine: float, seed:
     sample = np.array([r["v"] for r in picked], float).reshape(-1, d)
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
     index = build_index(sample, max(1, min(MOST_LISTS, len(sample), -(-n // LIST_SIZE))), seed)
-    shared = spark.sparkContext.broadcast(index)
-    reach = float(np.sqrt(2 - 2 * cosine)) * min(1.0, spread / np.sqrt(d))
+    cells = cells_of(index.centroids, max(1, BLOCK // LIST_SIZE))
+    shared = spark.sparkContext.broadcast((index, cells))
+    reach = float(np.sqrt(2 - 2 * cosine))
     rows_at_once = max(16, min(1024, (1 << 22) // len(index.centroids)))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, cells = shared.value
+        by_cell = np.argsort(cells, kind="stable")
+        first = np.flatnonzero(np.diff(cells[by_cell], prepend=-1))
         for batch in batches:
             for low in range(0, batch.num_rows, rows_at_once):
                 part = batch.slice(low, rows_at_once)
                 x = _matrix(part.column("v"), d)
                 units = x / np.linalg.norm(x, axis=1, keepdims=True)
-                where, codes, missed = encode(shared.value, units)
-                who, lists = probes(shared.value, units, reach)
-                near = np.split(lists, np.searchsorted(who, np.arange(1, len(x))))
+                where, codes, missed = encode(index, units)
+                near = np.logical_or.reduceat(probes(index, units, where, by_cell, reach), first, axis=1)
+                who, asks = np.nonzero(near & asking(cells[where][:, None], np.arange(len(first))))
+                asks = np.split(asks.astype(np.int32), np.searchsorted(who, np.arange(1, len(x))))
                 arrays = [
-                    part.column("key"), part.column("copies"), part.column("v"), pa.array(where, pa.int32()),
-                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed), pa.array([p.astype(np.int32) for p in near], pa.list_(pa.int32())),
+                    part.column("key"), part.column("copies"), part.column("v"), pa.array(where, pa.int32()), pa.array(cells[where], pa.int32()),
+                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed), pa.array(asks, pa.list_(pa.int32())),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, ["key", "copies", "v", "list", "codes", "missed", "probes"])
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "copies", "v", "list", "cell", "codes", "missed", "asks"])
 
     kind = texts.schema["v"].dataType.simpleString()
-    schema = f"key binary, copies long, v {kind}, list int, codes binary, missed double, probes array<int>"
+    schema = f"key binary, copies long, v {kind}, list int, cell int, codes binary, missed double, asks array<int>"
     rows = stored(bounded_batches(texts).select("key", "copies", "v").mapInArrow(coded, schema), "vec-coded")
-    asked = rows.select("key", "copies", "v", F.col("list").alias("home"), F.explode("probes").alias("list"))
-    sizes = rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    asks = rows.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ask_blocks"))
-    sizes = stored(sizes.join(asks, "list"), "vec-sizes")
+    asked = rows.select("key", "copies", "v", "list", F.explode("asks").alias("cell"))
+    sizes = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    asks = rows.select(F.explode("asks").alias("cell")).groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ask_blocks"))
+    sizes = stored(sizes.join(asks, "cell"), "vec-sizes")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    held = rows.join(sizes, "list").select(
-        "list", own.alias("x"), F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("y"), "key", "copies", "v", "codes", "missed", "probes", F.lit(None).cast("int").alias("home")
-    )
+    held = rows.join(sizes, "cell").select("cell", own.alias("x"), F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("y"), "key", "copies", "v", "list", "codes", "missed")
     ask = F.pmod(F.xxhash64("key"), F.col("ask_blocks")).cast("int")
-    asked = asked.join(sizes, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), ask.alias("y"), "key", "copies", "v",
-        F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("missed"), F.lit(None).cast("array<int>").alias("probes"), "home",
+    asked = asked.join(sizes, "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), ask.alias("y"), "key", "copies", "v", "list",
+        F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("missed"),
     )
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        held, asked = group[group["home"].isna()], group[group["home"].notna()]
+        index, cells = shared.value
+        held, asked = group[group["codes"].notna()], group[group["codes"].isna()]
         if not len(held) or not len(asked):
             return pd.DataFrame({"a": [], "b": [], "linked": []})
         x, q = (np.stack(side["v"].to_list()).astype(float) for side in (held, asked))
-        codes = np.frombuffer(b"".join(held["codes"]), np.uint8).reshape(len(x), -1)
-        homes, home = np.unique(asked["home"].to_numpy(int), return_inverse=True)
-        asks_back = np.stack([np.isin(homes, p) for p in held["probes"]])
+        codes, missed = np.frombuffer(b"".join(held["codes"]), np.uint8).reshape(len(x), -1), held["missed"].to_numpy()
+        lists, at = np.unique(held["list"].to_numpy(int), return_inverse=True)
+        home = asked["list"].to_numpy(int)
+        near = probes(index, q / np.linalg.norm(q, axis=1, keepdims=True), home, lists, reach)
+        inside = cells[home] == int(group["cell"].iloc[0])
         names = np.concatenate([held["key"].to_numpy(), asked["key"].to_numpy()])
         copies, k = np.concatenate([held["copies"].to_numpy(), asked["copies"].to_numpy()]), len(held)
         # A vector that is held and asks is one node.
         node = pd.factorize(pd.Series(names))[0]
         label, linked, links = np.arange(len(names)), np.zeros(len(names)), []
-        for low in range(0, len(q), 256):
-            i, j = close_pairs(shared.value, int(group["list"].iloc[0]), q[low : low + 256], x, codes, held["missed"].to_numpy(), cosine)
-            i = i + low
-            # Where both probe each other's list, the task of the lesser key's list reports the pair.
-            own = (node[j] != node[k + i]) & (~asks_back[j, home[i]] | (names[j] < names[k + i]))
-            i, j = i[own], j[own]
-            linked += np.bincount(node[k + i], copies[j], len(names)) + np.bincount(node[j], copies[k + i], len(names))
-            links += joining(node[k + i], node[j], label)
+        for n, name in enumerate(lists):
+            own, asks = np.flatnonzero(at == n), np.flatnonzero(near[:, n])
+            for low in range(0, len(asks), 256):
+                some = asks[low : low + 256]
+                i, j = close_pairs(index, int(name), q[some], x[own], codes[own], missed[own], cosine)
+                i, j = some[i], own[j]
+                # In their own cell both of a pair ask; the greater key reports it.
+                one = ~inside[i] | (names[j] < names[k + i])
+                i, j = i[one], j[one]
+                linked += np.bincount(node[k + i], copies[j], len(names)) + np.bincount(node[j], copies[k + i], len(names))
+                links += joining(node[k + i], node[j], label)
         name = pd.Series(names).unique()
         some = np.flatnonzero(linked)
         counts = pd.DataFrame({"a": name[some], "b": None, "linked": linked[some].astype(np.int64)})
         joins = pd.DataFrame({"a": [name[a] for a, _ in links], "b": [name[b] for _, b in links], "linked": 0})
         return pd.concat([counts, joins]) if len(joins) else counts
 
-    return held.union(asked).groupBy("list", "x", "y").applyInPandas(run, "a binary, b binary, linked long")
+    return held.union(asked).groupBy("cell", "x", "y").applyInPandas(run, "a binary, b binary, linked long")

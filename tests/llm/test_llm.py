@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -266,6 +267,18 @@ def test_vectors(spark):
     assert vectors.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_vector_links_in_few_effective_dimensions(spark):
+    for n in (2000, 6000):
+        rng = np.random.default_rng(n)
+        base = rng.normal(size=(n, 8)) @ rng.normal(size=(8, 64)) + 0.3 * rng.normal(size=(n, 64))
+        unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+        cosines = unit @ unit.T
+        got = vectors.link_vectors(spark.createDataFrame(pd.DataFrame({"vec_id": range(n), "embedding": list(base)}), "vec_id long, embedding array<double>"))
+        found = {r.vec_id: r.n_links for r in got.collect()}
+        assert ((cosines >= 0.9) & (cosines < 0.96)).sum() > 1000
+        assert [found[i] for i in range(n)] == ((cosines >= 0.9).sum(1) - 1).tolist()
+
+
 def test_code_lengths_are_exact():
     trees = languages.grow({"a": [b"abracadabra abracadabra"], "b": [b"banana bandana"]}, least=1)
     counts = {"a": defaultdict(Counter), "b": defaultdict(Counter)}
