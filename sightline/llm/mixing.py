@@ -2,7 +2,8 @@
 
 Documents of a source are dealt by a hash into about sqrt(documents) blocks. The target says how many
 whole passes over its blocks a source gets and how many words of one more pass; that pass takes blocks in permuted order, and
-of the block in which the target falls the documents, again in permuted order, up to it, and one document that fits what is left. The blocks taken are the
+of the block in which the target falls the documents, again in permuted order, up to it. Words still missing are filled in rounds from
+the unchosen documents of all blocks that the pass has not taken whole, each round leaving out those larger than what is missing. The blocks taken are the
 source's quota. A binary tree then splits the quotas among the output shards: the two halves of a node get equal numbers
 of blocks, and how many of each source go left is a multivariate hypergeometric draw (one source after another, each
 conditioned on the ones before). Each shard takes disjoint runs of each source's permuted blocks
@@ -98,6 +99,32 @@ def _split_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
     return leaves.withColumn("first", F.coalesce(F.sum("taken").over(earlier), F.lit(0))).filter("taken > 0")
 
 
+def _filled(pool: DataFrame, short: DataFrame, seed: int) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of pool (source_key, nth, row, doc_id, digest, size) that fill what is short (source_key, short), and what is then still short.
+
+    Each round leaves out documents larger than what is missing and takes the others, block by block and in permuted order
+    inside the block in which the missing words run out, until none fits.
+    """
+    filled = None
+    inner = Window.partitionBy("source_key", "nth").orderBy(F.xxhash64("doc_id", F.lit(seed + 3)), "doc_id", "digest", "row")
+    outer = Window.partitionBy("source_key").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    while True:
+        fits = stored(pool.join(short, "source_key").filter(F.col("size") <= F.col("short")), "mix-fits")
+        if fits.isEmpty():
+            return filled, short
+        blocks = fits.groupBy("source_key", "nth").agg(F.sum("size").alias("own")).withColumn("until", F.sum("own").over(outer))
+        rows = fits.join(stored(blocks, "mix-fit-blocks"), ["source_key", "nth"])
+        room = F.col("short") - F.col("until") + F.col("own")
+        whole = F.col("until") <= F.col("short")
+        cut = rows.filter(~whole & (room > 0)).withColumn("take", F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)) <= room)
+        rows = cut.unionByName(rows.filter(whole | (room <= 0)).withColumn("take", whole))
+        rows = stored(rows.select(*pool.columns, "take"), "mix-filled")
+        taken, pool = rows.filter("take").drop("take"), rows.filter("not take").drop("take")
+        filled = taken if filled is None else filled.union(taken)
+        less = taken.groupBy("source_key").agg(F.sum("size").alias("less"))
+        short = stored(short.join(less, "source_key", "left").select("source_key", (F.col("short") - F.coalesce("less", F.lit(0))).alias("short")), "mix-still-short")
+
+
 def draw_plan(docs: DataFrame, levels: int | None = None, seed: int = 7, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """(doc_id, source, size, digest, source_size, target, places) of every row; places: array of struct(copy, shard), one per time it is taken.
 
@@ -131,7 +158,7 @@ def draw_plan(docs: DataFrame, levels: int | None = None, seed: int = 7, weights
     deal = Window.partitionBy("source_key").orderBy(F.xxhash64("block", "copy", F.lit(seed + 2)), "block", "copy")
     drawn = drawn.withColumn("slot", F.row_number().over(deal).cast("long")).join(slots, ["source_key", "slot"])
     placed = drawn.groupBy("source_key", "block").agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("places"))
-    plan = stored(blocks.join(placed, ["source_key", "block"], "left").select("source_key", "block", "passes", "rest", "words", "room", "source_size", "target", "places"), "mix-plan")
+    plan = stored(blocks.join(placed, ["source_key", "block"], "left").select("source_key", "block", "nth", "passes", "rest", "words", "room", "source_size", "target", "places"), "mix-plan")
 
     rows = rows.join(plan, ["source_key", "block"])
     # Only in the block where the target falls is a running sum needed.
@@ -142,20 +169,33 @@ def draw_plan(docs: DataFrame, levels: int | None = None, seed: int = 7, weights
     inside = inside.withColumn("extra", (F.col("before") + F.col("size") <= F.col("room")) & (F.col("size") > 0)).drop("before")
     outside = rows.filter(~cut).withColumn("extra", F.col("room") > 0)
     both = stored(inside.unionByName(outside), "mix-chosen")
-    # What is left up to the target goes to the one unchosen document whose size comes closest, if that is nearer than none.
+    # What is left up to the target is filled from the unchosen documents of this block and the next ones.
+    cut_at = F.when((F.col("room") > 0) & (F.col("room") < F.col("words")), F.struct(F.col("nth"), F.element_at("places", -1)["shard"].alias("shard")))
     last = both.groupBy("source_key").agg(
-        F.max("rest").alias("rest"), F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("chosen"),
-        F.max(F.when((F.col("room") > 0) & (F.col("room") < F.col("words")), F.element_at("places", -1)["shard"])).alias("fill_shard"),
+        F.max("rest").alias("rest"), F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("chosen"), F.max(cut_at).alias("cut"),
     )
-    last = stored(last.select("source_key", (F.col("rest") - F.col("chosen")).alias("short"), F.coalesce("fill_shard", F.lit(0)).alias("fill_shard")), "mix-short")
+    last = last.select("source_key", (F.col("rest") - F.col("chosen")).alias("short"), F.coalesce("cut.nth", F.lit(1)).alias("cut_nth"), F.coalesce("cut.shard", F.lit(0)).alias("cut_shard"))
+    last = stored(last, "mix-short")
+    pool = both.filter(~F.col("extra") & (F.col("size") > 0) & (F.col("passes") < repeats)).select("source_key", "nth", "row", "doc_id", "digest", "size")
+    filled, short = _filled(pool, last.select("source_key", "short"), seed)
+    # Blocks that fill go to one shard after another, from that of the cut block on.
+    last = stored(last.drop("short").join(short, "source_key"), "mix-left")
+    at = F.pmod(F.col("cut_shard") + F.col("nth") - F.col("cut_nth"), F.lit(1 << levels)).cast("int")
+    both = both.join(last, "source_key").withColumn("fill_shard", at)
+    if filled is None:
+        both = both.withColumn("filled", F.lit(False))
+    else:
+        both = both.join(filled.select("row", F.lit(True).alias("filled")), "row", "left").withColumn("filled", F.coalesce("filled", F.lit(False)))
+    both = stored(both, "mix-both")
+    # Then the one unchosen document whose size comes closest, if that is nearer than none.
     away = F.abs(F.col("size") - F.col("short"))
-    fill = both.filter(~F.col("extra") & (F.col("size") > 0) & (F.col("passes") < repeats)).join(last, "source_key").filter(away < F.col("short"))
-    fill = stored(fill.groupBy("source_key").agg(F.min_by(F.struct("row", "fill_shard"), F.struct(away, "doc_id", "row")).alias("fill")).select("source_key", "fill.*"), "mix-fill")
+    fill = both.filter(~F.col("extra") & ~F.col("filled") & (F.col("size") > 0) & (F.col("passes") < repeats)).filter(away < F.col("short"))
+    fill = stored(fill.groupBy("source_key").agg(F.min_by("row", F.struct(away, "doc_id", "row")).alias("row")), "mix-fill")
     both = both.join(fill.withColumnRenamed("row", "fill_row"), "source_key", "left")
     none = F.expr("cast(array() as array<struct<copy:int,shard:int>>)")
     taken = F.coalesce(F.filter("places", lambda p: (p["copy"] <= F.col("passes")) | F.col("extra")), none)
     more = F.array(F.struct((F.col("passes") + 1).alias("copy"), F.col("fill_shard").alias("shard")))
-    taken = F.when(F.coalesce(F.col("row") == F.col("fill_row"), F.lit(False)), F.concat(taken, more)).otherwise(taken)
+    taken = F.when(F.col("filled") | F.coalesce(F.col("row") == F.col("fill_row"), F.lit(False)), F.concat(taken, more)).otherwise(taken)
     return both.select("doc_id", "source", "size", "digest", "source_size", "target", taken.alias("places"))
 
 

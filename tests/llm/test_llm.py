@@ -123,6 +123,18 @@ def test_mixing_comes_near_targets(spark):
     assert all(abs(r.taken - r.target) <= 0.002 * r.target + 5 for r in got)
 
 
+def test_mixing_fills_behind_a_very_long_document(spark):
+    texts = [(f"{s}{n}", prose(n, 5 + n % 60) if n else prose(n, 4500)) for s in "abcdefgh" for n in range(300)]
+    rows = frame(spark, [(i, text, None, name[0], 0) for i, (name, text) in enumerate(texts)])
+    for seed in (7, 8):
+        plan = mixing.draw_plan(rows, levels=2, seed=seed).collect()
+        for own in _grouped(plan, lambda r: r.source).values():
+            taken = sum(r.size * len(r.places) for r in own)
+            assert abs(taken - own[0].target) <= 3, (seed, own[0].source, taken, own[0].target)
+        assert all(0 <= p["shard"] < 4 for r in plan for p in r.places)
+        assert all(len({p["copy"] for p in r.places}) == len(r.places) for r in plan)
+
+
 def test_shards_get_equal_numbers_of_blocks(spark):
     quotas = spark.createDataFrame([("=a", 100), ("=b", 37), ("", 0), ("=c", 7)], "source_key string, quota long")
     got = mixing._split_quotas(quotas, 3, 1).collect()
