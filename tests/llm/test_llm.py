@@ -55,6 +55,23 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(frame(spark, [(1, text, None, None, 0)]), "other").first().text != got[1]
 
 
+def test_ibans_before_upper_case_words_and_numbers(spark):
+    own = ["ES91 2100 0418 4502 0005 1332", "LU28 0019 4006 4475 0000", "BE68 5390 0754 7034", "BE68539007547034", "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"]
+    ends = ["", ".", " BIC", " EUR 12", " SWIFT", " 1234", " 2024 ", " 4041894974608795", " GB82 WEST 1234 5698 7654 32"]
+    pairs = [(iban, end) for iban in own for end in ends]
+    df = pii.pseudonymise(frame(spark, [(i, f"to {iban}{end}", None, None, 0) for i, (iban, end) in enumerate(pairs)]), "k")
+    got = {r.doc_id: r.text for r in df.collect()}
+    for i, (iban, end) in enumerate(pairs):
+        new = got[i][3 : 3 + len(iban)]
+        plain = new.replace(" ", "")
+        assert new != iban and new == got[own.index(iban) * len(ends)][3:], (iban, end, got[i])
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+        if "4041" in end or "WEST" in end:
+            assert end not in got[i]
+        else:
+            assert got[i] == f"to {new}{end}"
+
+
 def test_numeric_permutation_is_one_to_one(spark):
     pairs = spark.range(11 * 13).select(pii.permuted("k", "t", F.col("id") % 11, F.floor(F.col("id") / 11), 11, 13).alias("p")).select("p.*")
     got = pairs.collect()
