@@ -531,11 +531,10 @@ step("o_owned_hits", f"""
 
 
 def text_matches(i: Inputs) -> DataFrame:
-    none = aliases(i).filter("false")
     registry = brands(i)
     names = st.eligible_brand_rows(registry).select(F.col("brand_id").alias("identity_id"), F.col("canonical_name").alias("identity_name"))
     texts = evidence.item_texts(dated(tree_items(i), i))
-    return evidence.brand_matches(texts, evidence.brand_terms(registry, none), names, "brand", "approved", as_of="collected_at")
+    return evidence.brand_matches(texts, evidence.brand_terms(registry, st.usable_aliases(aliases(i))), names, "brand", "approved", as_of="collected_at")
 
 
 def host_matches(i: Inputs) -> DataFrame:
@@ -543,6 +542,10 @@ def host_matches(i: Inputs) -> DataFrame:
     return evidence.owned_matches(dated(tree_items(i), i), hosts, as_of="collected_at")
 
 
+def category_hits(i: Inputs) -> DataFrame:
+    return i.once("category_hits", lambda: evidence.category_matches(evidence.item_texts(tree_items(i)), category_rules(i)))
+
+
 def matches(i: Inputs) -> DataFrame:
     return i.once("matches", lambda: evidence.all_matches(
         [text_matches(i), host_matches(i), evidence.proposal_matches(tree_items(i))]
@@ -715,8 +718,7 @@ step("o_summary", """
 def _(i):
     rows, walked = response_frames(i)
     approved = matches(i).filter("identity_type = 'brand'")
-    none = approved.filter("false")
-    out = evidence.response_summary(rows, walked, approved, none, has_brands=True, has_rules=False)
+    out = evidence.response_summary(rows, walked, approved, category_hits(i), has_brands=True, has_rules=True)
     return out.select(
         "observation_id", "collection_status", "evidence_coverage_status", "atomic_item_count", "organic_count", "product_card_count",
         "answer_block_count", "image_count", "citation_count", "brand_ids", "business_categories",
@@ -726,8 +728,8 @@ def _(i):
 @query("summary_invariants", "select 'x' as rule, 'x' as failure_id where false")
 def _(i):
     rows, walked = response_frames(i)
-    none = matches(i).filter("false")
-    return quality.summary_invariants(evidence.response_summary(rows, walked, none, none, has_brands=True, has_rules=False))
+    approved = matches(i).filter("identity_type = 'brand'")
+    return quality.summary_invariants(evidence.response_summary(rows, walked, approved, category_hits(i), has_brands=True, has_rules=True))
 
 
 @query("coverage_invariants", "select 'feature_coverage' as rule, feature || observation_id as failure_id from o_coverage where coverage_status = 'partial' and c % 5 = 0")
