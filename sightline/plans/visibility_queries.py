@@ -489,7 +489,8 @@ def _(i):
     from sightline.functions.text import display
 
     rows = presence.presence_flags(answer_gold(i), "llm").withColumn("locale", F.concat(F.lit("language="), display("language_code")))
-    return presence.presence_matrix(rows, [f"brand{n}" for n in range(25)], value="present")
+    names = sorted(r["brand_id"] for r in st.eligible_brands(brands(i)).select("brand_id").distinct().collect())
+    return presence.presence_matrix(rows, names, value="present")
 
 
 # ---------------------------------------------------------------------------

@@ -90,3 +90,9 @@ def test_summaries_get_brand_and_category_matches(spark, monkeypatch, name):
     with pytest.raises(Seen) as seen:
         entry.queries()[name](spark, FOLDER)
     assert seen.value.args == (1, "hits", True, True)
+
+
+def test_presence_matrix_has_every_eligible_brand(spark):
+    eligible = {r.brand_id for r in entry.queries()["eligible_brands"](spark, FOLDER).collect()}
+    assert "brand25" in eligible
+    assert set(entry.queries()["presence_matrix"](spark, FOLDER).columns) == {"locale", *eligible}
