@@ -224,6 +224,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
     Null text counts as empty; texts without words link only with equal ones. Rows without an id take part, with
     class_id of the class; kept is true where doc_id equals class_id (repeated rows of one id are all marked). Empty tables give no row.
     """
+    return _classes(docs, similarity, weighted).drop("digest", "root")
+
+
+def _classes(docs: DataFrame, similarity: float, weighted: bool) -> DataFrame:
+    """The rows of near_duplicates with the digest of their text and the root of their class, which no other class has."""
     rows = stored(band_keys(docs, weighted), "near-bands")
     texts = stored(
         rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands")), "near-texts"
@@ -252,17 +257,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
     named = texts.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("digest", F.coalesce("root", "digest").alias("root"), "first_id", "n_copies")
     named = stored(named, "near-named")
     least = stored(named.groupBy("root").agg(F.min("first_id").alias("class_id")), "near-least")
-    named = stored(named.join(least, "root").select("digest", "n_copies", "class_id"), "near-class")
+    named = stored(named.join(least, "root").select("digest", "root", "n_copies", "class_id"), "near-class")
     out = rows.select("doc_id", "digest").join(named, "digest")
-    return out.select("doc_id", "class_id", "n_copies", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return out.select("doc_id", "class_id", "n_copies", (F.col("doc_id") == F.col("class_id")).alias("kept"), "digest", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs with one document of each class: the one with the smallest id. Rows without an id stay.
 
-    Of repeated rows with that id one stays. Columns are unchanged.
+    Of repeated rows of a class with that id one stays; texts of different classes that share an id all stay. Columns are unchanged.
     """
-    keep = near_duplicates(docs, similarity).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    keep = stored(keep, "near-keep")
-    named = docs.join(keep, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    keep = _classes(docs, similarity, False).filter("kept").groupBy("root").agg(F.min(F.struct(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))).alias("one"))
+    keep = stored(keep.select("one.*"), "near-keep")
+    own = docs.withColumn("near_own_digest", _digest())
+    same = (F.col("doc_id") == F.col("kept_id")) & (F.col("near_own_digest") == F.col("kept_digest"))
+    named = own.join(keep, same, "left_semi").dropDuplicates(["doc_id", "near_own_digest"]).drop("near_own_digest")
     return named.unionByName(docs.filter("doc_id is null"))

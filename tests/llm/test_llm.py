@@ -256,6 +256,13 @@ def test_near_duplicates(spark, odd, empty):
     assert near_dups.near_duplicates(empty).count() == 0 and near_dups.drop_near_duplicates(empty).count() == 0
 
 
+def test_classes_that_share_an_id_all_stay(spark):
+    a, b, c = (prose(n, 60) for n in (201, 202, 203))
+    rows = [(1, a, "en", "s", 0), (1, b, "en", "s", 0), (1, b, "en", "s", 0), (2, b, "en", "s", 0), (3, c, "en", "s", 0)]
+    got = near_dups.drop_near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(1, a), (1, b), (3, c)])
+
+
 def test_blocks_join_what_stars_leave_apart(spark):
     chain = [[int(x) for x in range(i * 5, i * 5 + 100)] for i in range(8)]
     import pandas as pd
