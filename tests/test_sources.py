@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from sightline import schemas
 from sightline.operators import ledger, payloads, release, reviews, staging, tree
 from sightline.operators.shape import dense_grain, latest_per
 from sightline.session import shared_dir
@@ -73,7 +74,7 @@ def gold(spark):
     common = "metric_id string, brand_id string, brand_canonical_name string, metric_name string, metric_version string, availability_status string, metric_value double, collected_at timestamp"
     base = ("m1", "b1", "Brand", "serp_organic_sov", "1.0.0", "available", 0.5, None)
     one = spark.createDataFrame([base], common)
-    columns = {c for k in ("serp", "llm", "comparison") for c in snapshots.SNAPSHOT_REQUIRED[k] + snapshots.SNAPSHOT_OPTIONAL[k]}
+    columns = {c for k in ("serp", "llm", "comparison") for c in (*schemas.snapshot_required(k), *schemas.METRIC_CONTEXT[k])}
     for c in sorted(columns - set(one.columns) - {"release_id"}):
         one = one.withColumn(c, F.lit("c1" if c == "comparison_id" else None).cast("string"))
     one = one.withColumn("raw_language_code", F.lit("en"))
