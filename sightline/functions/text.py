@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sightline.functions.cols import ColumnLike, any_of, col
+from sightline.functions.folding import original
 from sightline.schemas import PLACEHOLDER_MARKS
 
 # Patterns that decide what counts as a link or a word.
@@ -77,12 +78,6 @@ def redact_json_parameters(value: ColumnLike) -> Column:
     return F.regexp_replace(col(value), SECRET_JSON_PARAMETER, "$1[REDACTED]")
 
 
-def fold(value: ColumnLike) -> Column:
-    """Case folding: lower case plus the folds ``lower`` does not make (ß, ς, ſ, µ)."""
-    lowered = F.translate(F.lower(col(value)), "ςſµ", "σsμ")
-    return F.replace(lowered, F.lit("ß"), F.lit("ss"))
-
-
 def words(folded: ColumnLike) -> Column:
     """Distinct anchors of a folded text: its words and its single CJK characters."""
     text = col(folded)
@@ -128,15 +123,7 @@ def occurrences(haystack: Column, needle: Column) -> Column:
     return F.when(F.size(pieces) > 1, ends).otherwise(F.array().cast("array<int>"))
 
 
-def sharp_positions(value: ColumnLike) -> Column:
-    """0-based positions of ß in the lower-cased text (each one folds to two characters)."""
-    lowered = F.lower(col(value))
-    return F.when(lowered.contains("ß"), occurrences(lowered, F.lit("ß"))).otherwise(
-        F.array().cast("array<int>")
-    )
-
-
-def term_spans(folded: Column, sharp: Column, terms: Column) -> Column:
+def term_spans(folded: Column, extra: Column, terms: Column) -> Column:
     """All boundary-respecting occurrences of the terms in a folded text.
 
     ``terms`` is array<struct<identity, needle, cjk, ...>> with folded needles. The result is
@@ -144,11 +131,6 @@ def term_spans(folded: Column, sharp: Column, terms: Column) -> Column:
     one term do not overlap. Pass materialised columns: lambdas do not share work.
     """
 
-    def original(position: Column) -> Column:
-        # Every ß before the position made the folded text one character longer.
-        shifted = position - F.size(F.filter(sharp, lambda q, i: q + i + 1 <= position))
-        return F.when(F.size(sharp) == 0, position).otherwise(shifted)
-
     def free(at: Column) -> Column:
         return ~F.substring(folded, at, F.lit(1)).rlike(WORD_CHAR)
 
@@ -165,8 +147,8 @@ def term_spans(folded: Column, sharp: Column, terms: Column) -> Column:
         return F.transform(
             starts,
             lambda p: F.struct(
-                term["identity"].alias("identity"), original(p).alias("start"),
-                (original(p + width - 1) + 1).alias("end"),
+                term["identity"].alias("identity"), original(p, extra).alias("start"),
+                (original(p + width - 1, extra) + 1).alias("end"),
             ),
         )
 

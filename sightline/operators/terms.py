@@ -13,21 +13,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.functions.dates import valid_on
-from sightline.functions.text import (
-    SYMBOL, anchor, fold, is_cjk, longest_spans, sharp_positions, term_spans, words,
-)
+from sightline.functions.folding import fold, folding
+from sightline.functions.text import SYMBOL, anchor, is_cjk, longest_spans, term_spans, words
 from sightline.operators.shape import computed
 
 INLINE_LIMIT = 2000
+BLANK_ENDS = r"^[\p{Z}\s\x1c-\x1f\x85]+|[\p{Z}\s\x1c-\x1f\x85]+$"
 TERM = ("identity", "needle", "cjk", "anchor", "start_date", "end_date")
 
 
+def stripped(text: str) -> Column:
+    """The text without white space (of any script) at its ends."""
+    return F.regexp_replace(F.col(text), BLANK_ENDS, "")
+
+
 def term_table(
     df: DataFrame, identity: str, text: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Folded, non-blank terms with their anchor word and validity window."""
     bound = lambda c: (F.to_date(c) if c else F.lit(None)).cast("date")
-    needle = fold(F.trim(F.col(text)))
+    needle = fold(stripped(text))
     return (
         df.select(
             F.col(identity).cast("string").alias("identity"),
@@ -82,7 +87,8 @@ def match_spans(
     Only terms valid on the row's ``as_of`` date take part, also when overlaps are decided.
     ``suppress=False`` keeps overlapping spans of different terms.
     """
-    folded = computed(rows, _folded=fold(text), _sharp=sharp_positions(text))
+    folded = computed(rows, _fold=folding(text))
+    folded = computed(folded, _folded=F.col("_fold.folded"), _extra=F.col("_fold.extra"))
     candidates = attach_terms(folded, keys, "_folded", terms).filter(F.size("_terms") > 0)
     usable: Column = F.col("_terms")
     if as_of is not None:
@@ -93,7 +99,7 @@ def match_spans(
         )
     kept = [c for c in rows.columns if c != text]
     found = candidates.select(
-        *kept, F.col(text).alias("_text"), F.inline(term_spans(F.col("_folded"), F.col("_sharp"), usable))
+        *kept, F.col(text).alias("_text"), F.inline(term_spans(F.col("_folded"), F.col("_extra"), usable))
     )
     spans = found.select(
         *kept, "identity", F.col("start").alias("span_start"), F.col("end").alias("span_end"),

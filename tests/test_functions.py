@@ -1,3 +1,4 @@
+import random
 import uuid
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from sightline.functions import ids, jsonx
 from sightline.functions import text as tx
 from sightline.functions import url as ur
+from sightline.functions.folding import fold, fold_with_extra, folding
 from sightline.operators.terms import match_spans, term_table
 
 
@@ -41,6 +43,54 @@ def test_spans(spark):
     assert spans(spark, "big & co.", [("x", "& co"), ("y", "&")]) == [("x", 4, 8, "& co")]
 
 
+def plain_spans(text, terms):
+    """All spans by walking the folded text a character at a time, longest first."""
+    folded, origin = "", []
+    for i, letter in enumerate(text):
+        folded += letter.casefold()
+        origin += [i] * len(letter.casefold())
+    inside = lambda p: 0 <= p < len(folded) and (folded[p].isalnum() or folded[p] == "_")
+    found = set()
+    for identity, term in terms:
+        needle, p = term.strip().casefold(), 0
+        while needle and (p := folded.find(needle, p)) >= 0:
+            end = p + len(needle)
+            if not (inside(p - 1) or inside(end)):
+                found.add((identity, origin[p], origin[end - 1] + 1))
+            p = end
+    kept = []
+    for s in sorted(found, key=lambda s: (s[1] - s[2], s[1], s[0])):
+        if all(s[1] >= k[2] or k[1] >= s[2] or s[1:] == k[1:] for k in kept):
+            kept.append(s)
+    return sorted((*s, text[s[1] : s[2]]) for s in kept)
+
+
+ODD_LETTERS = "İ ß ẞ ﬁ ﬃ ŉ ǰ ΐ ΰ և ẖ ẛ ſ ς Σ σ µ Ꭰ ꭰ Ა Ⱥ Ω K 𐐀 ᾳ ᾼ 𞤀".split()
+
+
+def test_spans_of_letters_that_fold_long(spark):
+    assert spans(spark, "İİ Nike now", [("nike", "nike")]) == [("nike", 3, 7, "Nike")]
+    assert spans(spark, "eﬀect ŉ NIKE", [("e", "EFFECT"), ("n", "nike")]) == [("e", 0, 5, "eﬀect"), ("n", 8, 12, "NIKE")]
+    rng = random.Random(5)
+    terms = [(f"t{i}", " " * (i % 2) + "".join(rng.choices([*ODD_LETTERS, "a", "k", "s"], k=1 + i % 3)) + "\u2003" * (i % 2)) for i in range(20)]
+    texts = ["".join(rng.choices([*ODD_LETTERS, " ", " ", "-", "a", "k", "ss", "fi"], k=40)) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n long, text string")
+    table = term_table(spark.createDataFrame(terms, "id string, term string"), "id", "term")
+    got = {}
+    for r in match_spans(rows, ["n"], "text", table).collect():
+        got.setdefault(r.n, []).append((r.identity, r.span_start, r.span_end, r.matched_text))
+    for n, text in enumerate(texts):
+        assert sorted(got.get(n, [])) == plain_spans(text, terms), text
+
+
+def test_every_letter_folds(spark):
+    letters = [chr(c) for c in range(1, 0x1FFFF) if not 0xD800 <= c < 0xE000 and chr(c).casefold() != chr(c)]
+    rows = spark.createDataFrame([(c, f"x{c}y{c}z") for c in letters], "c string, t string")
+    for r in rows.select("c", folding("t").alias("f"), fold("t").alias("g")).collect():
+        text, extra = fold_with_extra(f"x{r.c}y{r.c}z")
+        assert (r.f.folded, r.f.extra, r.g) == (text, extra, text), hex(ord(r.c))
+
+
 @pytest.mark.parametrize("url,host,canonical", [
     ("https://nike.com:443/a#f", "nike.com", "https://nike.com/a"),
     ("HTTPS://Nike.COM./x", "nike.com", None),
