@@ -19,7 +19,7 @@ from sightline.operators.shape import computed, dense_grain, union_all
 from sightline.operators.staging import eligible_brand_rows, usable_aliases, usable_domains
 from sightline.operators.terms import match_spans, term_table
 from sightline.schemas import (
-    ERROR_CODE_FLOOR, FEATURE_EVIDENCE_VERSION, FEATURES, PENDING_CODES, RESPONSE_EVIDENCE_VERSION,
+    ERROR_CODE_FLOOR, FEATURE_EVIDENCE_VERSION, FEATURES, PENDING_CODES,
 )
 
 CONTEXT_COLUMNS = (
@@ -482,7 +482,7 @@ def all_matches(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Result context and response summaries
+# Result context and response issues
 # ---------------------------------------------------------------------------
 
 
@@ -556,76 +556,6 @@ def response_issues(nodes: DataFrame) -> DataFrame:
     return nodes.select("observation_id", F.explode(F.array_compact(found)).alias("issue"))
 
 
-COUNTED_KINDS = ("organic", "product_card", "answer_block", "image", "citation")
-
-
-def response_summary(
-    results: DataFrame, nodes: DataFrame, brand_evidence: DataFrame, category_evidence: DataFrame,
-    *, has_brands: bool, has_rules: bool,
-) -> DataFrame:
-    """One row per response: counts only when complete, sorted id arrays, coverage labels.
-
-    ``results`` holds every result row of the response; brand_evidence has observation_id,
-    identity_id and evidence_type; category_evidence has observation_id and identity_id.
-    """
-    usable = F.col("collection_status").isin("available", "no_results")
-    listed = F.coalesce(jsonx.is_list("result", "$.items"), F.lit(False))
-    sources = jsonx.get("result", "$.sources")
-    bad_sources = F.coalesce(
-        sources.isNotNull() & ~F.is_variant_null(sources) & ~jsonx.is_list("result", "$.sources"),
-        F.lit(False),
-    )
-    per_response = results.groupBy("observation_id", "source_category").agg(
-        F.first("collection_status").alias("_status"),
-        F.bool_or(usable & F.col("result").isNotNull() & ~listed).alias("_broken"),
-        F.bool_or(usable & F.col("result").isNotNull() & bad_sources).alias("_bad_sources"),
-        F.sum(F.size(jsonx.as_list("result", "$.items"))).alias("_top"),
-    )
-    kinds = nodes.groupBy("observation_id").agg(
-        F.count("*").alias("_atoms"),
-        *[F.count_if(F.col("item_kind") == k).alias(f"_{k}") for k in COUNTED_KINDS],
-        F.array_sort(F.collect_set(F.when(F.col("is_top_level"), F.coalesce(jsonx.text("value", "$.type"), F.lit("unknown"))))).alias("result_types"),
-    )
-    issues = response_issues(nodes).groupBy("observation_id").agg(F.count("*").alias("_issues"))
-    ids = brand_evidence.groupBy("observation_id").agg(
-        F.array_sort(F.collect_set("identity_id")).alias("brand_ids"),
-        F.array_sort(F.collect_set(F.when(F.col("evidence_type") == "answer_text", F.col("identity_id")))).alias("answer_brand_ids"),
-        F.array_sort(F.collect_set(F.when(F.col("evidence_type") == "owned_citation", F.col("identity_id")))).alias("cited_brand_ids"),
-    )
-    categories = category_evidence.groupBy("observation_id").agg(
-        F.array_sort(F.collect_set("identity_id")).alias("business_categories")
-    )
-    rows = per_response
-    for part in (kinds, issues, ids, categories):
-        rows = rows.join(part, "observation_id", "left")
-    none = F.array().cast("array<string>")
-    coverage = case([
-        (~F.col("_status").isin("available", "no_results"), F.col("_status")),
-        (F.col("_broken") | F.col("_bad_sources") | F.coalesce(F.col("_issues") > 0, F.lit(False)), "partial"),
-    ], "complete")
-    rows = rows.withColumn("evidence_coverage_status", coverage)
-    complete = F.col("evidence_coverage_status") == "complete"
-    brand_label = F.lit("complete" if has_brands else "no_approved_registry")
-    rule_label = F.lit("reviewed_rules" if has_rules else "unknown_no_reviewed_rules")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    return rows.select(
-        "observation_id", "source_category", F.col("_status").alias("collection_status"),
-        "evidence_coverage_status",
-        F.when(complete, brand_label).otherwise(F.col("evidence_coverage_status")).alias("brand_coverage_status"),
-        F.when(complete, rule_label).otherwise(F.col("evidence_coverage_status")).alias("category_coverage_status"),
-        F.when(F.col("_status").isin("available", "no_results") & ~F.col("_broken"), zero("_top")).alias("top_level_item_count"),
-        F.when(complete, zero("_atoms")).alias("atomic_item_count"),
-        *[F.when(complete, zero(f"_{k}")).alias(f"{k}_count") for k in COUNTED_KINDS],
-        F.when(complete & F.lit(has_brands), F.size(F.coalesce("brand_ids", none))).alias("distinct_brand_count"),
-        F.coalesce("brand_ids", none).alias("brand_ids"),
-        F.coalesce("answer_brand_ids", none).alias("answer_brand_ids"),
-        F.coalesce("cited_brand_ids", none).alias("cited_brand_ids"),
-        F.coalesce("result_types", none).alias("result_types"),
-        F.coalesce("business_categories", F.array(F.lit("unknown"))).alias("business_categories"),
-        F.lit(RESPONSE_EVIDENCE_VERSION).alias("enrichment_version"),
-    )
-
-
 def feature_grid(coverage: DataFrame, brands: DataFrame) -> DataFrame:
     """Coverage rows combined with every eligible brand."""
     return dense_grain(coverage, brands, ["result_id", "feature"])

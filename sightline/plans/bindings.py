@@ -191,6 +191,22 @@ BINDINGS: dict[str, str] = {
           case when item_id % 5 = 4 then 'candidate' else 'approved' end as review_status,
           case when item_id % 7 = 6 then 'False' else 'TRUE' end as active
         from benchmark""",
+    # First-generation registries: words that stand in the evidence trees.
+    "src_response_aliases": """
+        select 'ra' || cast(n as string) as brand_alias_id, 'brand' || cast(n as string) as brand_id,
+          case n % 8 when 0 then 'gear' when 1 then ' SHOE ' when 2 then 'plain' when 3 then 'now' when 4 then 'plain'
+            when 5 then 'placeholder' when 6 then 'again' else null end as alias_text,
+          'US' as market, 'en' as language, case when n % 3 = 1 then date '1996-01-01' else null end as effective_start_date,
+          case when n % 4 = 3 then date '1997-06-30' else null end as effective_end_date
+        from src_brand_numbers""",
+    "src_response_rules": """
+        select 'rr' || cast(n as string) as rule_id, 'cat' || cast(n % 4 as string) as category_id, 'Category ' || cast(n % 4 as string) as category_name,
+          case n % 6 when 0 then 'Gear' when 1 then 'shoe' when 2 then 'plain words' when 3 then ' again ' when 4 then 'acme' || cast(n % 9 as string) else 'buy' end as term,
+          case n % 6 when 0 then 'title' when 1 then 'title' when 2 then 'text' when 3 then 'markdown' when 4 then 'brand' else 'title' end as matched_field,
+          case when n % 5 = 0 then '*' when n % 6 = 0 then 'organic' when n % 6 in (1, 4) then 'product_card' when n % 6 in (2, 3) then 'answer_block' else 'organic' end as item_kind,
+          't1' as taxonomy_version, 'r1' as rule_version, case when n % 11 = 10 then 'candidate' else 'approved' end as review_status,
+          case when n % 13 = 12 then 'false' else 'TRUE' end as active
+        from src_brand_numbers""",
     # --- event logs ---------------------------------------------------------------------------
     "src_reviews": """
         select 'opp' || cast(event_id - event_id % 6 as string) as opportunity_id, cast(event_id % 6 + case when event_id % 601 = 5 then 2 else 1 end as int) as sequence,
@@ -372,7 +388,7 @@ def oracle(body: str, steps: dict[str, str] | None = None) -> str:
     parts = resolve(body, steps)
     if not parts:
         return body
-    ctes = ",\n".join(f"{name} as ({sql})" for name, sql in parts)
+    ctes = ",\n".join(f"{name} as materialized ({sql})" for name, sql in parts)
     stripped = body.strip()
     if stripped.lower().startswith("with "):
         return f"with {ctes},\n{stripped[5:]}"

@@ -9,6 +9,7 @@ from sightline.functions import ids, jsonx
 from sightline.functions import text as tx
 from sightline.functions import url as ur
 from sightline.operators import evidence, features, payloads, presence, quality, release, tree
+from sightline.operators import response_evidence as first
 from sightline.operators import staging as st
 from sightline.operators.terms import match_spans, term_table
 from sightline.plans.bindings import Inputs
@@ -171,15 +172,17 @@ def _(i):
 step("o_term_rows", """
     select distinct brand_id as identity, replace(lower(trim(alias_text)), 'ß', 'ss') as needle, length(replace(lower(trim(alias_text)), 'ß', 'ss')) as w
     from o_aliases where alias_text is not null and not regexp_matches(lower(alias_text), 'to_be_verified|example|placeholder|sanitized')""")
+# Original position of every folded character: ß is the one letter of these texts that folds to two.
+ORIGINS = "flatten(list_transform(string_split(lower(text), ''), lambda c, i: case when c = 'ß' then [i - 1, i - 1] else [i - 1] end))"
+step("o_folded_documents", f"select doc_id, text, replace(lower(text), 'ß', 'ss') as f, {ORIGINS} as origin from documents")
 SPAN_SQL = r"""
-    with d as (select doc_id, replace(lower(text), 'ß', '') as f from documents),
-    hits as (select d.*, t.* from d join o_term_rows t on contains(d.f, t.needle)),
+    with hits as (select d.*, t.* from o_folded_documents d join o_term_rows t on contains(d.f, t.needle)),
     pos as (select *, unnest(generate_series(1, len(parts) - 1)) as j from (select *, string_split(f, needle) as parts from hits)),
     starts as (select *, list_sum(list_transform(parts[1:j], lambda x: length(x)))::int + (j - 1)::int * w::int as p from pos),
-    c as (select distinct doc_id, identity, p as s, (p + w)::int as e from starts where (p = 0 or not regexp_matches(substr(f, p, 1), '[\p{L}\p{N}_]')) and (p + w >= length(f) or not regexp_matches(substr(f, p + w + 1, 1), '[\p{L}\p{N}_]'))),
-    l as (select doc_id, list({'w': s - e, 's': s, 'i': identity, 'e': e} order by s - e, s, identity) as cands from c group by 1),
-    k as (select doc_id, unnest(list_reduce(list_transform(cands, lambda x: [x]), lambda acc, x: case when len(list_filter(acc, lambda o: x[1].s < o.e and o.s < x[1].e and not (x[1].s = o.s and x[1].e = o.e))) > 0 then acc else list_concat(acc, x) end)) as r from l)
-    select doc_id, r.i as identity, r.s as span_start, r.e as span_end from k"""
+    c as (select distinct doc_id, text, identity, origin[p + 1]::int as s, origin[p + w]::int + 1 as e from starts where (p = 0 or not regexp_matches(substr(f, p, 1), '[\p{L}\p{N}_]')) and (p + w >= length(f) or not regexp_matches(substr(f, p + w + 1, 1), '[\p{L}\p{N}_]'))),
+    l as (select doc_id, any_value(text) as text, list({'w': s - e, 's': s, 'i': identity, 'e': e} order by s - e, s, identity) as cands from c group by doc_id),
+    k as (select doc_id, text, unnest(list_reduce(list_transform(cands, lambda x: [x]), lambda acc, x: case when len(list_filter(acc, lambda o: x[1].s < o.e and o.s < x[1].e and not (x[1].s = o.s and x[1].e = o.e))) > 0 then acc else list_concat(acc, x) end)) as r from l)
+    select doc_id, r.i as identity, r.s as span_start, r.e as span_end, substr(text, r.s + 1, r.e - r.s) as matched_text from k"""
 
 
 def span_terms(i: Inputs) -> DataFrame:
@@ -187,9 +190,9 @@ def span_terms(i: Inputs) -> DataFrame:
 
 
 def spans(i: Inputs, **options) -> DataFrame:
-    docs = i.table("documents").select("doc_id", F.replace(F.lower("text"), F.lit("ß"), F.lit("")).alias("text"))
+    docs = i.table("documents").select("doc_id", "text")
     found = match_spans(docs, ["doc_id"], "text", span_terms(i), **options)
-    return found.select("doc_id", "identity", "span_start", "span_end")
+    return found.select("doc_id", "identity", "span_start", "span_end", "matched_text")
 
 
 @query("term_spans", SPAN_SQL)
@@ -574,7 +577,7 @@ def answer_texts(i: Inputs) -> DataFrame:
     return i.table("documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item_id"), F.lit("o").alias("observation_id"), F.lit("r").alias("result_id"),
         F.lit("answer_text").alias("item_kind"), F.lit("answer_text").alias("evidence_type"), F.lit("text").alias("matched_field"),
-        F.replace(F.lower("text"), F.lit("ß"), F.lit("")).alias("field_text"),
+        F.col("text").alias("field_text"),
     )
 
 
@@ -585,15 +588,15 @@ def category_rules(i: Inputs) -> DataFrame:
 
 
 @query("category_rule_matches", r"""
-    with d as (select doc_id, replace(lower(text), 'ß', '') as f from documents), r as (select *, replace(lower(trim(term)), 'ß', 'ss') as needle from src_rules where review_status = 'approved' and lower(active) = 'true'
+    with d as (select * from o_folded_documents), r as (select *, replace(lower(trim(term)), 'ß', 'ss') as needle from src_rules where review_status = 'approved' and lower(active) = 'true'
       and matched_field in ('text', 'markdown') and item_kind in ('*', 'answer_block') and trim(term) <> ''),
     hits as (select d.*, r.* from d join r on contains(d.f, r.needle)),
     pos as (select *, unnest(generate_series(1, len(parts) - 1)) as j from (select *, string_split(f, needle) as parts from hits)),
     s as (select *, list_sum(list_transform(parts[1:j], lambda x: length(x)))::int + (j - 1)::int * length(needle)::int as p from pos)
-    select 'd' || doc_id as item_id, category_id as identity_id, 'explicit_multilabel_rule:' || rule_id as method, min(p) as span_start from s
+    select 'd' || doc_id as item_id, category_id as identity_id, 'explicit_multilabel_rule:' || rule_id as method, min(origin[p + 1])::int as span_start, arg_min(substr(text, origin[p + 1]::int + 1, (origin[p + length(needle)] - origin[p + 1])::int + 1), p) as matched_text from s
     where (p = 0 or not regexp_matches(substr(f, p, 1), '[\p{L}\p{N}_]')) and (p + length(needle) >= length(f) or not regexp_matches(substr(f, p + length(needle)::int + 1, 1), '[\p{L}\p{N}_]')) group by 1, 2, 3""")
 def _(i):
-    return evidence.category_matches(answer_texts(i), category_rules(i)).select("item_id", "identity_id", "method", "span_start")
+    return evidence.category_matches(answer_texts(i), category_rules(i)).select("item_id", "identity_id", "method", "span_start", "matched_text")
 
 
 @query("readable_items", """
@@ -685,51 +688,180 @@ def _(i):
     )
 
 
-# --- first-generation summaries -------------------------------------------------------------------
+# --- first-generation evidence -------------------------------------------------------------------
 
 
-def response_frames(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    from sightline.schemas import RESPONSE_EVIDENCE_VERSION
+def response_rows(i: Inputs) -> DataFrame:
+    return i.once("responses", lambda: first.responses(tree_payloads(i)))
 
-    rows = evidence.result_rows(tree_payloads(i), RESPONSE_EVIDENCE_VERSION)
-    return rows, i.once("response_nodes", lambda: tree.walk(rows, tree.RESPONSE_GRAMMAR))
 
+def response_parts(i: Inputs) -> DataFrame:
+    return i.once("response_parts", lambda: first.result_parts(response_rows(i)))
 
-@query("response_tree_counts", """
-    with n as (select o.*, t.serp from o_nodes o join o_tree t using (k))
-    select item_kind, count(*) as nodes from (
-      select case kind when 'product' then 'product_card' when 'answer_text' then 'answer_block' when 'paid' then 'unsupported' when 'answer_module' then 'unsupported' else kind end as item_kind from n
-      where kind not in ('retained_nested', 'ad_link') and path not like '%.links[1]' and not (path like '%.markdown') and not (serp and path like '%.items[3].items%')
-    ) group by 1""")
-def _(i):
-    _, walked = response_frames(i)
-    return walked.groupBy("item_kind").agg(F.count("*").alias("nodes"))
 
+def response_nodes(i: Inputs) -> DataFrame:
+    return i.once("response_nodes", lambda: first.evidence_nodes(response_parts(i)))
 
-step("o_summary", """
-    select *, case when collection_status = 'pending' then 'pending' when not serp and listed and c % 8 in (2, 6, 7) and c % 5 in (3, 4) and c % 11 <> 5 then 'complete' else 'partial' end as cov from o_tree""")
 
+def response_problems(i: Inputs) -> DataFrame:
+    return i.once("response_problems", lambda: first.all_issues(response_rows(i), response_parts(i), response_nodes(i)))
 
-@query("response_summaries", """
-    select observation_id, collection_status, cov as evidence_coverage_status, case when cov = 'complete' then 8 end as atomic_item_count, case when cov = 'complete' then 0 end as organic_count, case when cov = 'complete' then 2 end as product_card_count,
-      case when cov = 'complete' then 2 end as answer_block_count, case when cov = 'complete' then 0 end as image_count, case when cov = 'complete' then 3 end as citation_count,
-      coalesce(x.ids, '') as brand_ids, 'unknown' as business_categories
-    from o_summary left join (select k, string_agg(distinct brand_id, ',' order by brand_id) as ids from (select k, brand_id from o_text_hits union select k, brand_id from o_owned_hits) group by 1) x using (k)""")
-def _(i):
-    rows, walked = response_frames(i)
-    approved = matches(i).filter("identity_type = 'brand'")
-    out = evidence.response_summary(rows, walked, approved, category_hits(i), has_brands=True, has_rules=True)
-    return out.select(
-        "observation_id", "collection_status", "evidence_coverage_status", "atomic_item_count", "organic_count", "product_card_count",
-        "answer_block_count", "image_count", "citation_count", "brand_ids", "business_categories",
+
+def response_texts(i: Inputs) -> DataFrame:
+    return i.once("response_texts", lambda: first.evidence_texts(response_nodes(i), response_days(i)))
+
+
+def response_days(i: Inputs) -> DataFrame:
+    return response_rows(i).select("observation_id", "collected_at")
+
+
+def evidence_version(i: Inputs):
+    """A version of the brand registry both engines can compute."""
+    return brands(i).agg(F.md5(F.array_join(F.array_sort(F.collect_list("brand_id")), ","))).scalar()
+
+
+def response_mentions(i: Inputs) -> DataFrame:
+    return i.once("response_mentions", lambda: first.brand_evidence(
+        response_nodes(i), response_texts(i), brands(i), i.bind("src_response_aliases"), domains(i), response_days(i), evidence_version(i)
+    ))
+
+
+def response_rules(i: Inputs) -> DataFrame:
+    from sightline.sources.registries import approved_rules
+
+    return approved_rules(i.bind("src_response_rules"))
+
+
+def response_categories(i: Inputs) -> DataFrame:
+    return i.once("response_categories", lambda: first.category_evidence(response_texts(i), response_rules(i)))
+
+
+def response_summaries(i: Inputs) -> DataFrame:
+    has_rules = response_rules(i).agg(F.count("*") > 0).scalar()
+    return first.summaries(
+        response_rows(i), response_parts(i), response_nodes(i), response_problems(i), response_mentions(i), response_categories(i), brands(i),
+        has_rules, evidence_version(i),
     )
 
 
-@query("summary_invariants", "select 'x' as rule, 'x' as failure_id where false")
+step("o_response_nodes", """
+    select k, c, path, parent, top, serp, case kind when 'product' then 'product_card' when 'answer_text' then 'answer_block' when 'paid' then 'unsupported' when 'answer_module' then 'unsupported' else kind end as kind
+    from o_nodes join (select k, serp, listed from o_tree) using (k)
+    where listed and kind not in ('retained_nested', 'ad_link') and path not like '%.links[1]' and path not like '%.markdown' and not (serp and path like '%.items[3].items%')""")
+
+
+@query("response_tree_counts", "select kind as item_kind, count(*) as nodes from o_response_nodes group by 1")
+def _(i):
+    return response_nodes(i).groupBy("item_kind").agg(F.count("*").alias("nodes"))
+
+
+step("o_response_issues", f"""
+    with t as (select *, {R} as b, case when serp then '.items[0]' else '.items[0]' end as ans, case when serp then '.items[2]' else '.items[1]' end as prod from o_tree where collection_status <> 'pending'),
+    l as (select * from t where listed)
+    select k, 'result[0]:items_unavailable' as issue from t where not listed
+    union all select k, b || ':malformed_sources' from l where c % 4 = 1
+    union all select k, b || '.items[1]:unsupported_item_type' from l where serp and c % 3 <> 0
+    union all select k, b || '.items[1].extra:unsupported_nested_content' from l where serp and c % 3 <> 0
+    union all select k, b || '.items[1].links:unsupported_nested_content' from l where serp and c % 3 = 1
+    union all select k, b || prod || ':product_items_unavailable' from l where c % 4 = 0
+    union all select k, b || prod || '.items:unavailable' from l where c % 4 = 1
+    union all select k, b || prod || '.items[1].spec:unsupported_nested_content' from l where c % 8 = 3
+    union all select k, b || '.items[3]:unsupported_item_type' from l where serp or c % 11 = 5
+    union all select k, b || '.items[3].items:unsupported_nested_content' from l where serp
+    union all select k, b || '.items[0].sources:unavailable' from l where not serp and c % 8 = 1
+    union all select k, b || '.items[2]:answer_content_unavailable' from l where not serp and c % 5 < 2
+    union all select k, b || '.items[2]:unsupported_item_type' from l where not serp and c % 5 = 2""")
+step("o_response_fields", """
+    select *, 'title' as field, case when path like '%.items[0]' then 'Brand' || (c % 25) || ' gear' else 'x' end as txt from o_response_nodes where kind = 'organic'
+    union all select *, 'description', 'buy' from o_response_nodes where kind = 'organic' and path like '%.items[0]'
+    union all select *, 'title', case when path like '%.items[0]' then 'Brand' || (c % 25) || ' shoe' else 'y' end from o_response_nodes where kind = 'product_card'
+    union all select *, 'brand', ' Acme' || (c % 9) || ' ' from o_response_nodes where kind = 'product_card' and path like '%.items[0]'
+    union all select *, 'markdown', 'See Brand' || (c % 25) || ' and again or https://x.net/y now' from o_response_nodes where kind = 'answer_block' and path like '%.items[0]'
+    union all select *, 'text', 'plain words' from o_response_nodes where kind = 'answer_block' and path like '%.items[2]' and c % 5 in (3, 4)""")
+NO_WORD = r"[^\p{L}\p{N}_]"
+WHOLE_WORD = rf"""contains(lower(f.txt), w.needle) and (strpos(lower(f.txt), w.needle) = 1 or regexp_matches(substr(f.txt, strpos(lower(f.txt), w.needle)::int - 1, 1), '{NO_WORD}'))
+        and (strpos(lower(f.txt), w.needle) + length(w.needle) > length(f.txt) or regexp_matches(substr(f.txt, (strpos(lower(f.txt), w.needle) + length(w.needle))::int, 1), '{NO_WORD}'))"""
+step("o_response_mentions", f"""
+    with w as (select brand_id, canonical_name, lower(trim(canonical_name)) as needle, effective_start_date as s, effective_end_date as e, effective_start_date as s2, effective_end_date as e2 from o_ok_brands where canonical_name is not null
+      union all select brand_id, b.canonical_name, lower(trim(alias_text)), a.effective_start_date, a.effective_end_date, b.effective_start_date, b.effective_end_date from src_response_aliases a join o_ok_brands b using (brand_id)
+        where alias_text is not null and lower(alias_text) not like '%placeholder%'),
+    m as (select distinct f.k, f.path, f.kind, w.brand_id, w.canonical_name, f.field, strpos(lower(f.txt), w.needle) - 1 as s, length(w.needle) as n, f.txt
+      from o_response_fields f join o_tree t using (k) join w on {WHOLE_WORD}
+        and (w.s is null or t.collected_at >= w.s) and (w.e is null or t.collected_at <= w.e) and (w.s2 is null or t.collected_at >= w.s2) and (w.e2 is null or t.collected_at <= w.e2)),
+    u as (select k, c, path, kind, case when kind = 'organic' then 'm.brand' || (c % 30) || '.shop' when path like '%references[0]' then 'brand3.shop' when path like '%inline_links%' then 'brand' || (c % 30) || '.shop'
+        when path like '%.result[0].sources[%' then 'brand4.shop' when path like '%.sources[0]' then 'brand1.shop' end as host from o_response_nodes where (kind = 'organic' and path like '%.items[0]') or kind = 'citation')
+    select k, path, brand_id, canonical_name, case kind when 'organic' then 'serp_title_snippet' when 'product_card' then 'product_card' else 'answer_text' end as evidence_type, field as matched_field,
+      substr(txt, s::int + 1, n::int) as matched_text, s::int as span_start, (s + n)::int as span_end from m
+    union all select u.k, u.path, d.brand_id, b.canonical_name, case u.kind when 'citation' then 'citation' else 'owned_domain' end, 'url', u.host, null, null
+      from u join o_tree t using (k) join o_domains d on u.host = lower(trim(d.domain)) or ends_with(u.host, '.' || lower(trim(d.domain))) join o_ok_brands b on b.brand_id = d.brand_id and {VALID}
+      where not ends_with(d.domain, '.test')""")
+step("o_response_categories", f"""
+    select f.k, f.path, w.category_id, w.category_name, f.field as matched_field, w.term as matched_text, 'reviewed_explicit_term' as method, w.rule_id
+    from o_response_fields f join (select *, lower(trim(term)) as needle from src_response_rules where review_status = 'approved' and lower(active) = 'true') w
+      on w.matched_field = f.field and w.item_kind in ('*', f.kind) and {WHOLE_WORD}""")
+EVIDENCE_ITEM_ID = duck_evidence_id("'obs' || k", "path", "'response-evidence-1'")
+
+
+@query("response_brand_evidence", f"""
+    select 'obs' || k as observation_id, {EVIDENCE_ITEM_ID} as item_id, brand_id, canonical_name as brand_name, evidence_type, matched_field, matched_text, span_start, span_end from o_response_mentions""")
+def _(i):
+    return response_mentions(i).select(
+        "observation_id", "item_id", "brand_id", "brand_name", "evidence_type", "matched_field", "matched_text", "span_start", "span_end"
+    )
+
+
+@query("response_category_evidence", f"""
+    select 'obs' || k as observation_id, {EVIDENCE_ITEM_ID} as item_id, category_id, category_name, matched_field, matched_text, method, rule_id, 't1' as taxonomy_version, 'r1' as rule_version from o_response_categories""")
 def _(i):
-    rows, walked = response_frames(i)
-    approved = matches(i).filter("identity_type = 'brand'")
-    return quality.summary_invariants(evidence.response_summary(rows, walked, approved, category_hits(i), has_brands=True, has_rules=True))
+    return response_categories(i).drop("evidence_id")
+
+
+@query("response_items", f"""
+    select {EVIDENCE_ITEM_ID} as item_id, 'obs' || k as observation_id, path as json_path, kind as item_kind,
+      case when kind = 'unsupported' or exists (select 1 from o_response_issues x where x.k = n.k and (starts_with(x.issue, n.path || ':') or starts_with(x.issue, n.path || '.'))) then 'partial' else 'complete' end as coverage_status
+    from o_response_nodes n""")
+def _(i):
+    return first.response_items(response_nodes(i), response_problems(i)).select("item_id", "observation_id", "json_path", "item_kind", "coverage_status")
+
+
+step("o_response_summaries", """
+    with iss as (select k, '[' || string_agg('"' || issue || '"', ', ' order by issue) || ']' as issues from o_response_issues group by 1),
+    br as (select k, string_agg(brand_id, ',' order by brand_id) as ids, string_agg(canonical_name, ',' order by brand_id) as names, count(*) as n from (select distinct k, brand_id, canonical_name from o_response_mentions) group by 1),
+    an as (select k, string_agg(distinct brand_id, ',' order by brand_id) as ids from o_response_mentions where evidence_type = 'answer_text' group by 1),
+    ci as (select k, string_agg(distinct brand_id, ',' order by brand_id) as ids from o_response_mentions where evidence_type = 'citation' group by 1),
+    ca as (select k, string_agg(distinct category_id, ',' order by category_id) as ids from o_response_categories group by 1),
+    nd as (select k, count(*) as n, count(*) filter (kind = 'organic') as org, count(*) filter (kind = 'product_card') as card, count(*) filter (kind = 'answer_block') as ans, count(*) filter (kind = 'image') as img, count(*) filter (kind = 'citation') as cit from o_response_nodes group by 1),
+    t as (select *, case when collection_status = 'pending' then 'pending' when iss.issues is null then 'complete' else 'partial' end as cov,
+      exists (select 1 from o_ok_brands b where (b.effective_start_date is null or o.collected_at >= b.effective_start_date) and (b.effective_end_date is null or o.collected_at <= b.effective_end_date)) as approved,
+      case when collection_status <> 'pending' and listed then case when serp then 4 else 3 + (c % 11 = 5)::int end end as top_n from o_tree o left join iss using (k))
+    select t.*, cov = 'complete' as ok, br.ids as brand_ids, br.names as brand_names, br.n as brand_n, an.ids as answer_ids, ci.ids as cited_ids, ca.ids as categories, nd.n as atoms, org, card, ans, img, cit
+    from t left join br using (k) left join an using (k) left join ci using (k) left join ca using (k) left join nd using (k)""")
+
+
+@query("response_summaries", """
+    select observation_id, source_category, request_id, response_id, raw_file_hash, query_id, provider, engine_or_platform, cast(collected_at as string) as collected_at, 'kw' as query_text, null as model_name, 'zh-cn' as language_code, '2840' as location_code,
+      collection_status, 't' as task_id, 20000 as status_code, cov as evidence_coverage_status, case when not ok then cov when approved then 'complete' else 'no_approved_registry' end as brand_coverage_status,
+      case when not ok then cov else 'reviewed_rules' end as category_coverage_status, case when top_n is not null then 4 end as provider_reported_item_count, top_n as top_level_item_count,
+      case when ok then coalesce(atoms, 0) end as atomic_item_count, case when ok then org end as organic_count, case when ok then card end as product_card_count, case when ok then ans end as answer_block_count, case when ok then img end as image_count, case when ok then cit end as citation_count,
+      case when ok and approved then coalesce(brand_n, 0) end as distinct_brand_count, coalesce(brand_ids, '') as brand_ids, coalesce(brand_names, '') as brand_names, coalesce(answer_ids, '') as answer_brand_ids, coalesce(cited_ids, '') as cited_brand_ids,
+      case when top_n is null then '' when serp then case when c % 3 = 0 then 'ai_overview,organic,shopping' else 'ai_overview,organic,paid,shopping' end
+        else array_to_string(list_sort(list_distinct(['chat_gpt_text', 'gemini_products', case c % 5 when 0 then 'gemini_table' when 2 then 'widget' else 'gemini_text' end, case when c % 11 = 5 then 'unknown' else 'chat_gpt_text' end])), ',') end as result_types,
+      coalesce(categories, 'unknown') as business_categories, coalesce(issues, '[]') as issues_json, 'response-evidence-1' as enrichment_version,
+      (select md5(string_agg(brand_id, ',' order by brand_id)) from o_brands) as registry_version
+    from o_response_summaries""")
+def _(i):
+    return response_summaries(i)
+
+
+@query("summary_invariants", """
+    select 'response_counts' as rule, observation_id as failure_id from o_response_summaries where c % 25 = 3 and (not ok or approved)""")
+def _(i):
+    """Every 25th summary is damaged: counts where none may be, or a negative one."""
+    hit = i.bind("src_tree_payloads").filter("c % 25 = 3").select("observation_id", F.lit(True).alias("_hit"))
+    rows = response_summaries(i).join(hit, "observation_id", "left")
+    wrong = F.when(F.col("evidence_coverage_status") == "complete", F.when(F.col("brand_coverage_status") == "complete", -1)).otherwise(1)
+    damaged = rows.withColumn("organic_count", F.when(F.col("_hit") & wrong.isNotNull(), wrong.cast("bigint")).otherwise(F.col("organic_count")))
+    return quality.summary_invariants(damaged.drop("_hit"))
 
 
 @query("coverage_invariants", "select 'feature_coverage' as rule, feature || observation_id as failure_id from o_coverage where coverage_status = 'partial' and c % 5 = 0")

@@ -169,14 +169,11 @@ def _(i):
       and (effective_end_date is null or cast(o_orderdate as date) <= effective_end_date)
     where active""")
 def _(i):
-    from sightline.functions.dates import valid_on
-    from sightline.operators.shape import dense_grain
+    from sightline.operators.windows import with_valid
 
     days = i.table("orders").select("o_orderkey", "o_orderdate")
     registry = brands(i).filter("active").select("brand_id", "effective_start_date", "effective_end_date")
-    return dense_grain(days, registry, "o_orderkey").filter(
-        valid_on("effective_start_date", "effective_end_date", "o_orderdate")
-    ).select("o_orderkey", "brand_id")
+    return with_valid(days, "o_orderdate", registry, "effective_start_date", "effective_end_date").select("o_orderkey", "brand_id")
 
 
 # ---------------------------------------------------------------------------
@@ -482,15 +479,26 @@ def _(i):
     return presence.transpose_metrics(answer_gold(i), ["metric_id"], ["numerator", "citation_count", "availability_status"])
 
 
-@query("presence_matrix", """
-    with d as (select 'language=' || coalesce(language_code, 'Unknown (not recorded)') as locale, brand_id, max(case when metric_value > 0 then 1 when metric_value = 0 then 0 end) as v from o_answer_gold group by all)
-    """ + "select locale, " + ", ".join(f"max(v) filter (brand_id = 'brand{n}') as brand{n}" for n in range(25)) + " from d group by 1")
-def _(i):
-    from sightline.functions.text import display
+# The given part tables hold brands 1 to 25.
+MATRIX_COLUMNS = ", ".join(f"max(presence_rate) filter (brand_id = 'brand{n}') as brand{n}" for n in range(1, 26))
+UNKNOWN = "'Unknown (not recorded)'"
+
+
+def _slice_sql(channel: str, table: str, keys: tuple[str, ...], hit: str, known: str) -> str:
+    instrument = " || ' · ' || ".join(f"'{k}=' || coalesce({k}, {UNKNOWN})" for k in keys)
+    return f"""select '{channel} | ' || {instrument} || ' | window=' || coalesce(collection_window, {UNKNOWN}) as scope,
+      'language=' || coalesce(language_code, {UNKNOWN}) || ' · location=' || coalesce(location_code, {UNKNOWN}) as locale, brand_id,
+      count(*) filter (availability_status = 'available' and {hit} > 0)::double / nullif(count(*) filter (availability_status = 'available' and {known} is not null), 0)::double as presence_rate
+      from {table} group by all"""
 
-    rows = presence.presence_flags(answer_gold(i), "llm").withColumn("locale", F.concat(F.lit("language="), display("language_code")))
-    names = sorted(r["brand_id"] for r in st.eligible_brands(brands(i)).select("brand_id").distinct().collect())
-    return presence.presence_matrix(rows, names, value="present")
+
+@query("presence_matrix", f"""
+    with d as ({_slice_sql("SERP", "o_serp_gold", ("provider", "search_engine", "search_type", "device"), "numerator", "numerator")}
+      union all {_slice_sql("LLM", "o_answer_gold", ("provider", "platform", "model_name"), "metric_value", "metric_value")})
+    select scope, locale, {MATRIX_COLUMNS} from d group by scope, locale""")
+def _(i):
+    names = sorted(r["brand_id"] for r in brands(i).select("brand_id").distinct().collect())  # the registry, one column a brand
+    return presence.presence_matrix(presence.locale_summary(frames(i)), names)
 
 
 # ---------------------------------------------------------------------------
