@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sightline.functions.cols import ColumnLike, col
 
@@ -53,6 +54,45 @@ def number_part(value: ColumnLike) -> Column:
     return F.coalesce(col(value).cast("string"), F.lit("null"))
 
 
+def number_text(value: ColumnLike) -> Column:
+    """A double in the shortest spelling with an exponent only below 1e-4 and from 1e16 on, two digits at least."""
+    text = col(value).cast("double").cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    whole, part = F.regexp_extract(text, r"(\d+)\.", 1), F.regexp_extract(text, r"\.(\d+)", 1)
+    part = F.when(part == "0", "").otherwise(part)
+    power = F.regexp_extract(text, r"E(-?\d+)", 1).try_cast("int")
+    digits = F.concat(whole, part)
+    moved = F.concat(F.rpad(digits, power + 1, "0"), F.lit("."), F.greatest(F.substring(digits, power + 2, F.length(digits)), F.lit("0")))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    exponent = F.concat(
+        whole, F.when(part == "", "").otherwise(F.concat(F.lit("."), part)), F.when(power < 0, "e-").otherwise("e+"),
+        F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")),
+    )
+    shown = F.when((power >= 0) & (power < 16), moved).when((power < 0) & (power >= -4), small).otherwise(exponent)
+    return F.when(power.isNull(), text).otherwise(F.concat(sign, shown))
+
+
+def dumped(df: DataFrame) -> Column:
+    """A flat row as JSON in the spelling that content ids hash: sorted keys, a space after colons and commas, dates as text.
+
+    Columns may be texts, booleans, numbers, dates, times and lists of texts.
+    """
+    def value(field: T.StructField) -> Column:
+        own = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.ArrayType):
+            shown = F.concat(F.lit("["), F.array_join(F.transform(own, json_string), ", "), F.lit("]"))
+        elif isinstance(field.dataType, T.DoubleType | T.FloatType):
+            shown = number_text(own)
+        elif isinstance(field.dataType, T.NumericType | T.BooleanType):
+            shown = own.cast("string")
+        else:
+            shown = json_string(own)
+        return F.concat(json_string(F.lit(field.name)), F.lit(": "), F.coalesce(shown, F.lit("null")))
+
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    return F.concat(F.lit("{"), F.concat_ws(", ", *[value(f) for f in fields]), F.lit("}"))
+
+
 def positional_hash(*parts: ColumnLike) -> Column:
     """md5 of the positional JSON list: nulls keep their place, delimiters are escaped."""
     return F.md5(F.to_json(F.array(*[col(p).cast("string") for p in parts])))

@@ -288,6 +288,17 @@ BINDINGS: dict[str, str] = {
             case when c % 14 = 0 then ',"markdown":"fallback Brand' || cast(c % 25 as string) || '"' else '' end ||
             ',"items_count":4,"language_code":' || case when c % 3 = 0 then 'null' else '"en_GB"' end || ',"location_code":2276}]}]}}' as payload_text
         from src_tree_parts""",
+    "src_frozen_contexts": """
+        select 'obs' || cast(k as string) as observation_id, md5(cast(k as string)) as raw_file_hash, 'w' || cast(k % 97 as string) as collection_window,
+          'rs' || cast(k as string) as response_id, 'northwind' as provider, case when collection_status = 'pending' or c % 3 = 0 then 'zh-cn' else 'en-gb' end as language_code,
+          case when collection_status = 'pending' then '2840' else '2276' end as location_code, 'q' || cast(c % 20 as string) as instrument_id,
+          'google' as engine_or_platform, source_category, unnest([1, 2]) as brand_no
+        from src_tree_parts""",
+    "src_research_mappings": """
+        select 'm' || cast(n_nationkey as string) as comparison_id, 'q' || cast(n_nationkey as string) as query_id, 'q' || cast((n_nationkey * 7) % 20 as string) as prompt_id,
+          n_nationkey % 6 <> 5 as active, 'v' || cast(n_regionkey as string) as mapping_version, date '1997-01-01' as effective_start_date,
+          case when n_nationkey % 10 = 9 then date '1996-01-01' else null end as effective_end_date
+        from nation where n_nationkey < 20""",
     "src_answer_payloads": """
         select 'q' || cast(doc_id as string) as request_id, 'rd' || cast(doc_id as string) as response_id, md5(cast(doc_id as string)) as raw_file_hash,
           doc_id, lang, body_text, case doc_id % 10

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sightline.functions import ids, jsonx
 from sightline.functions import text as tx
 from sightline.functions import url as ur
-from sightline.operators import evidence, features, payloads, presence, quality, release, tree
+from sightline.operators import evidence, features, payloads, presence, quality, release, research_snapshot, tree
 from sightline.operators import response_evidence as first
 from sightline.operators import staging as st
 from sightline.operators.terms import match_spans, term_table
@@ -533,6 +533,20 @@ step("o_owned_hits", f"""
     select u.*, b.brand_id from u join o_tree t using (k) join o_domains d on lower(trim(d.domain)) = u.host join o_ok_brands b on b.brand_id = d.brand_id and {VALID}""")
 
 
+step("o_feature_fields", """
+    select *, 'title' as field, case when kind = 'ad_link' then 'L' when kind = 'paid' then 'Ad' when path like '%.items[0]' then 'Brand' || (c % 25) || case kind when 'organic' then ' gear' else ' shoe' end when kind = 'product' then 'y' else 'x' end as txt,
+      case kind when 'organic' then 'organic_title_snippet' when 'product' then 'product_text' else 'paid_text' end as evidence_type from o_nodes where kind in ('organic', 'paid', 'ad_link', 'product')
+    union all select *, 'brand', ' Acme' || (c % 9) || ' ', 'product_text' from o_nodes where kind = 'product' and path like '%.items[0]'
+    union all select *, 'text', case when path like '%.markdown' then 'fallback Brand' || (c % 25) when path like '%items[2]' then case c % 5 when 0 then 'a | 1' when 1 then '' else 'plain words' end else 'See Brand' || (c % 25) || ' and again or  now' end,
+      'answer_text' from o_nodes where kind = 'answer_text'""")
+step("o_category_hits", """
+    select f.k, f.path, f.evidence_type, w.category_id, w.rule_id
+    from o_feature_fields f join (select *, lower(trim(term)) as needle from src_response_rules where review_status = 'approved' and lower(active) = 'true') w
+      on f.field = case when f.kind = 'answer_text' and w.matched_field in ('original_text', 'markdown') then 'text' else w.matched_field end
+      and w.item_kind in ('*', f.kind, case f.kind when 'product' then 'product_card' when 'answer_text' then 'answer_block' end)
+      and regexp_split_to_array(lower(trim(f.txt)), '[^a-z0-9]+')::varchar like '%' || array_to_string(string_split(w.needle, ' '), ', ') || '%' and list_has_all(regexp_split_to_array(lower(trim(f.txt)), '[^a-z0-9]+'), string_split(w.needle, ' '))""")
+
+
 def text_matches(i: Inputs) -> DataFrame:
     registry = brands(i)
     names = st.eligible_brand_rows(registry).select(F.col("brand_id").alias("identity_id"), F.col("canonical_name").alias("identity_name"))
@@ -546,12 +560,12 @@ def host_matches(i: Inputs) -> DataFrame:
 
 
 def category_hits(i: Inputs) -> DataFrame:
-    return i.once("category_hits", lambda: evidence.category_matches(evidence.item_texts(tree_items(i)), category_rules(i)))
+    return i.once("category_hits", lambda: evidence.category_matches(evidence.item_texts(tree_items(i)), response_rules(i)))
 
 
 def matches(i: Inputs) -> DataFrame:
     return i.once("matches", lambda: evidence.all_matches(
-        [text_matches(i), host_matches(i), evidence.proposal_matches(tree_items(i))]
+        [text_matches(i), host_matches(i), evidence.proposal_matches(tree_items(i)), category_hits(i)]
     ))
 
 
@@ -568,7 +582,7 @@ def _(i):
 @query("all_evidence_matches", """
     select identity_type, evidence_type, count(*) as matches from (
       select 'brand' as identity_type, evidence_type, 1 from o_text_hits union all select 'brand', evidence_type, 1 from (select distinct k, evidence_type, brand_id, coalesce(canonical_url, path) from o_owned_hits)
-      union all select 'brand_candidate', 'product_text', 1 from o_nodes where kind = 'product' and path like '%.items[0]') group by 1, 2""")
+      union all select 'brand_candidate', 'product_text', 1 from o_nodes where kind = 'product' and path like '%.items[0]' union all select 'category', evidence_type, 1 from o_category_hits) group by 1, 2""")
 def _(i):
     return matches(i).groupBy("identity_type", "evidence_type").agg(F.count("*").alias("matches"))
 
@@ -600,9 +614,10 @@ def _(i):
 
 
 @query("readable_items", """
-    with nm as (select h.k, h.path, string_agg(distinct b.canonical_name, ',' order by b.canonical_name) as names from (select k, path, brand_id from o_text_hits union select k, path, brand_id from o_owned_hits) h join o_ok_brands b on b.brand_id = h.brand_id group by 1, 2)
-    select 'obs' || n.k as observation_id, n.path as json_path, case when n.kind = 'product' and n.path like '%.items[0]' then 'Acme' || (n.c % 9) else '' end as candidate_brand_names, 'unknown' as reviewed_category_ids,
-      coalesce(nm.names, '') as approved_brand_names from o_nodes n left join nm on nm.k = n.k and nm.path = n.path where n.kind not in ('citation')""")
+    with ct as (select k, path, string_agg(distinct category_id, ',' order by category_id) as ids from o_category_hits group by 1, 2),
+    nm as (select h.k, h.path, string_agg(distinct b.canonical_name, ',' order by b.canonical_name) as names from (select k, path, brand_id from o_text_hits union select k, path, brand_id from o_owned_hits) h join o_ok_brands b on b.brand_id = h.brand_id group by 1, 2)
+    select 'obs' || n.k as observation_id, n.path as json_path, case when n.kind = 'product' and n.path like '%.items[0]' then 'Acme' || (n.c % 9) else '' end as candidate_brand_names, coalesce(ct.ids, 'unknown') as reviewed_category_ids,
+      coalesce(nm.names, '') as approved_brand_names from o_nodes n left join nm on nm.k = n.k and nm.path = n.path left join ct on ct.k = n.k and ct.path = n.path where n.kind not in ('citation')""")
 def _(i):
     context = results(i).select("result_id", "query_id", "collection_status")
     rows = features.readable_items(tree_items(i), context, matches(i))
@@ -675,6 +690,50 @@ def _(i):
     return presence.research_summary(rows)
 
 
+def frozen(i: Inputs) -> DataFrame:
+    """Contexts of the release, from metric rows of both channels with several brands each."""
+    rows = i.bind("src_frozen_contexts").drop("brand_no")
+    side = lambda category, instrument, source: rows.filter(F.col("source_category") == category).withColumnRenamed("instrument_id", instrument).withColumnRenamed("engine_or_platform", source)
+    return release.frozen_contexts(side("serp", "query_id", "search_engine"), side("llm", "prompt_id", "platform"))
+
+
+def research_rows(i: Inputs) -> DataFrame:
+    context = i.once("result_context", lambda: evidence.result_context(results(i), tree_items(i), issues(i)))
+    return research_snapshot.snapshot(
+        "rel1", frozen(i), context, research(i), coverage(i), matches(i), i.bind("src_research_mappings"), F.lit("1998-01-01").cast("date"),
+        evidence=(tree_items(i),),
+    )
+
+
+step("o_valid_mappings", "select * from src_research_mappings where active and effective_end_date is null")
+
+
+@query("research_snapshot", """
+    select 'metrics' as kind, observation_id, count(*) as rows from o_all_feature_rows where brand_id in (select brand_id from o_ok_brands where ownership_type in ('owned', 'competitor')) group by 2
+    union all select 'coverage', observation_id, count(*) from o_coverage group by 2
+    union all select 'candidates', 'obs' || k, count(*) from o_nodes where kind = 'product' and path like '%.items[0]' group by 2
+    union all select 'needs', null, count(*) from (select distinct k, category_id, rule_id from o_category_hits)
+    union all select 'mappings', null, count(*) from o_valid_mappings
+    union all select 'pairs', s.observation_id, count(*) from o_valid_mappings m join (select * from src_frozen_contexts where brand_no = 1 and source_category = 'serp') s on s.instrument_id = m.query_id
+      join (select * from src_frozen_contexts where brand_no = 1 and source_category = 'llm') a on a.instrument_id = m.prompt_id and a.language_code = s.language_code and a.location_code = s.location_code and a.collection_window = s.collection_window group by 2""")
+def _(i):
+    body = F.parse_json("payload_json")
+    found = F.coalesce(jsonx.text(body, "$.observation_id"), jsonx.text(body, "$.serp_observation_id"))
+    return research_rows(i).groupBy("kind", found.alias("observation_id")).agg(F.count_distinct("row_id").alias("rows"))
+
+
+@query("research_mapping_rows", f"""
+    with p as (select '{{"active": true, "comparison_id": "' || comparison_id || '", "effective_end_date": null, "effective_start_date": "1997-01-01", "mapping_version": "' || mapping_version || '", "prompt_id": "' || prompt_id || '", "query_id": "' || query_id || '"}}' as payload_json from o_valid_mappings)
+    select {duck_uuid5("'[\"mappings\", \"' || replace(payload_json, '\"', '\\\"') || '\"]'")} as row_id, payload_json from p""")
+def _(i):
+    return research_rows(i).filter("kind = 'mappings'").select("row_id", "payload_json")
+
+
+@query("frozen_contexts", "select * exclude (brand_no) from src_frozen_contexts where brand_no = 1")
+def _(i):
+    return frozen(i)
+
+
 @query("result_contexts", """
     select observation_id, result_id, case when collection_status = 'pending' then case when true then 'zh-cn' end when c % 3 = 0 then 'zh-cn' else 'en-gb' end as language_code, case when collection_status = 'pending' then '2840' else '2276' end as location_code,
       'kw' as query_text, 10 as request_depth, collection_status, case when collection_status <> 'pending' and listed then case when serp then 4 else 3 + (c % 11 = 5)::int end end as top_level_item_count,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.operators import ledger, quality, release, reviews, shape
+from sightline.operators import ledger, publication, quality, release, reviews, shape
 from sightline.plans.bindings import Inputs
 from sightline.plans.catalog import query, step
 from sightline.plans.visibility_queries import (
     HIT, answer_gold, brands, comparison_gold, comparisons, damaged, serp_gold,
 )
+from sightline.session import shared_dir
 from sightline.sources import raw, registries, sinks, snapshots
 
 # ---------------------------------------------------------------------------
@@ -302,6 +305,22 @@ def releases(i: Inputs) -> tuple[DataFrame, DataFrame]:
     return pointer, r
 
 
+RELEASED = "select '{}' as channel, brand_id, availability_status, count(*) as metric_rows, count(metric_value) as measured, count(distinct metric_id) as ids from {} group by all"
+
+
+@query("published_release", " union all ".join(RELEASED.format(*x) for x in (("serp", "o_serp_gold"), ("llm", "o_answer_gold"), ("comparison", "o_comparison_gold"))))
+def _(i):
+    """Publish the metric frames, then read them back through the pointer."""
+    root = f"{shared_dir(i.spark)}/sightline/release-{uuid.uuid4().hex}"
+    gold = {"serp": serp_gold(i), "llm": answer_gold(i), "comparison": comparison_gold(i)}
+    publication.publish(i.spark, root, "r1", gold, comparisons(i), completed_at=F.lit("2026-10-01 00:00:00"))
+    return shape.union_all([
+        snapshots.read_channel(i.spark, root, c).groupBy(F.lit(c).alias("channel"), "brand_id", "availability_status").agg(
+            F.count("*").alias("metric_rows"), F.count("metric_value").alias("measured"), F.count_distinct("metric_id").alias("ids"))
+        for c in gold
+    ])
+
+
 @query("current_release_rows", "select 'rel' || o_orderkey % 25 as release_id, o_orderkey from orders where o_orderkey % 25 = 4")
 def _(i):
     pointer, r = releases(i)
@@ -335,20 +354,23 @@ def research_results(i: Inputs) -> DataFrame:
     return i.table("orders").selectExpr(
         "concat('res', o_orderkey) as result_id", "concat('obs', o_orderkey) as observation_id", "case when o_orderkey % 2 = 0 then 'serp' else 'llm' end as source_category",
         "case when o_orderkey % 2 = 0 then concat('q', o_custkey % 20) else concat('p', o_custkey % 20) end as query_id", "case o_custkey % 4 when 0 then null else 'en' end as language_code",
-        "concat('l', o_custkey % 30) as location_code", "concat('w', o_orderkey % 40) as collection_window")
+        "concat('l', o_custkey % 3) as location_code", "concat('w', o_orderkey % 40) as collection_window")
 
 
 @query("context_pairs", """
-    with r as (select 'res' || o_orderkey as result_id, o_orderkey % 2 = 0 as serp, case when o_orderkey % 2 = 0 then 'q' || o_custkey % 20 else 'p' || o_custkey % 20 end as q, case o_custkey % 4 when 0 then null else 'en' end as l, 'l' || o_custkey % 30 as lo, 'w' || (o_orderkey % 40) // 2 as w from orders)
+    with r as (select 'res' || o_orderkey as result_id, o_orderkey % 2 = 0 as serp, case when o_orderkey % 2 = 0 then 'q' || o_custkey % 20 else 'p' || o_custkey % 20 end as q, case o_custkey % 4 when 0 then null else 'en' end as l, 'l' || o_custkey % 3 as lo, 'w' || (o_orderkey % 40) // 2 as w from orders)
     select comparison_id, s.result_id as serp_result_id, a.result_id as llm_result_id from src_comparisons c join r s on s.serp and s.q = c.query_id join r a on not a.serp and a.q = c.prompt_id and a.l = s.l and a.lo = s.lo and a.w = s.w where c.active""")
 def _(i):
     rows = research_results(i).withColumn("collection_window", F.concat(F.lit("w"), F.floor(F.regexp_extract("observation_id", r"\d+", 0).cast("bigint") % 40 / 2).cast("string")))
     return release.context_pairs(rows, i.bind("src_comparisons")).select("comparison_id", "serp_result_id", "llm_result_id")
 
 
-@query("duplicate_mappings", "select query_id, prompt_id, count(*) as mappings from src_comparisons where active group by 1, 2 having count(*) > 1")
+@query("duplicate_mappings", """
+    select query_id, prompt_id, count(*) as mappings from (select substr(query_id, 1, 2) as query_id, mapping_version as prompt_id from src_comparisons where active) group by 1, 2 having count(*) > 1""")
 def _(i):
-    return release.duplicate_mappings(i.bind("src_comparisons"))
+    """Mappings whose instruments were shortened until some coincide."""
+    rows = i.bind("src_comparisons").withColumn("query_id", F.substring("query_id", 1, 2)).withColumn("prompt_id", F.col("mapping_version"))
+    return release.duplicate_mappings(rows)
 
 
 @query("active_mappings_on_day", "select comparison_id, active and (effective_end_date is null or effective_end_date >= date '2026-01-01') as active from src_comparisons")
@@ -426,10 +448,10 @@ def _(i):
 
 @query("plan_to_send", """
     with p as (select *, row_number() over (partition by deduplication_key order by request_id) as rk from src_requests)
-    select request_id, deduplication_key from p where rk = 1 and deduplication_key not in (select deduplication_key from src_requests where request_status = 'completed' and deduplication_key is not null)""")
+    select request_id, deduplication_key from p where rk = 1 and deduplication_key not in (select deduplication_key from src_requests where request_status = 'completed' and run_id in ('run1', 'run2') and deduplication_key is not null)""")
 def _(i):
     rows = i.bind("src_requests")
-    history = rows.select("deduplication_key", F.coalesce(F.col("request_status") == "completed", F.lit(False)).alias("verified_success"))
+    history = rows.select("deduplication_key", F.coalesce((F.col("request_status") == "completed") & F.col("run_id").isin("run1", "run2"), F.lit(False)).alias("verified_success"))
     return ledger.plan_to_send(rows.withColumn("position", F.col("request_id")), history).select("request_id", "deduplication_key")
 
 

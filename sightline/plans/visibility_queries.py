@@ -506,13 +506,6 @@ def _(i):
 # ---------------------------------------------------------------------------
 
 
-@query("denominator_rules", """
-    select 'available_without_denominator' as rule, metric_id as failure_id from o_serp_gold where availability_status = 'available' and denominator <= 0
-    union all select 'numerator_above_denominator', metric_id from o_serp_gold where numerator > denominator""")
-def _(i):
-    return quality.denominator_rules(serp_gold(i))
-
-
 def damaged(df: DataFrame, key: str, changes: dict) -> DataFrame:
     """Copy with a deterministic share of rows changed, so that rules have something to find."""
     hit = F.conv(F.substring(F.md5(key), 1, 2), 16, 10).cast("int") % 16 == 3
@@ -524,6 +517,14 @@ def damaged(df: DataFrame, key: str, changes: dict) -> DataFrame:
 HIT = "(('0x' || substr(md5({0}), 1, 2))::int % 16 = 3)"
 
 
+@query("denominator_rules", f"""
+    with d as (select *, case when {HIT.format('metric_id')} then 0 else denominator end as den from o_serp_gold)
+    select 'available_without_denominator' as rule, metric_id as failure_id from d where availability_status = 'available' and den <= 0
+    union all select 'numerator_above_denominator', metric_id from d where numerator > den""")
+def _(i):
+    return quality.denominator_rules(damaged(serp_gold(i), "metric_id", {"denominator": F.lit(0).cast("bigint")}))
+
+
 @query("unavailable_has_no_value", f"""
     select 'serp_unavailable_value' as rule, metric_id as failure_id from o_serp_gold where availability_status <> 'available' and {HIT.format('metric_id')}
     union all select 'llm_unavailable_value', metric_id from o_answer_gold where availability_status <> 'available' and {HIT.format('metric_id')}""")

@@ -25,6 +25,12 @@ def test_evidence_id_is_the_json_list(spark):
     assert got == str(uuid.uuid5(uuid.NAMESPACE_URL, '["a\\"é", 3, null]'))
 
 
+def test_numbers_are_spelled_as_content_ids_hash_them(spark):
+    numbers = [0.0, 1.0, -2.5, 1e-3, 1.5e-4, 9.99e-5, 1e-10, -3.25e-7, 1e7, 123456789.5, 1.25e15, 1e16, -1.5e22, 1e100, 2 / 3]
+    rows = spark.createDataFrame([(x,) for x in numbers], "x double")
+    assert [r.t for r in rows.select(ids.number_text("x").alias("t")).collect()] == [repr(x) for x in numbers]
+
+
 def spans(spark, text, terms):
     rows = spark.createDataFrame([("k", text)], "key string, text string")
     table = term_table(spark.createDataFrame(terms, "id string, term string"), "id", "term")

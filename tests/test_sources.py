@@ -1,16 +1,19 @@
+import datetime as dt
 import hashlib
 import json
 import os
+import uuid
+from collections import Counter
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from sightline import schemas
-from sightline.operators import ledger, payloads, release, reviews, staging, tree
+from sightline.operators import ledger, payloads, publication, release, research_snapshot, reviews, staging, tree
 from sightline.operators.shape import dense_grain, latest_per
 from sightline.session import shared_dir
-from sightline.sources import raw, registries, sinks, snapshots
+from sightline.sources import claims, raw, registries, sinks, snapshots
 from sightline.streaming import ingest
 
 
@@ -81,20 +84,98 @@ def gold(spark):
     return {"serp": one, "llm": one, "comparison": one}
 
 
+def covered(spark):
+    return spark.createDataFrame([("c1", "q", "p", True)], "comparison_id string, query_id string, prompt_id string, active boolean")
+
+
 def test_publish_is_immutable_and_read_through_the_pointer(spark, tmp_path):
-    root = str(tmp_path / "release")
-    comparisons = spark.createDataFrame([("c1", "q", "p", True)], "comparison_id string, query_id string, prompt_id string, active boolean")
-    when = F.lit("2026-10-01 00:00:00")
-    release.publish(spark, root, "r1", gold(spark), comparisons, completed_at=when)
-    with pytest.raises(Exception):
-        release.publish(spark, root, "r1", gold(spark), comparisons, completed_at=when)
+    root, comparisons = str(tmp_path / "release"), covered(spark)
+    publication.publish(spark, root, "r1", gold(spark), comparisons, completed_at=F.lit("2026-10-01 00:00:00"))
+    with pytest.raises(release.ReleaseError, match="published already"):
+        publication.publish(spark, root, "r1", gold(spark), comparisons, completed_at=F.lit("2026-10-01 00:00:00"))
     with pytest.raises(release.ReleaseError, match="active_comparison_missing_gold_metrics"):
-        release.publish(spark, root, "r2", gold(spark), comparisons.withColumn("comparison_id", F.lit("zz")), completed_at=when)
-    pointer, done = spark.read.parquet(f"{root}/release_current"), spark.read.parquet(f"{root}/releases")
-    assert snapshots.choose_release(pointer, done) == "r1"
-    assert snapshots.read_channel(spark, root, "serp", "r1").count() == 1
+        publication.publish(spark, root, "r2", gold(spark), comparisons.withColumn("comparison_id", F.lit("zz")), completed_at=F.lit("2026-10-01 00:00:00"))
+    pointer, done = publication.pointer(spark, root), publication.records(spark, root)
+    assert snapshots.choose_release(pointer, done) == "r1" and done.first().completed_at.year == 2026
+    assert snapshots.read_channel(spark, root, "serp").count() == 1
     with pytest.raises(snapshots.SnapshotError):
         snapshots.choose_release(pointer, done, "r2")
+    with pytest.raises(release.ReleaseError):
+        publication.point_to(spark, root, "r2")
+    publication.publish(spark, root, "r2", gold(spark), comparisons, completed_at=F.lit("2026-10-01 00:00:00"))
+    assert snapshots.choose_release(publication.pointer(spark, root), publication.records(spark, root)) == "r2"
+    publication.point_to(spark, root, "r1")
+    assert publication.pointer(spark, root).first().release_id == "r1"
+
+
+def test_a_failed_publication_is_unseen_and_can_be_retried(spark, tmp_path):
+    root, comparisons, good = str(tmp_path / "release"), covered(spark), gold(spark)
+    broken = {**good, "comparison": good["comparison"].withColumn("device", F.raise_error(F.lit("lost disk")).cast("string"))}
+    with pytest.raises(Exception, match="lost disk"):
+        publication.publish(spark, root, "r1", broken, comparisons, completed_at=F.lit("2026-10-01 00:00:00"))
+    assert os.path.isdir(f"{root}/serp/release_id=r1")  # the first frame was written
+    assert publication.records(spark, root).isEmpty() and publication.pointer(spark, root).isEmpty()
+    with pytest.raises(release.ReleaseError):
+        publication.released(spark, root, "serp", "r1")
+    attempt = publication.publish(spark, root, "r1", good, comparisons, completed_at=F.lit("2026-10-01 00:00:00"))
+    assert publication.released(spark, root, "serp").count() == 1  # not that of the failed attempt
+    assert len(os.listdir(f"{root}/serp/release_id=r1")) == 2 and os.path.isdir(f"{root}/comparison/release_id=r1/attempt={attempt}")
+
+
+def test_one_claim_wins(spark, tmp_path):
+    folder = str(tmp_path / "claims")
+    assert claims.claim(spark, folder, "a.json", {"release_id": "a", "sequence": 1})
+    assert not claims.claim(spark, folder, "a.json", {"release_id": "b", "sequence": 2})
+    assert [r.release_id for r in claims.claims(spark, folder, publication.MOVE).collect()] == ["a"]
+    assert claims.claims(spark, str(tmp_path / "none"), publication.MOVE).isEmpty()
+
+
+CONTEXT = "observation_id string, raw_file_hash string, collection_window string, response_id string, provider string, language_code string, location_code string, instrument_id string, engine_or_platform string, source_category string"
+RESULT = "result_id string, observation_id string, source_category string, query_id string, provider string, engine_or_platform string, language_code string, location_code string, raw_file_hash string, response_id string"
+MATCH = "evidence_id string, observation_id string, result_id string, item_id string, identity_id string, identity_name string, identity_type string, method string, review_status string"
+
+
+def research(spark, **changes):
+    contexts = [("o1", "h1", "w1", "r1", "p", "en", "1", "q1", "g", "serp"), ("o2", "h2", "w1", "r2", "p", "en", "1", "a1", "c", "llm")]
+    results = [("x1", "o1", "serp", "q1", "p", "g", "en", "1", "h1", "r1"), ("x2", "o2", "llm", "a1", "p", "c", "en", "1", "h2", "r2")]
+    mappings = [("c1", "q1", "a1", True, "v1", dt.date(2026, 1, 1), None), ("c2", "q1", "zz", True, "v1", dt.date(2030, 1, 1), None), ("c3", "q1", "zz", False, "v1", dt.date(2026, 1, 1), None)]
+    rows = {"contexts": contexts, "results": results, "mappings": mappings, "matches": [
+        ("e1", "o1", "x1", "i1", "k1", "Acme", "brand_candidate", "m", "candidate"), ("e2", "o1", "x1", "i1", "n1", "Need", "category", "m", "approved"),
+        ("e3", "o1", "x1", "i2", "n1", "Need", "category", "m", "approved")], "coverage": [("x1", "product", "complete"), ("x2", "product", "partial")]} | changes
+    make = lambda name, schema: spark.createDataFrame(rows[name], schema)
+    coverage = make("coverage", "result_id string, feature string, coverage_status string")
+    comparisons = make("mappings", "comparison_id string, query_id string, prompt_id string, active boolean, mapping_version string, effective_start_date date, effective_end_date date")
+    metrics = coverage.withColumn("share", F.lit(0.25))
+    day = F.lit("2026-10-01").cast("date")
+    return research_snapshot.snapshot("rel", make("contexts", CONTEXT), make("results", RESULT), metrics, coverage, make("matches", MATCH), comparisons, day)
+
+
+def test_research_snapshot(spark, tmp_path):
+    rows = research(spark).collect()
+    assert Counter(r.kind for r in rows) == {"metrics": 2, "coverage": 2, "candidates": 1, "mappings": 1, "needs": 1, "pairs": 1}
+    for r in rows:  # ids hash the payload as the source system would write it
+        payload = json.dumps(json.loads(r.payload_json), sort_keys=True, ensure_ascii=False)
+        assert payload == r.payload_json
+        assert r.row_id == str(uuid.uuid5(uuid.NAMESPACE_URL, json.dumps([r.kind, payload], ensure_ascii=False)))
+    pair = json.loads(next(r.payload_json for r in rows if r.kind == "pairs"))
+    assert pair["serp_result_id"] == "x1" and pair["llm_result_id"] == "x2" and pair["collection_window"] == "w1"
+
+
+BASE = [("o1", "h1", "w1", "r1", "p", "en", "1", "q1", "g", "serp"), ("o2", "h2", "w1", "r2", "p", "en", "1", "a1", "c", "llm")]
+
+
+@pytest.mark.parametrize("message, changes", [
+    ("missing or ambiguous context", {"contexts": [*BASE, ("o1", "h1", "w2", "r1", "p", "en", "1", "q1", "g", "serp")]}),
+    ("missing or ambiguous context", {"contexts": BASE[:1]}),
+    ("response hash differs", {"contexts": [("o1", "zz", *BASE[0][2:]), BASE[1]]}),
+    ("location_code differs", {"contexts": [(*BASE[0][:6], None, *BASE[0][7:]), BASE[1]]}),
+    ("orphan research evidence", {"coverage": [("x1", "product", "complete"), ("gone", "product", "complete")]}),
+    ("duplicate active research comparison", {"mappings": [("c1", "q1", "a1", True, "v1", dt.date(2026, 1, 1), None), ("c2", "q1", "a1", True, "v2", dt.date(2031, 1, 1), None)]}),
+])
+def test_a_research_snapshot_fails_closed(spark, tmp_path, message, changes):
+    with pytest.raises(Exception, match=message):
+        research(spark, **changes).write.parquet(str(tmp_path / "snapshot"))
+    assert not os.path.exists(tmp_path / "snapshot" / "_SUCCESS")
 
 
 def test_exports(spark, tmp_path):
