@@ -354,6 +354,10 @@ def for_spark(sql: str) -> str:
     return re.sub(r"unnest\(\[(.*?)\]\)", r"explode(array(\1))", sql)
 
 
+#: Payloads are built from narrow keys of one table; the keys are dealt out first, so that building and parsing uses all cores.
+DEALT_KEYS = {"src_page_parts": ("orders", "o_orderkey"), "src_tree_parts": ("orders", "o_orderkey"), "src_raw_files": ("orders", "o_orderkey")}
+
+
 class Inputs:
     """Given tables and bindings of one data folder as DataFrames."""
 
@@ -373,9 +377,13 @@ class Inputs:
     def bind(self, name: str) -> DataFrame:
         chain = [*resolve(BINDINGS[name]), (name, BINDINGS[name])]
         text = " ".join(sql for _, sql in chain)
+        dealt = dict(DEALT_KEYS[n] for n, _ in chain if n in DEALT_KEYS)
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         for table in TABLES:
             if re.search(rf"\b{table}\b", text):
-                self.table(table).createOrReplaceTempView(table)
+                rows = self.table(table)
+                rows = rows.repartition(parts, dealt[table]) if table in dealt else rows
+                rows.createOrReplaceTempView(table)
         *needed, (_, body) = chain
         ctes = ", ".join(f"{n} as ({for_spark(q)})" for n, q in needed)
         return self.spark.sql((f"with {ctes} " if ctes else "") + for_spark(body))

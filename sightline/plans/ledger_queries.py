@@ -15,6 +15,7 @@ from sightline.plans.visibility_queries import (
 )
 from sightline.session import shared_dir
 from sightline.sources import raw, registries, sinks, snapshots
+from sightline.streaming import ingest
 
 # ---------------------------------------------------------------------------
 # Raw evidence files
@@ -64,11 +65,32 @@ def _(i):
     return raw.dispositions(files(i)).select("path", "disposition")
 
 
+STATUSES = ("available", "pending", "quarantined", "unsupported")
+step("o_responses", """
+    select *, case when n % 13 = 0 then null else list_value('available', 'pending', 'quarantined', 'unsupported')[n % 4 + 1] end as status, n % 3 = 0 and n % 5 <> 0 and not (c % 23 = 0 and n % 50 <> 0) as exact
+    from o_dispositions d join (select path, n, c from o_files) using (path) where disposition = 'verified_response_candidate'""")
+
+
+def manifest(i: Inputs) -> tuple[DataFrame, dict[str, int]]:
+    """The written manifest of all raw files; every 13th response has no status, and older stores know some responses, a few of them changed."""
+    number = F.regexp_extract("path", r"/rq(\d+)/", 1).cast("bigint")
+    found = raw.dispositions(files(i)).withColumn("n", number)
+    status = F.when((F.col("disposition") == raw.CANDIDATE) & (F.col("n") % 13 != 0), F.element_at(F.array(*map(F.lit, STATUSES)), (F.col("n") % 4 + 1).cast("int")))
+    rows = found.withColumn("status", status)
+    older = i.bind("src_raw_files").filter("role_no = 1 and n % 3 = 0").select(
+        F.concat(F.lit("rq"), "k").alias("request_id"), F.when(F.col("n") % 5 == 0, "other").otherwise(F.sha2("response_text", 256)).alias("sha256"))
+    return raw.write_accounted(raw.with_provenance(rows, older), f"{shared_dir(i.spark)}/sightline/manifest-{uuid.uuid4().hex}", STATUSES)
+
+
 @query("raw_inventory_report", """
-    select 'disposition' as section, disposition as name, count(*) as files from o_dispositions group by 2
-    union all select 'problem', p, count(*) from (select unnest(problems) as p from o_dispositions) group by 2""")
+    select 'disposition' as section, disposition as name, count(*) as files, null::double as share from o_dispositions group by 2
+    union all select 'problem', p, count(*), null from (select unnest(problems) as p from o_dispositions) group by 2
+    union all select 'provenance', 'verified_responses', count(*), null from o_responses
+    union all select 'provenance', 'exact_provenance', count(*) filter (exact), (count(*) filter (exact))::double / count(*)::double from o_responses""")
 def _(i):
-    return raw.inventory_report(raw.dispositions(files(i)))
+    rows, counts = manifest(i)
+    report = raw.inventory_report(rows).withColumn("share", F.lit(None).cast("double"))
+    return report.unionByName(raw.provenance_report(counts, i.spark))
 
 
 @query("manifest_verification", """
@@ -106,12 +128,42 @@ def _(i):
 
 
 @query("raw_accounting", """
-    select 'files_without_disposition' as check_name, 0 as value union all select 'raw_files_changed', count(*) from o_files where role = 'response' and n % 10 = 0""")
+    select 'files_without_disposition' as check_name, 0 as value union all select 'raw_files_changed', count(*) from o_files where role = 'response' and n % 10 = 0
+    union all select 'responses_without_status', count(*) from o_responses where status is null""")
+def _(i):
+    rows, counts = manifest(i)
+    moved = (F.col("role") == "response") & (F.col("n") % 10 == 0)
+    after = rows.withColumn("sha256", F.when(moved, F.lit("changed")).otherwise(F.col("sha256")))
+    return raw.accounting(counts, rows, after)
+
+
+step("o_arrivals", "select user_id, event_id, ts, event_type, event_id % 4 as batch from events")
+
+
+def arrivals(i: Inputs) -> list[DataFrame]:
+    """Events in four micro-batches; later ones hold rows older than those of earlier ones."""
+    rows = i.table("events").select("user_id", "event_id", "ts", "event_type")
+    return [rows.filter(F.col("event_id") % 4 == b) for b in range(4)]
+
+
+@query("upkept_latest_slices", """
+    select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc nulls last, event_id) as rk from o_arrivals) where rk = 1""")
+def _(i):
+    target = f"{shared_dir(i.spark)}/sightline/slices-{uuid.uuid4().hex}"
+    sink = ingest.latest_slice_sink(target, ["user_id"], "ts", "event_id", buckets=8)
+    for number, batch in enumerate(arrivals(i)):
+        sink(batch, number)
+    return ingest.current_slices(i.spark, target, i.table("events").select("user_id", "event_id", "ts", "event_type").schema).select("user_id", "event_id", "event_type")
+
+
+@query("batchwise_insert_or_ignore", """
+    select user_id, event_id, batch from (select *, row_number() over (partition by user_id order by batch, event_id) as rk from o_arrivals) where rk = 1""")
 def _(i):
-    found = raw.dispositions(files(i))
-    moved = (F.col("role") == "response") & (F.regexp_extract("path", r"/rq(\d+)/", 1).cast("bigint") % 10 == 0)
-    after = found.withColumn("sha256", F.when(moved, F.lit("changed")).otherwise(F.col("sha256")))
-    return raw.accounting(found, found, after)
+    target = f"{shared_dir(i.spark)}/sightline/inserts-{uuid.uuid4().hex}"
+    sink = ingest.insert_or_ignore_sink(target, ["user_id"], [F.asc("event_id")], buckets=8)
+    for number, batch in enumerate(arrivals(i)):
+        sink(batch, number)
+    return i.spark.read.parquet(target).select("user_id", "event_id", F.col("batch").cast("bigint").alias("batch"))
 
 
 @query("duplicate_requests", """

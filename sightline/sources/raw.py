@@ -6,9 +6,10 @@ A raw frame has the columns of Spark's ``binaryFile`` source (path, length, cont
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.functions import jsonx
@@ -296,15 +297,54 @@ def reconcile_context(
     return responses.select(*keys).distinct().join(resolved, keys)
 
 
-def accounting(files: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
-    """Bookkeeping checks as rows (check_name, value): each value must be zero."""
-    undecided = files.agg(F.count_if(F.col("disposition").isNull()).alias("value")).withColumn("check_name", F.lit("files_without_disposition"))
+CANDIDATE = "verified_response_candidate"
+
+
+def with_provenance(files: DataFrame, provenance: DataFrame) -> DataFrame:
+    """Files with ``exact_provenance``: an older store knows the response by request id and checksum (null for other files)."""
+    known = provenance.select("request_id", "sha256").distinct().withColumn("_known", F.lit(True))
+    rows = files.join(known, ["request_id", "sha256"], "left")
+    return rows.withColumn("exact_provenance", F.when(F.col("disposition") == CANDIDATE, F.coalesce("_known", F.lit(False)))).drop("_known")
+
+
+def write_accounted(files: DataFrame, path: str, statuses: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Write the manifest (with ``disposition``, ``status`` and ``exact_provenance``) once and count its rows while they are written.
+
+    The counters are those of the tasks whose output was committed: files, files without a disposition, responses,
+    responses with each status, and responses an older store knows exactly. Statuses outside the given list are counted under none.
+    """
+    response = F.col("disposition") == CANDIDATE
+    seen = Observation(f"manifest-{uuid.uuid4().hex}")
+    observed = files.observe(
+        seen, F.count("*").alias("files"), F.count_if(F.col("disposition").isNull()).alias("undecided"), F.count_if(response).alias("responses"),
+        F.count_if(response & F.col("exact_provenance")).alias("exact_provenance"),
+        *[F.count_if(response & (F.col("status") == s)).alias(f"status:{s}") for s in statuses],
+    )
+    observed.write.parquet(path)
+    return files.sparkSession.read.schema(files.schema).parquet(path), dict(seen.get)
+
+
+def accounting(counts: Mapping[str, int], before: DataFrame, after: DataFrame) -> DataFrame:
+    """Bookkeeping checks as rows (check_name, value): each value must be zero. Only the comparison of the files looks at rows again."""
+    total = sum(n for name, n in counts.items() if name.startswith("status:"))
+    spark = before.sparkSession
+    counted = spark.createDataFrame(
+        [("files_without_disposition", counts["undecided"]), ("responses_without_status", counts["responses"] - total)], "check_name string, value bigint"
+    )
     a = before.select("path", F.col("sha256").alias("_a"))
     b = after.select("path", F.col("sha256").alias("_b"))
     changed = a.join(b, "path", "full_outer").agg(
         F.count_if(~F.col("_a").eqNullSafe(F.col("_b"))).alias("value")
     ).withColumn("check_name", F.lit("raw_files_changed"))
-    return union_all([undecided, changed]).select("check_name", "value")
+    return union_all([counted, changed.select("check_name", "value")])
+
+
+def provenance_report(counts: Mapping[str, int], spark: SparkSession) -> DataFrame:
+    """Verified responses, those an older store knows exactly, and their share."""
+    known, all_ = counts["exact_provenance"], counts["responses"]
+    share = known / all_ if all_ else None
+    return spark.createDataFrame([("provenance", "exact_provenance", known, share), ("provenance", "verified_responses", all_, None)],
+                                 "section string, name string, files bigint, share double")
 
 
 def inventory_report(files: DataFrame) -> DataFrame:

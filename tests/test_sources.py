@@ -229,7 +229,7 @@ def test_streaming_latest_slices_and_dedup(spark, tmp_path):
     stream = spark.readStream.schema(schema).parquet(source)
     sink = ingest.latest_slice_sink(target, ["slice"], "at", "id")
     ingest.start_once(stream, sink, str(tmp_path / "cp1")).awaitTermination()
-    current = ingest.current_slices(spark, target, spark.read.schema(schema).parquet(source).schema, ["slice"], "at", "id")
+    current = ingest.current_slices(spark, target, spark.read.schema(schema).parquet(source).schema)
     assert sorted(r.id for r in current.collect()) == ["2", "3"]
     deduped = ingest.deduplicated(stream.withColumn("key", F.col("slice")), ["key"], "at", "5 days")
     out = str(tmp_path / "dedup")
@@ -237,6 +237,30 @@ def test_streaming_latest_slices_and_dedup(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
+def test_batches_read_a_flat_number_of_files(spark, tmp_path):
+    sink = ingest.insert_or_ignore_sink(str(tmp_path / "rows"), ["k"], [F.asc("v")], buckets=4)
+    seen, read = ingest.Buckets(str(tmp_path / "rows-keys"), ["k"], 4), []
+    for n in range(20):
+        batch = spark.range(40).select((F.col("id") + 20 * n).alias("k"), F.lit(n).alias("v"))
+        read.append(len(seen.read(spark, batch.select("k").schema, None, n).inputFiles()))
+        sink(batch, n)
+        if n in (3, 4):
+            sink(batch, n)  # a batch that runs again
+    assert max(read) <= 4 and all(len(os.listdir(tmp_path / "rows-keys" / f"bucket={b}")) <= 2 for b in range(4))
+    rows = spark.read.parquet(str(tmp_path / "rows")).select("k", "v").collect()
+    assert len(rows) == 20 * 20 + 20 and all(r.v == max(0, r.k // 20 - 1) for r in rows)
+
+
+def test_a_late_older_row_does_not_win(spark, tmp_path):
+    sink, schema = ingest.latest_slice_sink(str(tmp_path / "s"), ["k"], "t", "id", buckets=3), "k string, t int, id string"
+    batches = [[("a", 5, "1"), ("b", 1, "2"), ("c", None, "3")], [("a", 3, "4"), ("b", 2, "5"), ("c", None, "0"), ("d", 0, "6")], [("a", 5, "0"), ("c", 1, "7")]]
+    for n, rows in enumerate(batches):
+        for _ in range(1 + n % 2):
+            sink(spark.createDataFrame(rows, schema), n)
+    current = ingest.current_slices(spark, str(tmp_path / "s"), spark.createDataFrame([], schema).schema)
+    assert {r.k: r.id for r in current.collect()} == {"a": "0", "b": "5", "c": "7", "d": "6"}
+
+
 def test_latest_per_puts_unknown_times_last(spark):
     df = spark.createDataFrame([("k", None, "a"), ("k", 1, "c"), ("k", 1, "b")], "k string, t int, id string")
     assert latest_per(df, ["k"], "t", "id").first()["id"] == "b"
