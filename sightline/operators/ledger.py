@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.functions.cols import case
+from sightline.functions.cols import all_of, case
 from sightline.operators.shape import first_per
+from sightline.session import stored
 
 ACCEPTED_STATES = ("submitted_pending_result", "completed")
 PENDING_STATE = "submitted_pending_result"
@@ -85,38 +86,36 @@ def run_manifests(attempts: DataFrame) -> DataFrame:
     return rows.withColumn("status", status)
 
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, width: int = 4096
-) -> DataFrame:
-    """Running total per key without sorting a whole key in one task.
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
+    """Running total per key in the order of any columns, however many rows a key has.
 
-    Rows are cut into blocks of ``width`` order numbers. Block totals are accumulated over the
-    (few) blocks of a key, and only rows of one block are sorted together.
+    Rows are dealt by ranges of key and order, so a key of any size is split into runs. A row's total is the sum inside its run plus those of
+    the key's runs in the ranges before, of which there is one number a range and key. Rows equal in keys and order follow each other
+    in any order; null keys are a key of their own.
     """
-    rows = df.withColumn("_block", F.floor(F.col(order) / width).cast("bigint"))
-    blocks = rows.groupBy(*keys, "_block").agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
-    inside = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    safe = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_block"]]
-    condition = safe[0]
-    for c in safe[1:]:
-        condition = condition & c
-    joined = rows.withColumn("_inside", F.sum(value).over(inside)).alias("l").join(offsets.alias("r"), condition)
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns], (F.col("l._inside") + F.col("r._offset")).alias(out)
-    )
-
-
-def spend_ledger(costs: DataFrame, caps: Mapping[str, int], order: str = "position") -> DataFrame:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    along = [*keys, *order]
+    ranged = df.repartitionByRange(parts, *along).sortWithinPartitions(*along).withColumn("_at", F.monotonically_increasing_id())
+    ranged = stored(ranged, "running-sum").withColumn("_part", F.shiftrightunsigned("_at", 33))
+    totals = ranged.groupBy("_part", *keys).agg(F.sum(value).alias("_total"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
+    inside = Window.partitionBy("_part", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = [F.col("l._part") == F.col("r._part"), *[F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]]
+    joined = ranged.withColumn("_inside", F.sum(value).over(inside)).alias("l").join(offsets.alias("r"), all_of(*same))
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("l._inside") + F.col("r._offset")).alias(out))
+
+
+def spend_ledger(costs: DataFrame, caps: Mapping[str, int], order: Sequence[str] = ("position",)) -> DataFrame:
     """Spend after every request per capped dimension, with a flag once the cap is exceeded.
 
     ``caps`` maps a column (run_id, target_id, engine, platform, day) to its cap in cents. Reports
     breaches; requests are not refused here.
     """
     dims = list(caps)
-    text = costs.select("request_id", order, "cents", *[F.col(d).cast("string").alias(d) for d in dims])
-    long = text.unpivot(["request_id", order, "cents"], dims, "dimension", "member").filter(F.col("member").isNotNull())
+    kept = [c for c in order if c != "request_id"]
+    text = costs.select("request_id", *kept, "cents", *[F.col(d).cast("string").alias(d) for d in dims])
+    long = text.unpivot(["request_id", *kept, "cents"], dims, "dimension", "member").filter(F.col("member").isNotNull())
     running = running_sum(long, ["dimension", "member"], order, "cents", "spent_cents")
     cap = case([(F.col("dimension") == d, F.lit(c)) for d, c in caps.items()], F.lit(None).cast("int"))
     return running.withColumn("cap_cents", cap).withColumn("breached", F.col("spent_cents") > F.col("cap_cents"))

@@ -1,23 +1,24 @@
 """Matching registry terms against texts without pairing every text with every term.
 
 For spans, the words of a text meet the terms' anchor words in an equi-join of narrow rows, and only
-rows with candidates are joined back to their texts. Plain containment (``attach_substrings``) takes a registry of up to
-``INLINE_LIMIT`` terms as one array value inside the scan stage, and joins on character runs beyond it.
+rows with candidates are joined back to their texts. Plain containment (``attach_substrings``) joins the character runs of a text with
+an index that holds every term under its rarest run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sightline.functions.cols import any_of
 from sightline.functions.dates import valid_on
 from sightline.functions.folding import fold, folding
 from sightline.functions.text import SYMBOL, anchor, is_cjk, longest_spans, term_spans, words
-from sightline.operators.shape import computed
+from sightline.operators.shape import computed, union_all
+from sightline.session import stored
 
-INLINE_LIMIT = 2000
 BLANK_ENDS = r"^[\p{Z}\s\x1c-\x1f\x85]+|[\p{Z}\s\x1c-\x1f\x85]+$"
 TERM = ("identity", "needle", "cjk", "anchor", "start_date", "end_date")
 
@@ -48,17 +49,6 @@ def term_table(
     )
 
 
-def small_array(df: DataFrame, kind: str, limit: int) -> Column | None:
-    """The frame as one array literal when it has at most ``limit`` rows, else None.
-
-    Never reads more than ``limit + 1`` rows.
-    """
-    rows = df.limit(limit + 1).toJSON().collect() if limit else [""]
-    if len(rows) > limit:
-        return None
-    return F.from_json(F.lit("[" + ",".join(rows) + "]"), kind)
-
-
 def attach_terms(rows: DataFrame, keys: Sequence[str], folded: str, terms: DataFrame) -> DataFrame:
     """Adds ``_terms``: the terms whose anchor occurs in the folded text (null when there is none).
 
@@ -134,51 +124,52 @@ def _longest(spans: DataFrame, keys: Sequence[str], kept: Sequence[str]) -> Data
 GRAM = 3
 
 
-def _grams(text: Column) -> Column:
-    """Distinct character runs of length 1 to GRAM, by look-ahead so that they overlap."""
-    runs = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(1, GRAM + 1)]
+def _grams(text: Column, sizes: Column) -> Column:
+    """Distinct character runs of the given lengths, by look-ahead so that they overlap."""
+    none = F.array().cast("array<string>")
+    runs = [
+        F.when(F.array_contains(sizes, n), F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))).otherwise(none)
+        for n in range(1, GRAM + 1)
+    ]
     return F.array_distinct(F.concat(*runs))
 
 
-def attach_substrings(
-    rows: DataFrame,
-    key: str,
-    texts: Sequence[str],
-    terms: DataFrame,
-    out: str,
-    limit: int = INLINE_LIMIT,
-) -> DataFrame:
-    """Adds array ``out``: identity of every term row contained in at least one of the texts.
+def _tagged(kind: str) -> Column:
+    return F.transform(F.col(kind), lambda gram: F.struct(F.lit(kind).alias("kind"), gram.alias("gram")))
+
 
-    Plain containment without word boundaries; ``terms`` has identity and needle columns, both
-    sides already lower case and needles not blank. An identity appears once per containing term
-    row.
+def _held(kind: str, texts: Sequence[str]) -> Callable[[Column], Column]:
+    return lambda term: (term["kind"] == kind) & any_of(*[F.coalesce(F.col(t).contains(term["needle"]), F.lit(False)) for t in texts])
+
+
+def attach_substrings(rows: DataFrame, key: str, wanted: Mapping[str, tuple[Sequence[str], DataFrame]]) -> DataFrame:
+    """Adds an array per entry of ``wanted``: identities of its term rows contained in at least one of its texts.
+
+    Plain containment without word boundaries; terms have identity and needle columns, both sides already lower case and needles not
+    blank. An identity appears once per containing term row. Texts with a run of a term's characters are found by a
+    rarest-gram index: a term is kept under that of its character runs of length GRAM (or its own length, if shorter) which the fewest
+    texts hold, so a text meets few terms, and only those are looked for in it. Only run lengths that some term has are cut.
+    Rows partitioned by the key stay where they are.
     """
-    def contained(needle: Column) -> Column:
-        hit = F.lit(False)
-        for t in texts:
-            hit = hit | F.coalesce(F.col(t).contains(needle), F.lit(False))
-        return hit
-
-    every = small_array(terms, "array<struct<identity:string,needle:string>>", limit)
-    if every is not None:
-        return rows.withColumn(
-            out,
-            F.transform(
-                F.filter(every, lambda t: contained(t["needle"])), lambda t: t["identity"]
-            ),
-        )
-    # Any text containing a term contains the term's first GRAM characters.
-    numbered = terms.withColumn("gram", F.substring("needle", 1, GRAM))
-    joined_text = F.concat_ws("\n", *[F.col(t) for t in texts])
-    narrow = rows.select(key, F.explode(_grams(joined_text)).alias("gram"))
-    pairs = narrow.join(numbered, "gram").groupBy(key).agg(
-        F.collect_list(F.struct("identity", "needle")).alias("_terms")
-    )
-    none = F.array().cast("array<struct<identity:string,needle:string>>")
-    hits = F.filter(F.coalesce("_terms", none), lambda t: contained(t["needle"]))
-    return (
-        rows.join(pairs, key, "left")
-        .withColumn(out, F.transform(hits, lambda t: t["identity"]))
-        .drop("_terms")
-    )
+    listed = union_all([df.select(F.lit(out).alias("kind"), "identity", "needle") for out, (_, df) in wanted.items()])
+    terms = listed.withColumn("_size", F.least(F.lit(GRAM), F.length("needle")))
+    runs = F.transform(F.sequence(F.lit(1), F.length("needle") - F.col("_size") + 1), lambda i: F.substring(F.col("needle"), i, F.col("_size")))
+    grams = terms.select("kind", "needle", F.explode(F.array_distinct(runs)).alias("gram")).distinct()
+    cut = {}
+    for out, (texts, _) in wanted.items():
+        sizes = terms.filter(F.col("kind") == out).agg(F.collect_set("_size")).scalar()
+        cut[out] = _grams(F.concat_ws("\n", *[F.col(t) for t in texts]), sizes)
+    tagged = [_tagged(out) for out in cut]
+    runs_of_text = computed(rows, **cut).select(key, F.inline(F.concat(*tagged)))
+    narrow = stored(runs_of_text.join(grams.select("kind", "gram").distinct(), ["kind", "gram"]), "grams")
+    holding = narrow.groupBy("kind", "gram").agg(F.count("*").alias("_texts"))
+    # A run that no text holds settles that the term is in none.
+    fewest = F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), "gram"))
+    rarest = grams.join(holding, ["kind", "gram"], "left").groupBy("kind", "needle").agg(fewest.alias("r"))
+    index = terms.join(rarest, ["kind", "needle"]).select("kind", "identity", "needle", F.col("r.gram").alias("gram"))
+    pairs = narrow.join(index, ["kind", "gram"]).groupBy(key).agg(F.collect_list(F.struct("kind", "identity", "needle")).alias("_terms"))
+    joined = rows.join(pairs, key, "left")
+    none = F.array().cast("array<struct<kind:string,identity:string,needle:string>>")
+    for out, (texts, _) in wanted.items():
+        joined = joined.withColumn(out, F.transform(F.filter(F.coalesce("_terms", none), _held(out, texts)), lambda t: t["identity"]))
+    return joined.drop("_terms")

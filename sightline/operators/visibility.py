@@ -122,32 +122,30 @@ def alias_terms(aliases: DataFrame, brands: DataFrame, text: str = "alias_text")
 
 def answer_visibility(
     observations: DataFrame, requests: DataFrame, responses: DataFrame, aliases: DataFrame,
-    domains: DataFrame, brands: DataFrame, *, legacy: bool = False, inline_limit: int | None = None,
+    domains: DataFrame, brands: DataFrame, *, legacy: bool = False,
 ) -> DataFrame:
     """Brand mention per answer and brand; the numerator counts alias rows found.
 
     ``legacy=True`` keeps a value for available answers without items; by default such a row has
     no results and no value.
     """
-    extra = {} if inline_limit is None else {"limit": inline_limit}
     asked = requests.filter("source_category = 'llm'").select(
         "request_id", F.col("query_id").alias("prompt_id"),
         F.col("collection_window_id").alias("collection_window"),
     )
     received = responses.select("response_id", F.col("received_at_utc").alias("collected_at"))
+    # Partitioned by key first: the join with what was found needs that anyway, and texts are cut up by all tasks.
+    parts = int(observations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Lambdas do not share work, so the lower-cased texts must exist before terms are tried.
     texts = computed(
-        observations,
+        observations.repartition(parts, "observation_id"),
         _answer=F.lower(F.coalesce("response_text", F.lit(""))),
         _items=F.lower(F.coalesce(strip_item_keys(F.col("items_json")), F.lit(""))),
         _citations=F.lower(F.coalesce("citations_json", F.lit(""))),
     )
-    mentions = attach_substrings(
-        texts, "observation_id", ["_answer", "_items"], alias_terms(aliases, brands), "_mentions", **extra
-    )
-    cited = attach_substrings(
-        mentions, "observation_id", ["_citations"], alias_terms(domains, brands, "domain"), "_cited", **extra
-    ).drop("_answer", "_items", "_citations", "response_text", "items_json", "citations_json")
+    cited = attach_substrings(texts, "observation_id", {
+        "_mentions": (["_answer", "_items"], alias_terms(aliases, brands)), "_cited": (["_citations"], alias_terms(domains, brands, "domain")),
+    }).drop("_answer", "_items", "_citations", "response_text", "items_json", "citations_json")
     base = cited.join(asked, "request_id", "left").join(received, "response_id", "left")
     names = brands.select("brand_id", F.col("canonical_name").alias("brand_canonical_name"))
     dense = dense_grain(base, names, "observation_id")

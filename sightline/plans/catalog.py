@@ -24,6 +24,8 @@ STEPS: dict[str, str] = {}
 
 def step(name: str, sql: str) -> None:
     """Name a checking-SQL result so that later queries can refer to it."""
+    if name in STEPS:
+        raise ValueError(f"step {name} exists")
     STEPS[name] = sql
 
 

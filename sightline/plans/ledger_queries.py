@@ -66,7 +66,7 @@ def _(i):
 
 
 STATUSES = ("available", "pending", "quarantined", "unsupported")
-step("o_responses", """
+step("o_manifest_responses", """
     select *, case when n % 13 = 0 then null else list_value('available', 'pending', 'quarantined', 'unsupported')[n % 4 + 1] end as status, n % 3 = 0 and n % 5 <> 0 and not (c % 23 = 0 and n % 50 <> 0) as exact
     from o_dispositions d join (select path, n, c from o_files) using (path) where disposition = 'verified_response_candidate'""")
 
@@ -85,8 +85,8 @@ def manifest(i: Inputs) -> tuple[DataFrame, dict[str, int]]:
 @query("raw_inventory_report", """
     select 'disposition' as section, disposition as name, count(*) as files, null::double as share from o_dispositions group by 2
     union all select 'problem', p, count(*), null from (select unnest(problems) as p from o_dispositions) group by 2
-    union all select 'provenance', 'verified_responses', count(*), null from o_responses
-    union all select 'provenance', 'exact_provenance', count(*) filter (exact), (count(*) filter (exact))::double / count(*)::double from o_responses""")
+    union all select 'provenance', 'verified_responses', count(*), null from o_manifest_responses
+    union all select 'provenance', 'exact_provenance', count(*) filter (exact), (count(*) filter (exact))::double / count(*)::double from o_manifest_responses""")
 def _(i):
     rows, counts = manifest(i)
     report = raw.inventory_report(rows).withColumn("share", F.lit(None).cast("double"))
@@ -129,7 +129,7 @@ def _(i):
 
 @query("raw_accounting", """
     select 'files_without_disposition' as check_name, 0 as value union all select 'raw_files_changed', count(*) from o_files where role = 'response' and n % 10 = 0
-    union all select 'responses_without_status', count(*) from o_responses where status is null""")
+    union all select 'responses_without_status', count(*) from o_manifest_responses where status is null""")
 def _(i):
     rows, counts = manifest(i)
     moved = (F.col("role") == "response") & (F.col("n") % 10 == 0)
@@ -538,18 +538,35 @@ def _(i):
     return ledger.run_manifests(rows)
 
 
-CAPS = {"run_id": 400000, "engine": 1000000, "target_id": 20000}
+CAPS = {"run_id": 400000, "engine": 1000000, "target_id": 20000, "day": 60000}
+step("o_spend", """
+    select *, case dimension when 'run_id' then 400000 when 'engine' then 1000000 when 'day' then 60000 else 20000 end as cap_cents from (
+      select position, cents, ts, unnest(['run_id', 'engine', 'target_id', 'day']) as dimension, unnest([run_id, engine, target_id, day::varchar]) as member
+      from src_attempts join (select event_id as position, ts from events) using (position))""")
 
 
 @query("spend_ledger", """
-    with l as (select event_id, position, cents, unnest(['run_id', 'engine', 'target_id']) as dimension, unnest([run_id, engine, target_id]) as member from (select *, position as event_id from src_attempts)),
-    r as (select *, sum(cents) over (partition by dimension, member order by position)::bigint as spent_cents, case dimension when 'run_id' then 400000 when 'engine' then 1000000 else 20000 end as cap_cents from l)
-    select 'e' || event_id as request_id, dimension, member, spent_cents, spent_cents > cap_cents as breached from r""")
+    with r as (select *, sum(cents) over (partition by dimension, member order by position)::bigint as spent_cents from o_spend)
+    select 'e' || position as request_id, dimension, member, spent_cents, spent_cents > cap_cents as breached from r""")
 def _(i):
     costs = i.bind("src_attempts").withColumn("request_id", F.concat(F.lit("e"), F.col("position").cast("string")))
     return ledger.spend_ledger(costs, CAPS).select("request_id", "dimension", "member", "spent_cents", "breached")
 
 
+@query("spend_ledger_by_time", """
+    with c as (select event_id, ts, round(value * 100)::bigint as cents, unnest(['engine', 'user_id']) as dimension, unnest([case when event_id % 10 = 3 then 'bing' else 'google' end, user_id::varchar]) as member from events),
+    r as (select *, sum(cents) over (partition by dimension, member order by ts, event_id)::bigint as spent_cents from c)
+    select 'e' || event_id as request_id, dimension, member, spent_cents, spent_cents > case dimension when 'engine' then 1000000 else 20000 end as breached from r""")
+def _(i):
+    """Ordered by a sparse time; one engine has nine tenths of all rows."""
+    costs = i.table("events").select(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("request_id"), "ts", "event_id", F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+        F.when(F.col("event_id") % 10 == 3, "bing").otherwise("google").alias("engine"), "user_id",
+    )
+    rows = ledger.spend_ledger(costs, {"engine": 1000000, "user_id": 20000}, ["ts", "event_id"])
+    return rows.select("request_id", "dimension", "member", "spent_cents", "breached")
+
+
 @query("retry_decisions", """
     select attempt_id, sequence, case when status = 'outcome_unknown' then 'outcome_unknown' when http_status = 401 then 'no_retry' when http_status = 429 and engine = 'google' then 'retry' when http_status in (500, 503) then 'retry' else 'no_retry' end as decision from src_attempts""")
 def _(i):

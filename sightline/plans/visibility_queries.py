@@ -251,7 +251,7 @@ def _(i):
 
 @query("answer_brand_visibility_by_ngram_join", "select metric_id, mention_count, citation_count, metric_value from o_answer_gold")
 def _(i):
-    return answer_gold(i, inline_limit=0).select("metric_id", "mention_count", "citation_count", "metric_value")
+    return answer_gold(i).select("metric_id", "mention_count", "citation_count", "metric_value")
 
 
 @query("answer_brand_visibility_legacy", """

@@ -192,7 +192,7 @@ def test_dense_grain_is_complete(spark):
 
 def test_running_sum_over_blocks(spark):
     df = spark.range(1000).selectExpr("'hot' as key", "id as position", "id % 7 as cents")
-    got = {r.position: r.total for r in ledger.running_sum(df, ["key"], "position", "cents", "total", width=64).collect()}
+    got = {r.position: r.total for r in ledger.running_sum(df, ["key"], ["position"], "cents", "total").collect()}
     total = 0
     for n in range(1000):
         total += n % 7
