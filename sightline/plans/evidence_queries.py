@@ -717,9 +717,8 @@ step("o_valid_mappings", "select * from src_research_mappings where active and e
     union all select 'pairs', s.observation_id, count(*) from o_valid_mappings m join (select * from src_frozen_contexts where brand_no = 1 and source_category = 'serp') s on s.instrument_id = m.query_id
       join (select * from src_frozen_contexts where brand_no = 1 and source_category = 'llm') a on a.instrument_id = m.prompt_id and a.language_code = s.language_code and a.location_code = s.location_code and a.collection_window = s.collection_window group by 2""")
 def _(i):
-    body = F.parse_json("payload_json")
-    found = F.coalesce(jsonx.text(body, "$.observation_id"), jsonx.text(body, "$.serp_observation_id"))
-    return research_rows(i).groupBy("kind", found.alias("observation_id")).agg(F.count_distinct("row_id").alias("rows"))
+    found = F.nullif(F.regexp_extract("payload_json", r'"(?:serp_)?observation_id": "([^"]*)"', 1), F.lit(""))
+    return research_rows(i).groupBy("kind", found.alias("observation_id")).agg(F.count("*").alias("rows"))
 
 
 @query("research_mapping_rows", f"""
