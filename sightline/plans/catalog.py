@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,5 +49,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: runner(q) for name, q in CATALOG.items()}
 
 
+@cache
 def all_oracles() -> dict[str, str]:
     return {name: oracle(q.sql, STEPS) for name, q in CATALOG.items() if q.sql}
