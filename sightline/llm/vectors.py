@@ -2,9 +2,12 @@
 
 Equal vectors are collapsed first. A coarse quantiser (k-means of a bounded sample of directions) puts each distinct vector into
 the list of its nearest centroid; its residual is coded by product quantisation (a codebook per subspace), and the length of
-what the code misses is kept beside it. A query probes every list that can hold a partner: one no farther, by the half-plane
-between the list's centroid and the query's own, than a partner at the wanted cosine can be. Both of a pair are within that
-bound of the other's list, so no pair is lost and one side asks for both. Neighbouring lists form cells; a vector is sent to
+what the code misses is kept beside it. A query probes every list whose half-plane, between the list's centroid and the query's own,
+is no farther than a partner at the wanted cosine goes along that axis. How much of a partner's whole distance that is depends
+on the directions in which partners differ, so it is taken from the data: the exact partners of QUERIES vectors, found in one linear
+scan of all rows, give the smallest share that loses at most LOSS of a query's partners, three more losing queries than
+were seen allowed for. With too few partners to tell, or with loss=0, the share is 1, which loses no pair at all. One side of a pair asks for both.
+Neighbouring lists form cells; a vector is sent to
 a cell once, however many of its lists it probes, and is held against the probed lists only, and in them only if the triangle
 inequality over the centroid leaves a partner possible. In a list, table-lookup distances (query against code) discard a vector only
 if they exceed that distance by more than what its code misses; what passes is ranked again by the exact cosine in double precision.
@@ -30,6 +33,8 @@ COSINE = 0.9
 SAMPLE = 20_000
 LIST_SIZE = 256
 MOST_LISTS = 1 << 14
+QUERIES, NEAR_LISTS, BINS = 1 << 13, 8, 100
+LOSS = 0.01
 CODES = 64
 BLOCK = 2048
 SLACK = 1e-6
@@ -114,6 +119,30 @@ def probes(index: Index, units: np.ndarray, own: np.ndarray, lists: np.ndarray,
     return (gap <= 2 * (reach + SLACK) * between + SLACK) | (own[:, None] == lists)
 
 
+def near_lists(index: Index, units: np.ndarray) -> np.ndarray:
+    """The lists nearest to each unit vector in order, its own first, NEAR_LISTS beside it at most."""
+    square = (index.centroids**2).sum(1)
+    return np.concatenate([np.argsort(square - 2 * units[low : low + 256] @ index.centroids.T, axis=1)[:, : NEAR_LISTS + 1] for low in range(0, len(units), 256)])
+
+
+def direction_shares(index: Index, near: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Of each difference (row of step) from a vector with the near lists, the greatest share of its length along the axes to those lists, at least 0."""
+    axes = index.centroids[near[:, 1:]] - index.centroids[near[:, :1]]
+    size = np.sqrt((axes**2).sum(2)) * np.sqrt((step**2).sum(1))[:, None]
+    along = np.matmul(axes, step[:, :, None])[:, :, 0]
+    return np.clip(np.divide(along, size, out=np.zeros_like(along), where=size > SLACK).max(1, initial=0), 0, 1)
+
+
+def least_share(found: list[tuple[int, float]], n: int, loss: float) -> float:
+    """The smallest share of which, by `found` (bin, partners of it as parts of their query's own, summed) over n queries, at most `loss` is lost."""
+    per_bin = np.zeros(BINS)
+    for at, weight in found:
+        per_bin[at] += weight
+    lost = n - np.cumsum(per_bin)
+    enough = np.flatnonzero(lost + 3 <= loss * n)
+    return float(enough[0] + 1) / BINS if len(enough) else 1.0
+
+
 def asking(own: np.ndarray, cell: np.ndarray) -> np.ndarray:
     """Whether a vector of cell `own` asks `cell`: of two cells one asks the other, and each about as many as ask it."""
     return (own == cell) | ((own > cell) ^ ((own + cell) % 2 == 1))
@@ -161,10 +190,11 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).astype(float).reshape(-1, d)
 
 
-def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0) -> DataFrame:
+def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0, loss: float = LOSS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding).
 
-    n_links counts the other rows with a cosine of at least `cosine`; component_id is the smallest vec_id reachable by links and
+    n_links counts the other rows found with a cosine of at least `cosine` (of a vector's partners at most `loss` is expected to be missed, none if it
+    is 0, and none below the cosine is counted); component_id is the smallest vec_id reachable by links and
     kept tells whether it is the row's own. Null and zero vectors, and those with a null or non-finite component, link
     with nothing; vectors of different dimensions neither. Repeated rows are rows of their own; a null vec_id links but names
     a component only if nothing else does. An empty table gives no row.
@@ -180,7 +210,7 @@ def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0) -> Data
     texts = stored(rows.filter("v is not null").groupBy("key").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")), "vec-distinct")
     links = None
     for d, n in sorted((r[0], r[1]) for r in texts.groupBy(F.size("v")).count().collect()):
-        found = _links_of_size(spark, texts.filter(F.size("v") == d), d, n, cosine, seed)
+        found = _links_of_size(spark, texts.filter(F.size("v") == d), d, n, cosine, seed, loss)
         links = found if links is None else links.union(found)
     alone = rows.filter("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if links is None:
@@ -196,18 +226,49 @@ def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0) -> Data
     return out.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _links_of_size(spark, texts: DataFrame, d: int, n: int, cosine: float, seed: int) -> DataFrame:
+def probe_share(texts: DataFrame, index: Index, names: np.ndarray, units: np.ndarray, cosine: float, loss: float) -> float:
+    """The share of a partner's distance that probes must go, from the exact partners of the queries (keys and unit vectors) among all texts."""
+    shared = texts.sparkSession.sparkContext.broadcast((index, names, units, near_lists(index, units)))
+    d = units.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, names, units, near = shared.value
+        count = np.zeros((len(units), BINS), np.int64)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                x = _matrix(part.column("v"), d)
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                i, j = np.nonzero(x @ units.T >= cosine)
+                other = np.array(part.column("key").to_pylist(), object)[i] != names[j]
+                i, j = i[other], j[other]
+                for at in range(0, len(i), 1 << 12):
+                    a, b = i[at : at + (1 << 12)], j[at : at + (1 << 12)]
+                    np.add.at(count, (b, np.minimum(BINS - 1, (direction_shares(index, near[b], x[a] - units[b]) * BINS).astype(int))), 1)
+        q, at = np.nonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(at, pa.int32()), pa.array(count[q, at])], ["q", "at", "n"])
+
+    seen = stored(bounded_batches(texts).select("key", "v").mapInArrow(run, "q int, at int, n long").groupBy("q", "at").agg(F.sum("n").alias("n")), "vec-shares")
+    whole = seen.groupBy("q").agg(F.sum("n").alias("whole"))
+    found = seen.join(whole, "q").groupBy("at").agg(F.sum(F.col("n") / F.col("whole")).alias("part")).collect()
+    return least_share([(r["at"], r["part"]) for r in found], whole.count(), loss)
+
+
+def _links_of_size(spark, texts: DataFrame, d: int, n: int, cosine: float, seed: int, loss: float) -> DataFrame:
     """Rows about distinct vectors of one dimension: (a, null, rows linked with a in one task), and (a, b, 0) for links that join all parts."""
     share = min(1.0, 1.2 * SAMPLE / n)
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
-    picked = texts.filter(place <= int(share * (1 << 30))).select(place.alias("place"), "v").collect()
-    picked = sorted(picked, key=lambda r: (r["place"], r["v"]))[:SAMPLE]
-    sample = np.array([r["v"] for r in picked], float).reshape(-1, d)
+    picked = texts.filter(place <= int(share * (1 << 30))).select(place.alias("place"), "key", "v").toArrow()
+    picked = picked.sort_by([("place", "ascending"), ("key", "ascending")]).slice(0, SAMPLE).combine_chunks()
+    sample = _matrix(picked.column("v").combine_chunks(), d)
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
     index = build_index(sample, max(1, min(MOST_LISTS, len(sample), -(-n // LIST_SIZE))), seed)
+    reach = float(np.sqrt(2 - 2 * cosine))
+    if loss > 0:
+        names = np.array(picked.column("key").slice(0, QUERIES).to_pylist(), object)
+        reach *= probe_share(texts, index, names, sample[:QUERIES], cosine, loss)
     cells = cells_of(index.centroids, max(1, BLOCK // LIST_SIZE))
     shared = spark.sparkContext.broadcast((index, cells))
-    reach = float(np.sqrt(2 - 2 * cosine))
     rows_at_once = max(16, min(1024, (1 << 22) // len(index.centroids)))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
