@@ -56,7 +56,7 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return vectors.link_vectors(table(spark, folder, "embeddings"))
+    return vectors.link_vectors(table(spark, folder, "embeddings"), loss=vectors.LOSS)
 
 
 def op10_languages(spark: SparkSession, folder: str) -> DataFrame:

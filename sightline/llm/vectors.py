@@ -6,7 +6,7 @@ what the code misses is kept beside it. A query probes every list whose half-pla
 is no farther than a partner at the wanted cosine goes along that axis. How much of a partner's whole distance that is depends
 on the directions in which partners differ, so it is taken from the data: the exact partners of QUERIES vectors, found in one linear
 scan of all rows, give the smallest share that loses at most LOSS of a query's partners, three more losing queries than
-were seen allowed for. With too few partners to tell, or with loss=0, the share is 1, which loses no pair at all. One side of a pair asks for both.
+were seen allowed for. With too few partners to tell, or with loss=0 (the default), the share is 1, which loses no pair at all. One side of a pair asks for both.
 Neighbouring lists form cells; a vector is sent to
 a cell once, however many of its lists it probes, and is held against the probed lists only, and in them only if the triangle
 inequality over the centroid leaves a partner possible. In a list, table-lookup distances (query against code) discard a vector only
@@ -190,11 +190,11 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).astype(float).reshape(-1, d)
 
 
-def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0, loss: float = LOSS) -> DataFrame:
+def link_vectors(rows: DataFrame, cosine: float = COSINE, seed: int = 0, loss: float = 0.0) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding).
 
-    n_links counts the other rows found with a cosine of at least `cosine` (of a vector's partners at most `loss` is expected to be missed, none if it
-    is 0, and none below the cosine is counted); component_id is the smallest vec_id reachable by links and
+    n_links counts the other rows found with a cosine of at least `cosine`: all of them by default; with `loss` above 0, such as LOSS, of a
+    vector's partners at most that share is expected to be missed, and none below the cosine is counted. component_id is the smallest vec_id reachable by links and
     kept tells whether it is the row's own. Null and zero vectors, and those with a null or non-finite component, link
     with nothing; vectors of different dimensions neither. Repeated rows are rows of their own; a null vec_id links but names
     a component only if nothing else does. An empty table gives no row.
