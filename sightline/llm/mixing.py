@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.llm.tables import stored
+from sightline.llm.tables import packed, stored
 
 WEIGHTS = (1.0, 2.0, 3.0)
 REPEATS = 3
@@ -200,7 +200,7 @@ def draw_plan(docs: DataFrame, levels: int | None = None, seed: int = 7, weights
 
 
 def mix(docs: DataFrame, levels: int | None = None, seed: int = 7, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
-    """docs as mixed: each row as often as it is taken, dealt to 2**levels shards and in random order inside each; columns unchanged.
+    """docs as mixed: each row as often as it is taken, dealt to 2**levels shards and in random order inside each; columns unchanged, whatever their names.
 
     Of rows that agree in id, source and text, one stands for all, as often as they are taken together.
     """
@@ -212,13 +212,12 @@ def mix(docs: DataFrame, levels: int | None = None, seed: int = 7, weights: tupl
         F.array_sort(F.flatten(F.collect_list("places"))).alias("mix_places"), F.count(F.lit(1)).alias("mix_rows")
     )
     plan = stored(plan.filter(F.size("mix_places") > 0), "mix-places")
-    names = ["mix_own_id", "mix_own_key", "mix_own_digest"]
     own_key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    own = docs.withColumns(dict(zip(names, (F.col("doc_id").cast("long"), own_key, F.xxhash64("text")))))
-    same = own["mix_own_id"].eqNullSafe(plan["mix_id"]) & (own["mix_own_key"] == plan["mix_key"]) & (own["mix_own_digest"] == plan["mix_digest"])
+    own = packed(docs, own_id=F.col("doc_id").cast("long"), own_key=own_key, own_digest=F.xxhash64("text"))
+    same = own["own_id"].eqNullSafe(plan["mix_id"]) & (own["own_key"] == plan["mix_key"]) & (own["own_digest"] == plan["mix_digest"])
     # Rows that repeat share their places, so one of them is written for each place.
-    rows = own.join(plan.filter("mix_rows = 1"), same).unionByName(own.join(plan.filter("mix_rows > 1"), same).dropDuplicates(names))
+    rows = own.join(plan.filter("mix_rows = 1"), same).unionByName(own.join(plan.filter("mix_rows > 1"), same).dropDuplicates(["own_id", "own_key", "own_digest"]))
     rows = rows.withColumn("mix_place", F.explode("mix_places"))
-    rows = rows.withColumn("mix_turn", F.xxhash64("doc_id", "mix_place", F.lit(seed + 4)))
-    rows = rows.repartitionById(1 << levels, F.col("mix_place.shard")).sortWithinPartitions("mix_turn", "doc_id")
-    return rows.select(*docs.columns)
+    rows = rows.withColumn("mix_turn", F.xxhash64("row.doc_id", "mix_place", F.lit(seed + 4)))
+    rows = rows.repartitionById(1 << levels, F.col("mix_place.shard")).sortWithinPartitions("mix_turn", "row.doc_id")
+    return rows.select("row.*")

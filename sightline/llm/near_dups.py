@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm.graph import components
 from sightline.llm.kernels import mixed, shingles, slices
-from sightline.llm.tables import bounded_batches, stored
+from sightline.llm.tables import bounded_batches, packed, stored
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -265,11 +265,11 @@ def _classes(docs: DataFrame, similarity: float, weighted: bool) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs with one document of each class: the one with the smallest id. Rows without an id stay.
 
-    Of repeated rows of a class with that id one stays; texts of different classes that share an id all stay. Columns are unchanged.
+    Of repeated rows of a class with that id one stays; texts of different classes that share an id all stay. Columns are unchanged, whatever their names.
     """
     keep = _classes(docs, similarity, False).filter("kept").groupBy("root").agg(F.min(F.struct(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))).alias("one"))
     keep = stored(keep.select("one.*"), "near-keep")
-    own = docs.withColumn("near_own_digest", _digest())
-    same = (F.col("doc_id") == F.col("kept_id")) & (F.col("near_own_digest") == F.col("kept_digest"))
-    named = own.join(keep, same, "left_semi").dropDuplicates(["doc_id", "near_own_digest"]).drop("near_own_digest")
+    own = packed(docs, own_id=F.col("doc_id"), own_digest=_digest())
+    same = (F.col("own_id") == F.col("kept_id")) & (F.col("own_digest") == F.col("kept_digest"))
+    named = own.join(keep, same, "left_semi").dropDuplicates(["own_id", "own_digest"]).select("row.*")
     return named.unionByName(docs.filter("doc_id is null"))

@@ -42,3 +42,17 @@ def bounded_batches(df: DataFrame) -> DataFrame:
 def held_out(doc_id: str | Column, parts: int, part: int) -> Column:
     """True where crc32 of the id as text leaves the remainder `part`; rows without an id are never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """The frame's columns as one struct named row, beside further columns, so that no name can clash; `row.*` unpacks it."""
+    own = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
+    return df.select(own, *[value.alias(name) for name, value in more.items()])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sightline.llm.tables import stored
+from sightline.llm.tables import stored, unused
 
 DEFAULT = "allow"
 # The rules of the query's contract, host, path and verdict.
@@ -77,9 +77,10 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = D
     """
     rows = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     active = stored(active_rules(rows.select("host").distinct(), rules), "url-active")
-    rows = rows.join(active.withColumnsRenamed({"host": "active_host", "active": "active_rules"}), F.col("host") == F.col("active_host"), "left")
-    fits = F.filter("active_rules", lambda r: F.startswith(F.col("path"), r["path"]))
+    at, found, best = (unused(rows, name) for name in ("active_host", "active_rules", "best_rule"))
+    rows = rows.join(active.withColumnsRenamed({"host": at, "active": found}), F.col("host") == F.col(at), "left")
+    fits = F.filter(found, lambda r: F.startswith(F.col("path"), r["path"]))
     ranked = F.transform(fits, lambda r: F.struct((F.length(r["host"]) + F.length(r["path"])).alias("n"), F.length(r["host"]).alias("h"), r["verdict"].alias("verdict"), F.concat(r["host"], r["path"]).alias("rule")))
-    rows = rows.withColumn("best_rule", F.array_max(ranked))
-    rows = rows.withColumns({"rule": F.col("best_rule.rule"), "verdict": F.coalesce(F.col("best_rule.verdict"), F.lit(default))})
-    return rows.drop("active_host", "active_rules", "best_rule")
+    rows = rows.withColumn(best, F.array_max(ranked))
+    rows = rows.withColumns({"rule": F.col(best)["rule"], "verdict": F.coalesce(F.col(best)["verdict"], F.lit(default))})
+    return rows.drop(at, found, best)

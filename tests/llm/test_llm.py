@@ -374,3 +374,44 @@ def test_pipeline_stages(spark, odd):
     lengths = Counter(r.doc_id for r in seen["mixing"].collect())
     pieces = _grouped(seen["packing"].collect(), lambda r: r.doc_id)
     assert set(lengths) == set(pieces)
+
+
+def test_probe_share_follows_the_directions_of_partners(spark):
+    for seed, size, low, high in ((1, 3000, 0.2, 0.7), (2, 6000, 0.2, 0.7)):
+        rng = np.random.default_rng(seed)
+        base = rng.normal(size=(size, 64))
+        base[size // 2 :] = base[: size // 2] + 0.42 * rng.normal(size=(size // 2, 64))  # cosines around 0.92
+        rows = spark.createDataFrame(pd.DataFrame({"vec_id": range(size), "embedding": list(base)}), "vec_id long, embedding array<double>")
+        unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+        near = unit @ unit.T >= 0.9
+        got = {r.vec_id: r.n_links for r in vectors.link_vectors(rows, loss=vectors.LOSS).collect()}
+        found, want = np.array([got[i] for i in range(size)]), near.sum(1) - 1
+        assert want.sum() > 2000 and (found <= want).all() and found.sum() >= 0.98 * want.sum()
+        index = vectors.build_index(unit[:2000], size // 256)
+        keyed = spark.createDataFrame(pd.DataFrame({"key": [i.to_bytes(4) for i in range(size)], "v": list(base)}), "key binary, v array<double>")
+        names = np.array([i.to_bytes(4) for i in range(2000)], object)
+        assert low < vectors.probe_share(keyed, index, names, unit[:2000], 0.9, 0.01) < high
+
+
+def test_least_share():
+    assert vectors.least_share([], 0, 0.01) == 1 and vectors.least_share([(3, 100.0)], 100, 0.01) == 1
+    assert vectors.least_share([(3, 990.0), (40, 10.0)], 1000, 0.01) == 0.41 and vectors.least_share([(3, 995.0), (40, 5.0)], 1000, 0.01) == 0.04
+
+
+def test_columns_with_clashing_names(spark):
+    names = ["active_host", "active_rules", "best_rule", "_Active_Host"]
+    pages = spark.createDataFrame([(1, "http://net/a", *names), (2, None, *names)], ["page_id", "url", *names])
+    got = url_rules.judge(pages, url_rules.rule_table(spark)).collect()
+    assert [tuple(r[n] for n in names) for r in got] == [tuple(names)] * 2 and {r.page_id: r.rule for r in got} == {1: "net/", 2: None}
+    names = ["kept_id", "kept_digest", "own_id", "own_key", "own_digest", "mix_id", "mix_key", "mix_turn", "mix_place", "mix_places", "mix_rows", "row", "a.b", "label", "place", "near_own_digest", "label_id"]
+    rows = [(i, prose(i // 2, 30), None, "s", 0, *[f"{n}{i}" for n in names]) for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", `{n}` string" for n in names))
+    kept = near_dups.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} == set(rows[::2])
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {tuple(r) for r in mixed.collect()} == set(rows)
+    labels = spark.createDataFrame([(i, i % 4 // 2) for i in range(20)] + [(0, 0), (1, 1), (2, None)], "doc_id long, toxic int")
+    docs = docs.drop("a.b")
+    net, trees = toxicity.fit(docs, labels, lambda c: F.lit(True))
+    scored = toxicity.score(docs, net, trees)
+    assert scored.columns == [*docs.columns, "toxicity"] and scored.filter("toxicity between 0 and 1").count() == 20
