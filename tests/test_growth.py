@@ -28,3 +28,27 @@ def test_keys_of_results_are_not_broadcast(spark):
     ]
     # The fallback is stored, so its plan is a scan; its join is looked at by the anti join it is made of.
     assert all("Broadcast" not in plan(df) for df in frames)
+
+
+@needs_tables
+def test_presence_does_not_sort_or_shuffle_dense_rows(spark):
+    import __spark_entry__ as entry
+
+    shown = plan(entry.queries()["presence_summary"](spark, FOLDER))
+    assert "Window" not in shown
+    for name in ("source_statuses", "organic_share_rows"):
+        assert "Window" not in plan(entry.queries()[name](spark, FOLDER))
+
+
+@needs_tables
+def test_latest_slices_are_chosen_before_brands(spark):
+    """Search slices of every brand from the latest observations, equal to those chosen among all dense rows."""
+    from sightline.operators import comparison
+    from sightline.plans import visibility_queries as vq
+
+    i = Inputs(configure(spark), FOLDER)
+    columns = ["metric_id", "query_id", "brand_id", "observation_id", "availability_status", "numerator", "denominator", "best_normalized_rank", "collected_at"]
+    few = vq.latest_serp_gold(i)
+    whole = comparison.latest_slices(vq.serp_gold(i), comparison.SERP_SLICE)
+    assert few.count() == whole.count() < vq.serp_gold(i).count()
+    assert few.select(*columns).exceptAll(whole.select(*columns)).isEmpty()
