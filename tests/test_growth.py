@@ -52,3 +52,14 @@ def test_latest_slices_are_chosen_before_brands(spark):
     whole = comparison.latest_slices(vq.serp_gold(i), comparison.SERP_SLICE)
     assert few.count() == whole.count() < vq.serp_gold(i).count()
     assert few.select(*columns).exceptAll(whole.select(*columns)).isEmpty()
+
+
+def test_runs_of_texts_are_not_broadcast(spark):
+    from sightline.operators.terms import attach_substrings
+
+    rows = spark.createDataFrame([("a", "one brand"), ("b", "none")], "id string, text string")
+    terms = spark.createDataFrame([("b1", "brand")], "identity string, needle string")
+    found = attach_substrings(rows, "id", {"hits": (["text"], terms)})
+    assert {r.id: r.hits for r in found.collect()} == {"a": ["b1"], "b": []}
+    joins = [line for line in plan(found).splitlines() if "Join" in line and "gram" in line and "LeftOuter" not in line]
+    assert any("SortMergeJoin" in line for line in joins)
