@@ -65,3 +65,26 @@ def test_runs_of_texts_are_not_broadcast(spark):
     assert {r.id: r.hits for r in found.collect()} == {"a": ["b1"], "b": []}
     joins = [line for line in plan(found).splitlines() if "Join" in line and "gram" in line and "LeftOuter" not in line]
     assert any("SortMergeJoin" in line for line in joins)
+
+
+def test_texts_are_dealt_out_before_they_are_folded_and_searched(spark):
+    """A long text with a term at every other word: one search per term, in a task of its own and not in the scan's."""
+    from sightline.operators.terms import match_spans, term_table
+
+    n = 50_000
+    rows = spark.createDataFrame([(1, "Straße and " * n), (2, "candy")], "key int, text string")
+    terms = term_table(spark.createDataFrame([("b", "AND")], "id string, t string"), "id", "t")
+    found = match_spans(rows, ["key"], "text", terms, suppress=False)
+    shown = plan(found)
+    assert "REPARTITION_BY_COL" in shown and "MapInArrow" in shown
+    spans = [(r.key, r.span_start, r.span_end, r.matched_text) for r in found.collect()]
+    assert sorted(spans) == [(1, 11 * i + 7, 11 * i + 10, "and") for i in range(n)]
+
+
+def test_occurrences_are_taken_left_to_right_before_boundaries():
+    from sightline.functions.text import spans_of
+
+    term = {"identity": "x", "needle": "a a", "cjk": False}
+    assert spans_of("xa a a", "xa a a", [], [term]) == []
+    assert spans_of("A a a a", "a a a a", [], [term]) == [("x", 0, 3, "A a"), ("x", 4, 7, "a a")]
+    assert spans_of("ß é", "ss é", [1], [{"identity": "y", "needle": "é", "cjk": False}]) == [("y", 2, 3, "é")]
