@@ -140,3 +140,25 @@ def test_placeholder_and_language(spark):
     assert not value(spark, tx.is_placeholder(F.lit(None).cast("string")))
     assert value(spark, tx.normalize_language(F.lit(" zh_CN "))) == "zh-cn"
     assert value(spark, tx.normalize_language(F.lit(" "))) is None
+
+
+def test_names_of_ids_and_urls_are_evaluated_once(spark):
+    """A costly value under an id or a URL must not be copied into every part of the result."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from sightline.functions import ids, url
+
+    urls = {
+        "HTTPS://WWW.A.Shop:443/p?x=1#f": None, "https://www.A.shop:443/p?x=1#f": "https://www.a.shop/p?x=1", "http://a.b?": "http://a.b/",
+        "http://[::1]:8080/x": "http://[::1]:8080/x", "ftp://h/x": None, "http://u@h/": None, "": None, None: None, "http://h.:70000/": None,
+    }
+    rows = spark.createDataFrame([(u,) for u in urls], "u string").repartition(1)
+    costly = F.reverse(F.reverse("u"))
+    found = rows.select("u", ids.uuid5(costly).alias("i"), url.canonical_url(costly).alias("c"), url.hostname(costly).alias("h"))
+    for r in found.collect():
+        assert r.i == (None if r.u is None else str(uuid.uuid5(uuid.NAMESPACE_URL, r.u)))
+        assert r.c == urls[r.u]
+    shown = found._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.count("reverse(reverse(u") == 3
