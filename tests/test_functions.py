@@ -162,3 +162,14 @@ def test_names_of_ids_and_urls_are_evaluated_once(spark):
         assert r.c == urls[r.u]
     shown = found._jdf.queryExecution().optimizedPlan().toString()
     assert shown.count("reverse(reverse(u") == 3
+
+
+def test_packed_ids_are_small_and_keep_texts_apart(spark):
+    from sightline.functions import ids
+
+    one = "0123abcd012341238123012345678900"
+    texts = [one, one.upper(), one + "\n", one[:8] + "-" + one[8:], "0" * 32, "0" * 34, "", "\0", "sixteen letters.", None]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string")
+    packed = {r.n: r.p for r in rows.select("n", ids.packed_hash("t").alias("p")).collect()}
+    assert len(packed[0]) == 16 and packed[len(texts) - 1] is None
+    assert len({bytes(p) for p in packed.values() if p is not None}) == len(texts) - 1
