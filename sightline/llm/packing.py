@@ -102,8 +102,9 @@ def pack(docs: DataFrame, window: int = WINDOW, end: int = END, path: str | None
         held = 0
         for batch in (piece for whole in batches for piece in runs(whole, "text")):
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = codes.encode(text.as_py()) + tail
+            every, ends = codes.encode_all(batch.column("text"))
+            for doc_id, low, high in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
+                ids = every[low:high].tobytes() + tail
                 n = len(ids) // 4
                 for start in range(0, n - window + 1, window):
                     out.append((doc_id, start, window, ids[4 * start : 4 * (start + window)], n, part + sequence, 0))

@@ -179,6 +179,26 @@ def test_blocks_hold_any_number_of_distinct_ids():
         assert [x.tolist() for x in back] == [x.tolist() for x in documents]
 
 
+def test_a_column_is_encoded_by_its_distinct_words():
+    coder = tokens.Encoder(tokens.vocabulary_path())
+    odd = ["", " ", "a", " a", "a ", "a  b", "a b  c ", "\n", "a\n b", "a\tb c", "<|endoftext|>", "x <|endoftext|> y", "don't 's  t", None, "a\u00a0b", "\u3000x y", "é è"]
+    odd += [f"{x or ''} {y or ''}" for x in odd for y in odd]
+    ids, ends = coder.encode_all(pa.array(odd))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [coder.tokenizer.encode(x or "", add_special_tokens=False).ids for x in odd]
+    assert len(coder.encode_all(pa.array([], pa.string()))[0]) == 0
+
+    class Counted:
+        calls, real = 0, coder.tokenizer
+
+        def encode_batch_fast(self, texts, **how):
+            self.calls += 1
+            return self.real.encode_batch_fast(texts, **how)
+
+    coder.later.tokenizer = coder.first.tokenizer = counted = Counted()
+    coder.encode_all(pa.array([f"word{i} word{i + 1} other" for i in range(1000)]))
+    assert counted.calls <= 3  # before: a call for each text
+
+
 def test_token_files_and_packing(spark, odd, empty, tmp_path):
     plain = tokens.Encoder(tokens.vocabulary_path()).tokenizer
     ids = lambda t: plain.encode(t or "", add_special_tokens=False).ids
