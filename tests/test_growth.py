@@ -88,3 +88,65 @@ def test_occurrences_are_taken_left_to_right_before_boundaries():
     assert spans_of("xa a a", "xa a a", [], [term]) == []
     assert spans_of("A a a a", "a a a a", [], [term]) == [("x", 0, 3, "A a"), ("x", 4, 7, "a a")]
     assert spans_of("ß é", "ss é", [1], [{"identity": "y", "needle": "é", "cjk": False}]) == [("y", 2, 3, "é")]
+
+
+@needs_tables
+def test_raw_files_are_shuffled_once(spark):
+    """One window by directory instead of joins of the files with themselves; the payloads are built once for the manifest too."""
+    from sightline.plans import ledger_queries as lq
+    from sightline.sources import raw
+
+    found = raw.dispositions(lq.files(Inputs(configure(spark), FOLDER)))
+    assert "Join" not in plan(found) and plan(found).count("hashpartitioning(directory") == 1
+    known = found.filter("role = 'response'").select("request_id", "sha256")
+    rows = raw.with_provenance(found, known)
+    assert rows.filter("exact_provenance is not null").count() == found.filter(f"disposition = '{raw.CANDIDATE}'").count() > 0
+    assert rows.count() == found.count() and rows.filter("not exact_provenance").isEmpty()
+
+
+def test_verdicts_on_odd_metadata(spark):
+    import hashlib
+    import json
+
+    from sightline.sources import raw
+
+    body = b'{"a": 1}'
+    digest = hashlib.sha256(body).hexdigest()
+
+    def meta(sha, **more):
+        files = {f"{r}.json": {"sha256": sha, "byte_size": len(body), "content_type": "t"} for r in raw.MANIFEST_ROLES}
+        return {"request_id": "r", "run_id": "u", "provider": "p", "platform_or_engine": "e", "collected_at": "2026-09-28T10:00:00Z", "source_category": "serp", "files": files} | more
+
+    cases = {
+        "good": (meta(digest), []), "upper": (meta(digest.upper()), ["checksum mismatch for request.json", "checksum mismatch for response.json"]),
+        "line": (meta(digest + "\n"), ["checksum mismatch for request.json", "checksum mismatch for response.json"]),
+        "number": (meta(digest, request_id=7), ["missing metadata request_id"]),
+        "files": (meta(digest, files=[1]), ["metadata has no file manifest", "missing file manifest request.json", "missing file manifest response.json"]),
+        "stamp": (meta(digest, collected_at="2026-09-28T10:00:00"), ["collected_at is not timezone aware"]),
+        "list": ([1], sorted(["non-object metadata.json", "missing file manifest request.json", "missing file manifest response.json", "source_category/path mismatch", *raw.WITHOUT_METADATA])),
+    }
+    rows = []
+    for name, (metadata, _) in cases.items():
+        for file, content in (("metadata.json", json.dumps(metadata).encode()), ("request.json", body), ("response.json", b" " + body if name == "size" else body)):
+            rows.append((f"/x/serp/p/e/2026/09/28/run/{name}/{file}", len(content), content))
+    rows += [("/x/serp/p/e/2026/09/28/run/short.json", 2, b"{}"), ("/x/serp/p/e/2026/9/28/run/rq/a.json", 2, b"{}")]
+    files = raw.inventory(spark.createDataFrame(rows, "path string, length long, content binary"))
+    assert files.count() == 3 * len(cases)
+    for frame in (raw.triple_integrity(files), raw.dispositions(files)):
+        got = {r.directory.rsplit("/", 1)[1]: r.integrity_problems for r in frame.collect()}
+        assert got == {name: problems for name, (_, problems) in cases.items()}
+    texts = {r.sha256 for r in raw.dispositions(files).collect() if r.role == "request"}
+    assert texts == {digest}
+
+
+def test_changed_files_of_any_checksum_text(spark):
+    from sightline.sources import raw
+
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "path string, sha256 string")
+
+    one, other = "ab" * 32, "AB" * 32
+    before = rows(("a", one), ("b", one), ("c", None), ("d", "x"), ("e", one), ("f", "\x00" * 32))
+    after = rows(("a", one), ("b", other), ("c", None), ("d", "y"), ("g", one), ("f", "\x00" * 31))
+    checks = {r.check_name: r.value for r in raw.accounting({"undecided": 0, "responses": 0}, before, after).collect()}
+    assert checks["raw_files_changed"] == 5
