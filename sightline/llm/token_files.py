@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sightline.llm.kernels import runs
 from sightline.llm.tables import bounded_batches, stored
 from sightline.llm.tokens import encoder, vocabulary_path
 
@@ -36,7 +37,8 @@ SLOTS = 1 << 20
 SCALE = 16  # bits of a step's probability
 U32, U64 = np.uint32, np.uint64
 LOW32 = U64(0xFFFFFFFF)
-RUNS = 8
+RUN_BITS = 3
+RUNS = 1 << RUN_BITS
 
 
 class Model:
@@ -45,10 +47,9 @@ class Model:
     def __init__(self, alphabet: int):
         self.alphabet = alphabet
         self.counts = np.zeros(alphabet, np.int64)
-        self.second = np.zeros(SLOTS, np.int32)  # predicted id after two ids, by hash
-        self.second_run = np.zeros(SLOTS, np.int8)
+        # Predicted id and run in one number, id * RUNS + run: after two ids by their hash, and after one id.
+        self.second = np.zeros(SLOTS, np.int32)
         self.first = np.zeros(alphabet + 1, np.int32)
-        self.first_run = np.zeros(alphabet + 1, np.int8)
         # By the runs of both orders and whether they agree: all cases, hits of order 2, hits of order 1 alone.
         self.cases = np.full((RUNS * RUNS * 2, 3), (4.0, 1.0, 1.0))
         self._refresh()
@@ -58,43 +59,51 @@ class Model:
         total = self.counts.sum()
         room = (1 << max(SCALE, self.alphabet.bit_length() + 1)) - self.alphabet
         share = 1 + (self.counts * room // max(1, total) if total else np.full(self.alphabet, room // self.alphabet))
-        self.until = np.zeros(self.alphabet + 1, np.int64)
+        self.until = np.zeros(self.alphabet + 1, U64)
         np.cumsum(share, out=self.until[1:])
         self.top = self.until[-1]
 
     def predict(self, one: np.ndarray, two: np.ndarray) -> None:
         self.one = one
         self.slot = ((one.astype(U32) * U32(0x9E3779B1)) ^ (two.astype(U32) * U32(0x85EBCA77))) >> U32(12)
-        self.p2, self.p1 = self.second[self.slot], self.first[one]
-        self.r2, self.r1 = self.second_run[self.slot], self.first_run[one]
-        self.case = (self.r2.astype(np.int64) * RUNS + self.r1) * 2 + (self.p1 == self.p2)
+        second, first = self.second[self.slot], self.first[one]
+        self.p2, self.p1, self.r2, self.r1 = second >> RUN_BITS, first >> RUN_BITS, second & (RUNS - 1), first & (RUNS - 1)
+        self.case = (self.r2 * RUNS + self.r1) * 2 + (self.p1 == self.p2)
         cases = self.cases
         # At least a sixteenth of the range stays with the frequencies.
         scaled = cases[:, 1:] / cases[:, :1] * ((1 << SCALE) * 15 // 16)
         share = np.maximum(1, scaled.astype(np.int64))
-        self.a2 = share[self.case, 0]
-        self.a1 = share[self.case, 1]
+        self.a2, self.a1 = share[:, 0].astype(U64)[self.case], share.sum(1).astype(U64)[self.case]
+
+    def holding(self, free: np.ndarray) -> np.ndarray:
+        """The id whose share of the range of order 0 holds each unit."""
+        if self.top > len(free) << 5:
+            return np.searchsorted(self.until, free, "right") - 1
+        return np.repeat(np.arange(self.alphabet), np.diff(self.until).astype(np.int64))[free.astype(np.int64)]
 
     def update(self, ids: np.ndarray) -> None:
         hit2, hit1 = ids == self.p2, ids == self.p1
-        n = len(self.cases)
-        for column, weight in ((0, None), (1, hit2), (2, hit1 & ~hit2)):
-            self.cases[:, column] += np.bincount(self.case, weight, n)
+        seen = np.bincount(self.case * 3 + np.where(hit2, 1, 2 * hit1), minlength=3 * len(self.cases)).reshape(-1, 3)
+        self.cases[:, 0] += seen.sum(1)
+        self.cases[:, 1:] += seen[:, 1:]
         self.counts += np.bincount(ids, minlength=self.alphabet)
-        self.second[self.slot], self.first[self.one] = ids, ids
-        self.second_run[self.slot] = np.where(hit2, np.minimum(self.r2 + 1, RUNS - 1), 0)
-        self.first_run[self.one] = np.where(hit1, np.minimum(self.r1 + 1, RUNS - 1), 0)
+        base = ids.astype(np.int32) << RUN_BITS
+        self.second[self.slot] = base | np.where(hit2, np.minimum(self.r2 + 1, RUNS - 1), 0)
+        self.first[self.one] = base | np.where(hit1, np.minimum(self.r1 + 1, RUNS - 1), 0)
         self._refresh()
 
 
-def _parts(model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """End of the range of order 2 and of order 1 in units of 2**-16."""
-    return model.a2, model.a2 + model.a1
+def _moving(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lanes whose upper word is settled or whose range is short, which of these have a short range that crosses a word)."""
+    same = (low ^ (low + span)) <= LOW32
+    short = span <= LOW32
+    move = np.flatnonzero(same | short)
+    return move, short[move] & ~same[move]
 
 
 def _rest(step: np.ndarray, left: np.ndarray, model: Model) -> np.ndarray:
     """Code range per unit of order-0 frequency."""
-    return step * ((1 << SCALE) - left).astype(U64) // U64(model.top)
+    return step * (U64(1 << SCALE) - left) // U64(model.top)
 
 
 def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, list[np.ndarray]]:
@@ -112,30 +121,27 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, list[np.ndarray]]:
     for t in range(steps):
         now = grid[t]
         model.predict(one, two)
-        end2, end1 = _parts(model)
         step = span >> U64(SCALE)
-        unit = _rest(step, end1, model)
+        end2, end1 = step * model.a2, step * model.a1
         hit2 = now == model.p2
         hit1 = ~hit2 & (now == model.p1)
-        start = np.where(hit2, U64(0), np.where(hit1, step * end2.astype(U64), step * end1.astype(U64) + unit * model.until[now].astype(U64)))
-        width = np.where(hit2, step * end2.astype(U64), np.where(hit1, step * model.a1.astype(U64), unit * (model.until[now + 1] - model.until[now]).astype(U64)))
+        start, span = np.where(hit2, U64(0), end2), np.where(hit2, end2, end1 - end2)
+        rest = np.flatnonzero(~(hit2 | hit1))
+        unit, ids = _rest(step[rest], model.a1[rest], model), now[rest]
+        start[rest] = end1[rest] + unit * model.until[ids]
+        span[rest] = unit * (model.until[ids + 1] - model.until[ids])
         low += start
-        span = width
-        move = np.arange(lanes)
-        while True:
-            same = (low[move] ^ (low[move] + span[move])) >> U64(32) == 0
-            small = span[move] <= LOW32
-            cut = small & ~same
-            span[move[cut]] = (~low[move[cut]] + U64(1)) & LOW32
-            move = move[same | small]
-            if not len(move):
-                break
-            words[move, at[move]] = low[move] >> U64(32)
+        move, cut = _moving(low, span)
+        while len(move):
+            own, width = low[move], span[move]
+            width[cut] = (~own[cut] + U64(1)) & LOW32
+            words[move, at[move]] = own >> U64(32)
             at[move] += 1
-            low[move] <<= U64(32)
-            span[move] <<= U64(32)
+            low[move], span[move] = own, width = own << U64(32), width << U64(32)
             if at.max() + 2 >= words.shape[1]:
                 words = np.concatenate([words, np.zeros_like(words)], 1)
+            again, cut = _moving(own, width)
+            move = move[again]
         model.update(now)
         one, two = now, one
     for shift in (32, 0):
@@ -158,42 +164,48 @@ def decode_ids(n: int, lanes: int, code: list[np.ndarray], alphabet: int) -> np.
     one = two = np.full(lanes, alphabet, np.int64)
     for t in range(steps):
         model.predict(one, two)
-        end2, end1 = _parts(model)
         step = span >> U64(SCALE)
-        unit = _rest(step, end1, model)
+        end2, end1 = step * model.a2, step * model.a1
         within = value - low
-        edge2, edge1 = step * end2.astype(U64), step * end1.astype(U64)
-        hit2, hit1 = within < edge2, (within >= edge2) & (within < edge1)
-        free = np.minimum((within - np.minimum(edge1, within)) // unit, U64(model.top - 1)).astype(np.int64)
-        by_count = np.searchsorted(model.until, free, "right") - 1
-        now = np.where(hit2, model.p2, np.where(hit1, model.p1, by_count))
-        start = np.where(hit2, U64(0), np.where(hit1, edge2, edge1 + unit * model.until[now].astype(U64)))
-        span = np.where(hit2, edge2, np.where(hit1, step * model.a1.astype(U64), unit * (model.until[now + 1] - model.until[now]).astype(U64)))
+        hit2 = within < end2
+        now = np.where(hit2, model.p2, model.p1).astype(np.int64)
+        start, span = np.where(hit2, U64(0), end2), np.where(hit2, end2, end1 - end2)
+        rest = np.flatnonzero(within >= end1)
+        unit = _rest(step[rest], model.a1[rest], model)
+        free = np.minimum((within[rest] - end1[rest]) // unit, model.top - U64(1))
+        ids = model.holding(free)
+        now[rest] = ids
+        start[rest] = end1[rest] + unit * model.until[ids]
+        span[rest] = unit * (model.until[ids + 1] - model.until[ids])
         low += start
-        move = np.arange(lanes)
-        while True:
-            same = (low[move] ^ (low[move] + span[move])) >> U64(32) == 0
-            small = span[move] <= LOW32
-            cut = small & ~same
-            span[move[cut]] = (~low[move[cut]] + U64(1)) & LOW32
-            move = move[same | small]
-            if not len(move):
-                break
-            low[move] <<= U64(32)
-            span[move] <<= U64(32)
+        move, cut = _moving(low, span)
+        while len(move):
+            own, width = low[move], span[move]
+            width[cut] = (~own[cut] + U64(1)) & LOW32
+            low[move], span[move] = own, width = own << U64(32), width << U64(32)
             value[move] = (value[move] << U64(32)) | words[move, np.minimum(at[move], longest - 1)]
             at[move] += 1
+            again, cut = _moving(own, width)
+            move = move[again]
         grid[t] = now
         model.update(now)
         one, two = now, one
     return grid.T.reshape(-1)[:n]
 
 
+def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids in order, rank of every id among them); small ids are counted instead of sorted."""
+    if not len(ids) or ids.max() >= MOST_DISTINCT:
+        return np.unique(ids, return_inverse=True)
+    held = np.bincount(ids) > 0
+    return np.flatnonzero(held), (np.cumsum(held) - 1)[ids]
+
+
 def write_block(documents: list[np.ndarray]) -> bytes:
     """One block of the ids of whole documents."""
     ids = np.concatenate([*documents, np.zeros(0, np.int64)]).astype(np.int64)
     # Ids are coded as their rank among the block's distinct ids, so that any 32-bit id fits and rare alphabets cost little.
-    known, ranks = np.unique(ids, return_inverse=True)
+    known, ranks = _ranked(ids)
     if len(known) > MOST_DISTINCT:
         raise ValueError(f"a block may hold at most {MOST_DISTINCT} distinct ids")
     lanes, code = encode_ids(ranks, max(1, len(known))) if len(ids) else (0, [])
@@ -254,9 +266,10 @@ def write_token_files(docs: DataFrame, folder: str, end: int = END, path: str |
             held.clear()
             return out
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.frombuffer(codes.encode(text.as_py()), "<u4")
+        for batch in (piece for whole in batches for piece in runs(whole, "text")):
+            every, ends = codes.encode_all(batch.column("text"))
+            for doc_id, low, high in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
+                ids = every[low:high]
                 if held and (tokens + len(ids) + 1 > BLOCK_TOKENS or len(held) >= BLOCK_DOCUMENTS):
                     yield block()
                     tokens = 0

@@ -199,6 +199,18 @@ def test_a_column_is_encoded_by_its_distinct_words():
     assert counted.calls <= 3  # before: a call for each text
 
 
+def test_ranks_and_shares_of_a_block():
+    rng = np.random.default_rng(3)
+    for ids in (np.zeros(0, np.int64), rng.integers(0, 500, 3000), rng.integers(0, 1 << 32, 3000)):
+        assert all((x == y).all() for x, y in zip(token_files._ranked(ids), np.unique(ids, return_inverse=True)))
+    model = token_files.Model(300)
+    model.counts += rng.integers(0, 50, 300)
+    model._refresh()
+    free = rng.integers(0, int(model.top), token_files.LANES).astype(np.uint64)
+    free[:2] = 0, int(model.top) - 1
+    assert (model.holding(free) == np.searchsorted(model.until, free, "right") - 1).all()
+
+
 def test_token_files_and_packing(spark, odd, empty, tmp_path):
     plain = tokens.Encoder(tokens.vocabulary_path()).tokenizer
     ids = lambda t: plain.encode(t or "", add_special_tokens=False).ids
