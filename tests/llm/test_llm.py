@@ -392,6 +392,20 @@ def test_toxicity(spark, odd, empty):
     assert {round(r.toxicity, 9) for r in toxicity.score(odd, network, trees).collect()} == {toxicity.CUT}
 
 
+def test_toxicity_learns_from_every_row(spark):
+    insults = [f"{a}q{b}x{a}" for a in "bdfgkm" for b in "aeio"]  # most are too rare in the sample to be learnt from it
+    rows = [(i, prose(i, 40) + (f" {insults[i // 3 % len(insults)]} " if i % 3 == 0 else " ") + prose(i + 5000, 5), "en", "s", 0) for i in range(1500)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(1200)], "doc_id long, toxic int")
+    scores = []
+    for docs in (frame(spark, rows), frame(spark, rows[::-1]).repartition(5)):
+        network, trees = toxicity.fit(docs, labels, lambda name: F.col(name).isNotNull(), per_class=60)
+        scores.append({r.doc_id: r.toxicity for r in toxicity.score(docs, network, trees).collect()})
+    assert np.mean([(scores[0][i] >= toxicity.CUT) == (i % 3 == 0) for i in range(1200, 1500)]) > 0.95
+    assert scores[0].keys() == scores[1].keys() and all(abs(v - scores[1][i]) < 1e-6 for i, v in scores[0].items())  # whatever the partitions and their order
+    z, y, n = np.array([0.0, 1, 2, 3]), np.array([0.0, 1, 0, 1]), np.array([3, 1, 2, 5])
+    assert toxicity.best_threshold(z, y, n) == toxicity.best_threshold(np.repeat(z, n), np.repeat(y, n)) == 2.5
+
+
 def test_pipeline_stages(spark, odd):
     import corpus_pipeline as cp
 
