@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sightline.functions import jsonx
 from sightline.functions.cols import ColumnLike, case, col
-from sightline.operators.shape import computed, first_per, two_way_difference, union_all
+from sightline.operators.shape import computed, first_per, growing, two_way_difference, union_all
 
 CATEGORIES = ("serp", "llm")
 ROLES = {"metadata.json": "metadata", "request.json": "request", "response.json": "response"}
@@ -235,7 +235,8 @@ def verify_manifest(files: DataFrame) -> DataFrame:
     actual = files.select(
         "directory", F.element_at(F.split("path", "/"), -1).alias("file_name"), "sha256", "byte_size"
     )
-    rows = entries.join(actual, ["directory", "file_name"], "left")
+    # Every file has a row here: merged, never sent through the driver.
+    rows = entries.join(growing(actual), ["directory", "file_name"], "left")
     found = F.array_compact(F.array(
         F.when(~F.col("byte_size").eqNullSafe(F.col("expected_size")), F.lit("size_mismatch")),
         F.when(~F.col("sha256").eqNullSafe(F.col("expected_sha256")), F.lit("checksum_mismatch")),

@@ -76,3 +76,11 @@ def test_trees_deeper_than_the_steps_within_a_row(spark):
     assert plan(found).count("Scan parquet") == 0
     kinds = found.groupBy("item_kind").agg(F.count("*"), F.max("depth")).collect()
     assert sorted(tuple(r) for r in kinds) == [("citation", 1, 46), ("image", 45, 45), ("organic", 1, 0)]
+
+
+@needs_tables
+def test_files_are_not_broadcast_to_their_manifests(spark):
+    import __spark_entry__ as entry
+
+    shown = plan(entry.queries()["manifest_verification"](spark, FOLDER))
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown
